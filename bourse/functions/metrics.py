@@ -29,11 +29,17 @@ def correlation(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
+def _literal(value) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
 def lookup(key: Column, table: dict, default: Column) -> Column:
     """A literal map lookup for code tables of a handful of entries."""
     if not table:
         return default
-    entries = F.create_map(*[F.lit(v) for v in chain.from_iterable(table.items())])
+    entries = F.expr(f"map({', '.join(map(_literal, chain.from_iterable(table.items())))})")
     return F.coalesce(F.try_element_at(entries, key), default)
 
 

@@ -7,6 +7,8 @@ task.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,20 +32,14 @@ def filled_on(value: Column, order: Column, day: Column) -> Column:
     return F.coalesce(last_on_or_before(value, order, day), F.min_by(value, order))
 
 
-def calendar_anchors(calendar: DataFrame, date: str, targets: dict[str, Column]) -> DataFrame:
-    """First calendar day at or after each target, in one row.
+def calendar_anchors(calendar: DataFrame, date: str, targets: list[Column]) -> list[datetime.date]:
+    """First calendar day at or after each target, in that order.
 
-    Targets may refer to ``max_date``, the last calendar day. The calendar has
-    one row per day, so this is a tiny aggregate.
+    Targets may refer to ``max_date``, the last calendar day. One pass finds
+    the distinct days (bounded by the calendar) and answers all targets; the
+    answer is one row of thresholds and enters later plans as literals.
     """
-    last = calendar.agg(F.max(date)).scalar()
-    days = calendar.withColumn("max_date", last)
-    return days.agg(
-        F.max(date).alias("max_date"),
-        *[F.min(F.when(F.col(date) >= target, F.col(date))).alias(name) for name, target in targets.items()],
-    )
-
-
-def one_row(df: DataFrame) -> Column:
-    """A one-row frame as a struct-valued scalar subquery."""
-    return df.select(F.struct(*df.columns)).scalar()
+    days = calendar.select(date).distinct().agg(F.array_sort(F.collect_list(date)).alias("days"))
+    known = days.select("days", F.try_element_at("days", F.lit(-1)).alias("max_date"))
+    at = [F.get(F.filter("days", lambda day: day >= target), F.lit(0)) for target in targets]
+    return list(known.select(*at).first())

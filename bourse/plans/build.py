@@ -122,8 +122,9 @@ def build_models(series: DataFrame, bars: DataFrame, rates: DataFrame, holidays:
     facts = save("fct_daily_returns", core.fct_daily_returns(returns))
     save("fct_rolling_metrics", market.fct_rolling_metrics(rolling))
     # Filled prices are looked up in the observed ones: far fewer rows to read.
-    save("rpt_performance_summary", reports.performance_summary(prices, benchmark=benchmark))
-    save("rpt_investment_simulation", reports.investment_comparison(prices, benchmark))
+    calendar = dates.select(F.col("date").alias("data_date"))
+    save("rpt_performance_summary", reports.performance_summary(prices, benchmark=benchmark, calendar=calendar))
+    save("rpt_investment_simulation", reports.investment_comparison(prices, benchmark, calendar))
     save("rpt_volatility_comparison", reports.volatility_comparison(facts))
     save("rpt_correlation", reports.return_correlation(facts))
     if run_tests:

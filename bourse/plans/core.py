@@ -21,8 +21,9 @@ PRICE_COLUMNS = {
 
 
 def _conform(df: DataFrame) -> DataFrame:
-    return df.select(*[
-        (F.col(c).cast(t) if c in df.columns else F.lit(None).cast(t)).alias(c) for c, t in PRICE_COLUMNS.items()])
+    present = set(df.columns)
+    return df.selectExpr(*[
+        f"cast({f'`{c}`' if c in present else 'null'} as {t}) as `{c}`" for c, t in PRICE_COLUMNS.items()])
 
 
 def _with_cash(series: DataFrame, benchmark: str, ingested_at) -> DataFrame:

@@ -7,40 +7,42 @@ from pyspark.sql import functions as F
 
 from bourse import fixed_values as fv
 from bourse.functions.metrics import annualised, growth, lookup, period_start
-from bourse.operators.asof import calendar_anchors, filled_on, one_row
+from bourse.operators.asof import calendar_anchors, filled_on
 from bourse.operators.pairwise import correlation_matrix
 from bourse.operators.ranking import rank_descending
 
 
-def _with_anchors(prices: DataFrame, targets: dict[str, Column]) -> tuple[DataFrame, Column]:
-    """Priced rows and the calendar day each target falls on."""
-    priced = prices.filter(F.col("close_price").isNotNull())
-    days = priced.select("data_date").distinct()
-    return priced, one_row(calendar_anchors(days, "data_date", targets))
+def _filled_at(names, anchors) -> list[Column]:
+    """Forward-filled price at each anchor day, under the given names."""
+    price, date = F.col("close_price"), F.col("data_date")
+    return [filled_on(price, date, F.lit(day).cast("date")).alias(name) for name, day in zip(names, anchors)]
 
 
 def performance_summary(prices: DataFrame, periods: dict[str, int | None] | None = None,
-                        benchmark: str = fv.BENCHMARK_ID) -> DataFrame:
+                        benchmark: str = fv.BENCHMARK_ID, calendar: DataFrame | None = None) -> DataFrame:
     """Return per asset and period on forward-filled prices, against the benchmark, ranked.
 
     Filled prices are looked up from the observed ones, so the input is
     ``unified_prices`` (the filled table gives the same result) and one
-    aggregation per asset answers all periods.
+    aggregation per asset answers all periods. ``calendar``, a table with the
+    priced days as ``data_date``, saves the scan for them.
     """
     periods = fv.REPORT_PERIODS if periods is None else periods
-    targets = {f"at_{p}": period_start(F.col("max_date"), days) for p, days in periods.items()}
-    priced, anchors = _with_anchors(prices, targets)
-    price, date = F.col("close_price"), F.col("data_date")
+    priced = prices.filter(F.col("close_price").isNotNull())
+    anchors = calendar_anchors(priced if calendar is None else calendar, "data_date",
+                               [period_start(F.col("max_date"), days) for days in periods.values()])
     per_asset = priced.groupBy("asset_id", "asset_name", "asset_type").agg(
-        F.max_by(price, date).alias("current_price"),
-        *[filled_on(price, date, anchors.getField(f"at_{p}")).alias(f"at_{p}") for p in periods],
+        F.max_by("close_price", "data_date").alias("current_price"),
+        *_filled_at([f"at_{p}" for p in periods], anchors),
     )
     rows = F.array(*[F.struct(F.lit(p).alias("period"), F.col(f"at_{p}").alias("start_price")) for p in periods])
     long = per_asset.select("asset_id", "asset_name", "asset_type", "current_price", F.inline(rows))
     returns = long.filter(F.col("start_price") > 0).withColumn(
         "return_pct", growth(F.col("current_price"), F.col("start_price")))
-    bench = returns.filter(F.col("asset_id") == benchmark).select("period", F.col("return_pct").alias("btc_return_pct"))
-    # One benchmark row per period: never more than the periods asked for.
+    # One row per period: never more than the periods asked for. Folding the
+    # aggregated rows reuses their shuffle where a filter would scan again.
+    bench = returns.groupBy("period").agg(
+        F.max(F.when(F.col("asset_id") == benchmark, F.col("return_pct"))).alias("btc_return_pct"))
     compared = returns.join(F.broadcast(bench), "period", "left")
     mine, theirs = F.col("return_pct"), F.col("btc_return_pct")
     judged = compared.select(
@@ -57,22 +59,20 @@ def sorted_performance(summary: DataFrame) -> DataFrame:
     return summary.orderBy(position, "rank_by_return")
 
 
-def investment_comparison(prices: DataFrame, benchmark: str | None = None) -> DataFrame:
+def investment_comparison(prices: DataFrame, benchmark: str | None = None,
+                          calendar: DataFrame | None = None) -> DataFrame:
     """Lump sum a year ago against monthly purchases, per asset, on filled prices.
 
     With ``benchmark``: its two strategies and cash, nothing else.
     """
     months = [f"buy_{k}" for k in range(fv.MONTHLY_PURCHASES)]
-    targets = {"year_ago": F.date_sub("max_date", 365)}
-    targets |= {name: F.add_months("max_date", -k) for k, name in enumerate(months)}
-    priced, anchors = _with_anchors(prices, targets)
+    targets = [F.date_sub("max_date", 365), *[F.add_months("max_date", -k) for k in range(len(months))]]
+    priced = prices.filter(F.col("close_price").isNotNull())
+    anchors = calendar_anchors(priced if calendar is None else calendar, "data_date", targets)
     if benchmark is not None:
         priced = priced.filter(F.col("asset_id").isin(benchmark, fv.CASH_ID))
-    price, date = F.col("close_price"), F.col("data_date")
     at = priced.groupBy("asset_id").agg(
-        F.max_by(price, date).alias("current_price"),
-        *[filled_on(price, date, anchors.getField(name)).alias(name) for name in targets],
-    )
+        F.max_by("close_price", "data_date").alias("current_price"), *_filled_at(["year_ago", *months], anchors))
     current = F.col("current_price")
     bought = [F.col(m) for m in months]
 

@@ -24,19 +24,18 @@ def benchmark_series(raw: DataFrame, asset_id: Column | None = None, asset_name:
     """
     asset_id = F.lit(fv.BENCHMARK_ID) if asset_id is None else asset_id
     asset_name = F.lit(fv.BENCHMARK_NAME) if asset_name is None else asset_name
-    lineage = [F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in LINEAGE]
-    renamed = raw.select(
+    present = set(raw.columns)
+    newest_first = Window.partitionBy(asset_id, "data_date").orderBy(
+        F.desc_nulls_last("data_timestamp"), *[F.desc_nulls_last(c) for c in tie_break])
+    latest = raw.withColumn("_rn", F.row_number().over(newest_first)).filter("_rn = 1")
+    return _valid(latest.select(
         "data_date", "data_timestamp",
         F.col("price_usd").alias("close_price"),
         "market_cap_usd",
         F.col("volume_24h_usd").alias("volume_usd"),
         asset_id.alias("asset_id"), asset_name.alias("asset_name"), F.lit("crypto").alias("asset_type"),
-        *lineage, *[c for c in tie_break if c not in LINEAGE],
-    )
-    newest_first = Window.partitionBy("asset_id", "data_date").orderBy(
-        F.desc_nulls_last("data_timestamp"), *[F.desc_nulls_last(c) for c in tie_break])
-    latest = renamed.withColumn("_rn", F.row_number().over(newest_first)).filter("_rn = 1")
-    return _valid(latest).drop("_rn", *[c for c in tie_break if c not in LINEAGE])
+        *[F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in LINEAGE],
+    ))
 
 
 def _prices(raw: DataFrame) -> list[Column]:

@@ -60,21 +60,26 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bars(trades: DataFrame, resource: str) -> DataFrame:
-    """Daily bars of trades; ties in the trade key are broken by the price."""
-    ordered = F.struct("l_orderkey", "l_linenumber", "price")
+    """Daily bars of trades in (order, line, price) order.
+
+    The order is one decimal and the traded value a count of cents: both are
+    fixed-width, so the aggregation hashes instead of sorting, and cents add up
+    exactly in any order.
+    """
+    order = F.expr("cast(l_orderkey * 8 + l_linenumber as decimal(20, 0)) * 1000000000000"
+                   " + cast(price * 1000000 as bigint)")
     day = F.col("data_date")
     bars = trades.groupBy("ticker", "data_date").agg(
-        F.min(ordered).getField("price").alias("open"),
+        F.min_by("price", order).alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
-        F.max(ordered).getField("price").alias("close"),
+        F.max_by("price", order).alias("close"),
         F.sum("l_quantity").alias("volume"),
-        # Cents add up exactly in any order.
-        F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).cast("double").alias("_value"),
+        F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("_cents"),
     )
     return bars.select(
         "ticker", "data_date", "open", "high", "low", "close", "volume",
-        (F.col("_value") / F.col("volume")).alias("vwap"),
+        (F.col("_cents") / 100 / F.col("volume")).alias("vwap"),
         batch_key("massive", resource, day, F.col("ticker")).alias("__batch_id"),
         loaded_at(day).alias("__ingested_at"))
 
