@@ -88,7 +88,7 @@ def payload_schema(paths: dict[str, str]) -> T.StructType:
 
     def build(node) -> T.DataType:
         if isinstance(node, str):
-            return T._parse_datatype_string(node)
+            return T.StructType.fromDDL(f"v {node}")["v"].dataType
         if "[]" in node:
             return T.ArrayType(build(node["[]"]))
         return T.StructType([T.StructField(k, build(v)) for k, v in node.items()])

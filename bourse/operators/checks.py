@@ -157,6 +157,11 @@ def gate(result: AuditResult) -> AuditResult:
     return result
 
 
+def sample_rows(df: DataFrame, n: int = 3) -> DataFrame:
+    """A few rows for a log, in no particular order."""
+    return df.limit(n)
+
+
 # --- data tests: each returns the violating rows ------------------------------
 
 def not_null_violations(df: DataFrame, *columns: str) -> DataFrame:

@@ -10,20 +10,29 @@ _IDENTITY = ("source", "resource", "data_interval_start", "data_interval_end")
 _OUTCOME = ("is_valid", "checks_passed", "checks_failed", "failed_checks", "created_at")
 
 
-def upsert_results(ledger: DataFrame, new: DataFrame) -> DataFrame:
-    """The ledger after inserting ``new`` by ``batch_id``.
+def current_results(results: DataFrame, age: Column | None = None) -> DataFrame:
+    """Every batch once, from an append-only table of its audits.
 
-    A known batch keeps its identity columns and takes the newest outcome.
-    Each side is combined before the shuffle.
+    Identity columns are those of the first audit, outcome columns those of the
+    last. Rows are combined before the shuffle.
     """
-    both = ledger.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
-    age = F.struct("_new", "created_at")
-    folded = both.groupBy("batch_id").agg(
-        F.min_by(F.struct(*_IDENTITY), age).alias("first"),
-        F.max_by(F.struct(*_OUTCOME), age).alias("last"))
+    age = F.col("created_at") if age is None else age
+    folded = results.groupBy("batch_id").agg(
+        F.min_by(F.struct(*_IDENTITY), age).alias("first"), F.max_by(F.struct(*_OUTCOME), age).alias("last"))
     return folded.select("batch_id", "first.*", "last.*")
 
 
+def upsert_results(ledger: DataFrame, new: DataFrame) -> DataFrame:
+    """The ledger after inserting ``new`` by ``batch_id``; ``new`` wins whatever its time."""
+    both = ledger.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+    return current_results(both, F.struct("_new", "created_at"))
+
+
+def append(rows: DataFrame, path: str) -> None:
+    """Add ledger rows or state events to their append-only table."""
+    rows.write.mode("append").parquet(path)
+
+
 def parse_failed_checks(ledger: DataFrame, column: str = "failed_checks") -> DataFrame:
     """The JSON column of failed checks as an array of structs."""
     return ledger.withColumn(column, F.from_json(column, FAILED_CHECKS))
@@ -93,6 +102,5 @@ def trace(facts: DataFrame, runs: DataFrame, landing: DataFrame | None = None) -
 
 
 def landing_files(landing: DataFrame) -> DataFrame:
-    """The file each landed batch came from; read it straight from ``read_landing``."""
-    return landing.select("source", "ingestion_date", "batch_id",
-                          F.col("_metadata.file_path").alias("landing_file")).distinct()
+    """The files each landed batch came from, of ``read_landing(..., with_file=True)``."""
+    return landing.select("source", "ingestion_date", "batch_id", "landing_file").distinct()

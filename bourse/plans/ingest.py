@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from bourse.contracts import Contract
@@ -34,8 +34,11 @@ def ingest(responses: DataFrame, root: str, contract: Contract, batch_id: str,
     """
     spark = responses.sparkSession
     records = flatten(responses, contract, parameters, batch_id if row_batch_id is None else row_batch_id, ingested_at)
-    kept, rejects = route(records, contract)
+    # Counted while the batch is written, so the responses are parsed once.
+    seen = Observation()
+    kept, _ = route(records.observe(seen, F.count(F.lit(1)).alias("n")), contract)
     staged = published.stage(kept, root, batch_id, contract, allow_empty=True)
+    total = seen.get["n"]
     try:
         result = c.gate(c.audit(staged, contract.checks, contract.fail_on_empty))
         rows = staged.count()
@@ -43,7 +46,7 @@ def ingest(responses: DataFrame, root: str, contract: Contract, batch_id: str,
             published.publish(staged, root, contract)
     finally:
         published.drop_staged(spark, root, batch_id)
-    return Outcome(batch_id, result, rows, rejects.count())
+    return Outcome(batch_id, result, rows, total - rows)
 
 
 def quality_result(spark, contract: Contract, batch_id: str, result: c.AuditResult,

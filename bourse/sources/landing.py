@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bourse.contracts import Contract
 
@@ -16,12 +17,17 @@ def write_landing(responses: DataFrame, root: str, payload: str = "payload", par
     ``responses`` has the three key columns, the response (JSON text or a
     struct) and optional request parameters, kept beside it under ``_param``.
     """
-    data_type = responses.schema[payload].dataType.typeName()
-    body = F.col(payload) if data_type == "string" else F.to_json(payload)
-    if parameters:
-        # The parameters travel in the same JSON object as the response.
-        request = F.to_json(F.struct(F.struct(*parameters).alias("_param")))
-        body = F.concat(F.regexp_replace(body, r"\}\s*$", ","), F.regexp_replace(request, r"^\{", ""))
+    if responses.schema[payload].dataType.typeName() == "string":
+        # One line per response: outside its strings JSON treats line breaks as blanks.
+        body = F.regexp_replace(payload, r"[\r\n]+", " ")
+        if parameters:
+            request = F.to_json(F.struct(F.struct(*parameters).alias("_param")))
+            empty = body.rlike(r"^\s*\{\s*\}\s*$")
+            joined = F.concat(F.regexp_replace(body, r"\}\s*$", ","), F.regexp_replace(request, r"^\{", ""))
+            body = F.when(empty, request).otherwise(joined)
+    else:
+        request = [F.struct(*parameters).alias("_param")] if parameters else []
+        body = F.to_json(F.struct(f"{payload}.*", *request))
     (responses.select(*KEYS, body.alias("value"))
         .hint("rebalance", *KEYS)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -29,32 +35,28 @@ def write_landing(responses: DataFrame, root: str, payload: str = "payload", par
 
 
 def read_landing(spark: SparkSession, root: str, contract: Contract, multi_line: bool = False,
-                 parameters: dict[str, str] | None = None) -> DataFrame:
+                 parameters: dict[str, str] | None = None, with_file: bool = False) -> DataFrame:
     """Responses of a contract as a ``payload`` struct plus the key columns.
 
     Only what the contract's paths mention is parsed. ``multi_line`` reads one
     pretty-printed object per file instead of one per line. ``parameters``
-    names the request parameters stored with the response and their types.
+    names the request parameters stored with the response and their types;
+    ``with_file`` adds the file each response came from.
     """
     schema = contract.payload_schema
-    for name, data_type in (parameters or {}).items():
-        schema = _with_parameter(schema, name, data_type)
-    rows = (spark.read.schema(schema).option("multiLine", multi_line).option("recursiveFileLookup", False).json(root))
+    if parameters:
+        request = ", ".join(f"{name} {data_type}" for name, data_type in parameters.items())
+        schema = T.StructType([*schema.fields]).add("_param", T.StructType.fromDDL(request))
+    rows = spark.read.schema(schema).option("multiLine", multi_line).json(root)
     fields = [f.name for f in contract.payload_schema.fields]
     keep = [c for c in rows.columns if c in KEYS]
     extra = [F.col(f"_param.{p}").alias(p) for p in (parameters or {})]
+    if with_file:
+        extra.append(F.col("_metadata.file_path").alias("landing_file"))
     return rows.select(F.struct(*[F.col(f"`{f}`") for f in fields]).alias("payload"), *extra,
                        *[F.col(k).cast("string").alias(k) for k in keep])
 
 
-def _with_parameter(schema, name, data_type):
-    from pyspark.sql import types as T
-
-    request = schema["_param"].dataType if "_param" in schema.names else T.StructType()
-    request = T.StructType([*request.fields, T.StructField(name, T._parse_datatype_string(data_type))])
-    return T.StructType([*[f for f in schema.fields if f.name != "_param"], T.StructField("_param", request)])
-
-
 def parse_responses(df: DataFrame, column: str, contract: Contract) -> DataFrame:
     """JSON text in a column to the contract's ``payload`` struct."""
     return df.withColumn("payload", F.from_json(column, contract.payload_schema))

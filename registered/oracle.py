@@ -469,6 +469,10 @@ ORACLE = {
         SELECT asset_id, {_day("data_date")}, close_price, __batch_id, 'run-' || __batch_id AS run_id,
                CASE WHEN volume > 100 THEN 'SUCCESS' ELSE 'FAILED' END AS status
         FROM rates"""),
+    "landing_lineage": f"""
+        SELECT ticker, {_day("data_date")}, __batch_id, 'SUCCESS' AS status,
+               substr(CAST(data_date AS VARCHAR), 1, 8) || '01' AS ingestion_date, __batch_id AS landing_file
+        FROM ({_DAILY_EVENTS})""",
     "swap_amounts": """
         SELECT event_id, CAST(round(value * 1000000) AS DOUBLE) / 1e6 AS amount0_in,
                CAST(user_id || '000000000000007' AS DOUBLE) / 1e18 AS amount1_in,

@@ -493,6 +493,22 @@ def lineage_trace(spark, sf):
     return books.trace(facts, runs)
 
 
+@query
+def landing_lineage(spark, sf):
+    """Published rows with the landing file their batch came from."""
+    root = shared_folder(spark, "landing")
+    landing.write_landing(_event_responses(spark, sf), root, parameters=("ticker",))
+    landed = landing.read_landing(spark, root, contracts.RATE_BARS, parameters={"ticker": "string"}, with_file=True)
+    lake = shared_folder(spark, "lake")
+    ingest(landed, lake, contracts.RATE_BARS, "massive_forex_all", parameters={"ticker": F.col("ticker")},
+           row_batch_id=F.col("batch_id"))
+    facts = published.read_published(spark, lake, contracts.RATE_BARS).select("ticker", "data_date", "__batch_id")
+    files = books.landing_files(landed).select("batch_id", "ingestion_date", "landing_file")
+    runs = landed.select("batch_id", F.lit("SUCCESS").alias("status")).distinct()
+    return books.trace(facts, runs, files).withColumn(
+        "landing_file", F.regexp_extract("landing_file", r"batch_id=([^/]+)/", 1))
+
+
 # --- swaps ---------------------------------------------------------------------
 
 @query
