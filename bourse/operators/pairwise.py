@@ -15,18 +15,20 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_SCHEMA = "a string, b string, correlation double, observation_count long"
+_SCHEMA = "a string, a_label string, b string, b_label string, correlation double, observation_count long"
+_SWAPPED = {"a": "b", "a_label": "b_label", "b": "a", "b_label": "a_label"}
 
 
-def pack_series(df: DataFrame, key: str, date: str, value: str) -> DataFrame:
-    """One row per series: days as integers with their values, in day order.
+def pack_series(df: DataFrame, key: str, date: str, value: str, label: str | None = None) -> DataFrame:
+    """One row per series: its label, days as integers with their values, in day order.
 
     Values are shifted by the series mean, which leaves correlation unchanged
     and keeps the later sums accurate.
     """
     point = F.struct(F.datediff(F.col(date), F.lit("1970-01-01").cast("date")).alias("day"), F.col(value).alias("v"))
-    return (df.groupBy(key).agg(F.sort_array(F.collect_list(point)).alias("p"), F.avg(value).alias("m"))
-              .select(F.col(key).alias("series"), F.col("p.day").alias("days"),
+    return (df.groupBy(key).agg(F.sort_array(F.collect_list(point)).alias("p"), F.avg(value).alias("m"),
+                                F.max(label or key).alias("label"))
+              .select(F.col(key).alias("series"), "label", F.col("p.day").alias("days"),
                       F.transform("p.v", lambda v: v - F.col("m")).alias("values")))
 
 
@@ -73,32 +75,37 @@ def _block_pair(group: pd.DataFrame) -> pd.DataFrame:
     width = max(int(d[-1]) for d in group["days"]) - first + 1
     x = _dense(left, first, width)
     corr, n = _correlate(x, x if i == j else _dense(right, first, width))
-    a = np.repeat(left["series"].to_numpy(), len(right))
-    b = np.tile(right["series"].to_numpy(), len(left))
-    corr, n = corr.ravel(), n.ravel().astype("int64")
-    keep = ~np.isnan(corr)
+    rows, columns = np.nonzero(~np.isnan(corr))
+    out = pd.DataFrame({
+        "a": left["series"].to_numpy()[rows], "a_label": left["label"].to_numpy()[rows],
+        "b": right["series"].to_numpy()[columns], "b_label": right["label"].to_numpy()[columns],
+        "correlation": corr[rows, columns], "observation_count": n[rows, columns].astype("int64"),
+    })
     # On a diagonal block each pair appears both ways round already.
-    out = pd.DataFrame({"a": a[keep], "b": b[keep], "correlation": corr[keep], "observation_count": n[keep]})
-    if i != j:
-        out = pd.concat([out, out.rename(columns={"a": "b", "b": "a"})])
-    return out[["a", "b", "correlation", "observation_count"]]
+    return out if i == j else pd.concat([out, out.rename(columns=_SWAPPED)[out.columns]])
 
 
-def correlation_matrix(df: DataFrame, key: str, date: str, value: str, block_size: int = 128) -> DataFrame:
+def correlation_matrix(df: DataFrame, key: str, date: str, value: str, label: str | None = None,
+                       block_size: int = 256, blocks: int | None = None) -> DataFrame:
     """All ordered pairs (self included) with a defined correlation.
 
     ``df`` has one row per (key, date); null values are left out. A task holds
-    two blocks of about ``block_size`` series over all days.
+    two blocks of about ``block_size`` series over all days. ``blocks`` saves
+    counting the series where their number is known.
     """
-    observed = df.filter(F.col(value).isNotNull()).select(key, date, value)
-    # A scalar subquery: it runs with the query, not while the plan is built.
-    blocks = observed.agg(
-        F.greatest(F.lit(1), F.ceil(F.approx_count_distinct(key) / block_size)).cast("int")).scalar()
-    packed = pack_series(observed, key, date, value)
-    block = F.pmod(F.xxhash64("series"), blocks).cast("int")
+    observed = df.filter(F.col(value).isNotNull()).select(key, date, value, *([label] if label else []))
+    if blocks is None:
+        # A scalar subquery: it runs with the query, not while the plan is built.
+        # A rough count will do, so rows without a value need not be left out.
+        wanted = F.greatest(F.lit(1), F.ceil(F.approx_count_distinct(key) / block_size)).cast("int")
+        n_blocks = df.agg(wanted).scalar()
+    else:
+        n_blocks = F.lit(blocks)
+    packed = pack_series(observed, key, date, value, label)
+    block = F.pmod(F.xxhash64("series"), n_blocks).cast("int")
     # Each series joins one group per block: blocks, not series, are paired.
-    partners = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
+    partners = F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("other")
     paired = (packed.withColumn("block", block).select("*", partners)
-                    .select("series", "days", "values", "block",
+                    .select("series", "label", "days", "values", "block",
                             F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj")))
     return paired.groupBy("bi", "bj").applyInPandas(_block_pair, _SCHEMA)

@@ -7,6 +7,7 @@ and a lost executor costs one model, not the whole chain.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from math import ceil
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -98,12 +99,17 @@ def data_tests(models: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def build_models(series: DataFrame, bars: DataFrame, rates: DataFrame, holidays: DataFrame, root: str,
-                 run_tests: bool = True, benchmark: str = fv.BENCHMARK_ID, **options) -> Build:
-    """All models from staged inputs under ``<root>/<layer>/<model>.parquet``."""
+                 run_tests: bool = True, benchmark: str = fv.BENCHMARK_ID, buckets: int | None = None,
+                 **options) -> Build:
+    """All models from staged inputs under ``<root>/<layer>/<model>.parquet``.
+
+    ``buckets`` hashes prices and returns by asset: the one shuffle at their
+    writing then serves every per-asset model after them.
+    """
     build = Build()
 
     def save(name: str, df: DataFrame, *sort: str) -> DataFrame:
-        build.models[name] = write_model(df, root, LAYERS[name], name, sort)
+        build.models[name] = write_model(df, root, LAYERS[name], name, sort, buckets if sort else None)
         return build.models[name]
 
     series = save("stg_coingecko__market_chart", series)
@@ -119,14 +125,14 @@ def build_models(series: DataFrame, bars: DataFrame, rates: DataFrame, holidays:
     dates = save("dim_dates", core.dim_dates(prices, holidays))
     save("int_market__data_gaps", market.data_gaps(prices, dates).withColumn("detected_at", F.current_timestamp()))
     save("fct_daily_prices", core.daily_prices(prices, dates, assets))
-    facts = save("fct_daily_returns", core.fct_daily_returns(returns))
+    facts = save("fct_daily_returns", core.fct_daily_returns(returns), "asset_id", "data_date")
     save("fct_rolling_metrics", market.fct_rolling_metrics(rolling))
     # Filled prices are looked up in the observed ones: far fewer rows to read.
     calendar = dates.select(F.col("date").alias("data_date"))
     save("rpt_performance_summary", reports.performance_summary(prices, benchmark=benchmark, calendar=calendar))
     save("rpt_investment_simulation", reports.investment_comparison(prices, benchmark, calendar))
     save("rpt_volatility_comparison", reports.volatility_comparison(facts))
-    save("rpt_correlation", reports.return_correlation(facts))
+    save("rpt_correlation", reports.return_correlation(facts, blocks=ceil(assets.count() / 256) or 1))
     if run_tests:
         build.violations = {name: rows.count() for name, rows in data_tests(build.models).items()}
     return build

@@ -123,15 +123,11 @@ def volatility_comparison(returns: DataFrame) -> DataFrame:
     )
 
 
-def return_correlation(returns: DataFrame, assets: list[str] | None = None) -> DataFrame:
+def return_correlation(returns: DataFrame, assets: list[str] | None = None, **blocking) -> DataFrame:
     """Correlation of daily returns on common days for all ordered pairs, self included."""
     if assets:
         returns = returns.filter(F.col("asset_id").isin(*assets))
-    seen = returns.filter(F.col("daily_return").isNotNull())
-    pairs = correlation_matrix(seen, "asset_id", "data_date", "daily_return")
-    names = seen.select("asset_id", "asset_name").distinct()
-    return (pairs
-            .join(names.select(F.col("asset_id").alias("a"), F.col("asset_name").alias("asset_a_name")), "a")
-            .join(names.select(F.col("asset_id").alias("b"), F.col("asset_name").alias("asset_b_name")), "b")
-            .select(F.col("a").alias("asset_a"), "asset_a_name", F.col("b").alias("asset_b"), "asset_b_name",
-                    "correlation", "observation_count"))
+    pairs = correlation_matrix(returns, "asset_id", "data_date", "daily_return", "asset_name", **blocking)
+    return pairs.select(F.col("a").alias("asset_a"), F.col("a_label").alias("asset_a_name"),
+                        F.col("b").alias("asset_b"), F.col("b_label").alias("asset_b_name"),
+                        "correlation", "observation_count")

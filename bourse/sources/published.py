@@ -106,13 +106,25 @@ def existing_dates(spark: SparkSession, root: str, contract: Contract, ticker: s
     return found.dropna().distinct()
 
 
-def write_model(df: DataFrame, root: str, layer: str, name: str, sort_within: tuple[str, ...] = ()) -> DataFrame:
-    """Materialise a model at ``<root>/<layer>/<name>.parquet`` and read it back."""
+def write_model(df: DataFrame, root: str, layer: str, name: str, sort_within: tuple[str, ...] = (),
+                buckets: int | None = None) -> DataFrame:
+    """Materialise a model at ``<root>/<layer>/<name>.parquet`` and read it back.
+
+    With ``buckets`` the rows are hashed by the first sort column into that many
+    files and registered as table ``<layer>_<name>``: windows, aggregations and
+    joins on that column then read co-located rows and need no shuffle.
+    """
+    spark = df.sparkSession
     path = f"{root.rstrip('/')}/{layer}/{name}.parquet"
+    if buckets:
+        key, *order = sort_within
+        writer = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key, *order)
+        writer.option("path", path).saveAsTable(f"{layer}_{name}")
+        return spark.table(f"{layer}_{name}")
     # Clustered rows make the row-group statistics selective for later filters.
     shaped = df.sortWithinPartitions(*sort_within) if sort_within else df
     shaped.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 __all__ = ["AUDIT_COLUMNS", "EmptyBatch", "drop_staged", "existing_dates", "publish", "read_published", "stage",

@@ -125,8 +125,9 @@ def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.make_date("y", "m", "d").alias("holiday_date"), "holiday_name", "market_status", "market_code")
 
 
-def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return core.dim_dates(prices(spark, sf_dir), holidays(spark, sf_dir))
+def dates(spark: SparkSession, sf_dir: str, priced: DataFrame | None = None) -> DataFrame:
+    """The date dimension; sharing ``priced`` lets both sides reuse its shuffles."""
+    return core.dim_dates(prices(spark, sf_dir) if priced is None else priced, holidays(spark, sf_dir))
 
 
 def ledger(spark: SparkSession, sf_dir: str, limit: float = VALID_UP_TO) -> DataFrame:

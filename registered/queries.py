@@ -93,7 +93,8 @@ def dim_dates(spark, sf):
 
 @query
 def daily_prices_locf(spark, sf):
-    return core.daily_prices(inputs.prices(spark, sf), inputs.dates(spark, sf))
+    priced = inputs.prices(spark, sf)
+    return core.daily_prices(priced, inputs.dates(spark, sf, priced))
 
 
 def _returns(spark, sf):
@@ -132,7 +133,8 @@ def fct_rolling_metrics(spark, sf):
 
 
 def _gaps(spark, sf):
-    return market.data_gaps(inputs.prices(spark, sf), inputs.dates(spark, sf))
+    priced = inputs.prices(spark, sf)
+    return market.data_gaps(priced, inputs.dates(spark, sf, priced))
 
 
 @query
