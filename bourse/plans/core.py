@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bourse import fixed_values as fv
@@ -26,26 +26,25 @@ def _conform(df: DataFrame) -> DataFrame:
         f"cast({f'`{c}`' if c in present else 'null'} as {t}) as `{c}`" for c, t in PRICE_COLUMNS.items()])
 
 
-def _with_cash(series: DataFrame, benchmark: str, ingested_at) -> DataFrame:
+def _with_cash(series: DataFrame, benchmark: str, ingested_at: Column) -> DataFrame:
     """Add a cash row at 1.0 beside every benchmark row.
 
     The benchmark's days are the master calendar. Emitting both rows from one
     scan avoids reading the series twice.
     """
-    cash_values = {
-        "asset_id": F.lit(fv.CASH_ID), "asset_name": F.lit(fv.CASH_NAME), "asset_type": F.lit("fiat"),
-        "data_date": F.col("data_date"), "close_price": F.lit(1.0), "open_price": F.lit(1.0),
-        "high_price": F.lit(1.0), "low_price": F.lit(1.0), "volume": F.lit(0.0),
-        "__batch_id": F.lit("synthetic"), "__ingested_at": ingested_at,
+    cash = {
+        "asset_id": f"'{fv.CASH_ID}'", "asset_name": f"'{fv.CASH_NAME}'", "asset_type": "'fiat'",
+        "data_date": "data_date", "close_price": "1.0D", "open_price": "1.0D", "high_price": "1.0D",
+        "low_price": "1.0D", "volume": "0.0D", "__batch_id": "'synthetic'", "__ingested_at": "_cash_stamp",
     }
-    own = F.struct(*PRICE_COLUMNS)
-    cash = F.struct(*[cash_values.get(c, F.lit(None)).cast(t).alias(c) for c, t in PRICE_COLUMNS.items()])
-    rows = F.when(F.col("asset_id") == benchmark, F.array(own, cash)).otherwise(F.array(own))
-    return series.select(F.inline(rows))
+    own = ", ".join(f"`{c}`" for c in PRICE_COLUMNS)
+    beside = ", ".join(f"cast({cash.get(c, 'null')} as {t}) as `{c}`" for c, t in PRICE_COLUMNS.items())
+    rows = F.when(F.col("asset_id") == benchmark, F.expr(f"array(struct({own}), struct({beside}))"))
+    return series.withColumn("_cash_stamp", ingested_at).select(F.inline(rows.otherwise(F.expr(f"array(struct({own}))"))))
 
 
 def unified_prices(series: DataFrame, bars: DataFrame | None = None, rates: DataFrame | None = None,
-                   benchmark: str = fv.BENCHMARK_ID, cash_ingested_at=None) -> DataFrame:
+                   benchmark: str = fv.BENCHMARK_ID, cash_ingested_at: Column | None = None) -> DataFrame:
     """Benchmark series, equity bars, currency rates and cash in one table.
 
     ``series`` holds one row per (asset, day), as staging leaves it.
@@ -86,21 +85,20 @@ def dim_dates(prices: DataFrame, holidays: DataFrame) -> DataFrame:
         return F.when(shut, F.lit(0)).otherwise(F.lit(1))
 
     # The closed days are few; the planner broadcasts them by their size.
+    parts = [f"cast({part}(date) as bigint)" for part in ("year", "month", "day", "quarter", "dayofyear")]
+    year, month, day, quarter, day_of_year = map(F.expr, parts)
     return days.join(_closed_days(holidays), "date", "left").select(
         "date",
-        F.year(date).cast("bigint").alias("year"),
-        F.month(date).cast("bigint").alias("month"),
-        F.day(date).cast("bigint").alias("day"),
+        year.alias("year"), month.alias("month"), day.alias("day"),
         day_of_week(date).alias("day_of_week"),
-        F.quarter(date).cast("bigint").alias("quarter"),
-        F.dayofyear(date).cast("bigint").alias("day_of_year"),
+        quarter.alias("quarter"), day_of_year.alias("day_of_year"),
         open_in("us").alias("is_trading_day"),
         open_in("us").alias("is_us_trading_day"),
         open_in("uk").alias("is_uk_trading_day"),
         open_in("eu").alias("is_eu_trading_day"),
-        F.when((F.month(date) == 1) & (F.day(date) == 1), 1).otherwise(0).alias("is_year_start"),
+        F.when(day_of_year == 1, 1).otherwise(0).alias("is_year_start"),
         F.date_format(date, "yyyy-MM").alias("year_month"),
-        F.concat(F.year(date).cast("string"), F.lit("-Q"), F.quarter(date).cast("string")).alias("year_quarter"),
+        F.concat(F.date_format(date, "yyyy"), F.lit("-Q"), quarter.cast("string")).alias("year_quarter"),
     )
 
 

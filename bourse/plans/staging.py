@@ -12,7 +12,7 @@ LINEAGE = ("__batch_id", "__ingested_at")
 
 
 def _valid(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("data_date").isNotNull() & (F.col("close_price") > 0) & F.col("asset_id").isNotNull())
+    return df.filter("data_date is not null and close_price > 0 and asset_id is not null")
 
 
 def benchmark_series(raw: DataFrame, asset_id: Column | None = None, asset_name: Column | None = None,
@@ -28,23 +28,14 @@ def benchmark_series(raw: DataFrame, asset_id: Column | None = None, asset_name:
     newest_first = Window.partitionBy(asset_id, "data_date").orderBy(
         F.desc_nulls_last("data_timestamp"), *[F.desc_nulls_last(c) for c in tie_break])
     latest = raw.withColumn("_rn", F.row_number().over(newest_first)).filter("_rn = 1")
-    return _valid(latest.select(
-        "data_date", "data_timestamp",
-        F.col("price_usd").alias("close_price"),
-        "market_cap_usd",
-        F.col("volume_24h_usd").alias("volume_usd"),
-        asset_id.alias("asset_id"), asset_name.alias("asset_name"), F.lit("crypto").alias("asset_type"),
-        *[F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in LINEAGE],
-    ))
+    lineage = [c if c in present else f"cast(null as string) as {c}" for c in LINEAGE]
+    return _valid(latest.select(asset_id.alias("asset_id"), asset_name.alias("asset_name"), *map(F.expr, [
+        "data_date", "data_timestamp", "price_usd as close_price", "market_cap_usd", "volume_24h_usd as volume_usd",
+        "'crypto' as asset_type", *lineage])))
 
 
-def _prices(raw: DataFrame) -> list[Column]:
-    return [
-        F.col("data_date"),
-        F.col("close").alias("close_price"), F.col("open").alias("open_price"),
-        F.col("high").alias("high_price"), F.col("low").alias("low_price"),
-        F.col("volume"),
-    ]
+_BAR = ["data_date", "close as close_price", "open as open_price", "high as high_price", "low as low_price", "volume",
+        *LINEAGE]
 
 
 def stock_bars(raw: DataFrame, equities: dict | None = None) -> DataFrame:
@@ -52,10 +43,9 @@ def stock_bars(raw: DataFrame, equities: dict | None = None) -> DataFrame:
     equities = fv.EQUITIES if equities is None else equities
     ticker = F.col("ticker")
     return _valid(raw.select(
-        ticker.alias("asset_id"), *_prices(raw), "vwap",
+        ticker.alias("asset_id"), *map(F.expr, _BAR), "vwap",
         lookup(ticker, {k: v[1] for k, v in equities.items()}, F.lit("unknown")).alias("asset_type"),
         lookup(ticker, {k: v[0] for k, v in equities.items()}, ticker).alias("asset_name"),
-        *LINEAGE,
     ))
 
 
@@ -63,10 +53,9 @@ def rate_bars(raw: DataFrame, pairs: dict | None = None) -> DataFrame:
     """Daily currency rates; the id is the pair code without ``C:`` and ``USD``."""
     pairs = fv.RATE_PAIRS if pairs is None else pairs
     ticker = F.col("ticker")
-    stripped = F.replace(F.replace(ticker, F.lit("C:"), F.lit("")), F.lit("USD"), F.lit(""))
+    stripped = F.expr("replace(replace(ticker, 'C:', ''), 'USD', '')")
     return _valid(raw.select(
         lookup(ticker, {k: v[0] for k, v in pairs.items()}, stripped).alias("asset_id"),
-        *_prices(raw), F.lit("fiat").alias("asset_type"),
+        *map(F.expr, [*_BAR, "'fiat' as asset_type", "ticker as raw_ticker"]),
         lookup(ticker, {k: v[1] for k, v in pairs.items()}, ticker).alias("asset_name"),
-        ticker.alias("raw_ticker"), *LINEAGE,
     ))

@@ -44,10 +44,9 @@ def raw_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.to_date("o_orderdate")
     coin = lookup(F.col("o_orderpriority"), COINS, F.col("o_orderpriority"))
     return table(spark, sf_dir, "orders").select(
-        coin.alias("coin"), F.col("o_orderkey"), day.alias("data_date"),
-        F.col("o_orderdate").alias("data_timestamp"), F.col("o_totalprice").alias("price_usd"),
-        (F.col("o_totalprice") * 1000).alias("market_cap_usd"),
-        F.col("o_custkey").cast("double").alias("volume_24h_usd"),
+        coin.alias("coin"), day.alias("data_date"), *map(F.expr, [
+            "o_orderkey", "o_orderdate as data_timestamp", "o_totalprice as price_usd",
+            "o_totalprice * 1000 as market_cap_usd", "cast(o_custkey as double) as volume_24h_usd"]),
         batch_key("coingecko", "market_chart", day, coin).alias("__batch_id"),
         loaded_at(day).alias("__ingested_at"),
     )
@@ -71,47 +70,45 @@ def _bars(trades: DataFrame, resource: str) -> DataFrame:
     day = F.col("data_date")
     bars = trades.groupBy("ticker", "data_date").agg(
         F.min_by("price", order).alias("open"),
-        F.max("price").alias("high"),
-        F.min("price").alias("low"),
         F.max_by("price", order).alias("close"),
-        F.sum("l_quantity").alias("volume"),
-        F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("_cents"),
+        *map(F.expr, ["max(price) as high", "min(price) as low", "sum(l_quantity) as volume",
+                      "sum(cast(round(l_extendedprice * 100) as bigint)) as _cents"]),
     )
     return bars.select(
-        "ticker", "data_date", "open", "high", "low", "close", "volume",
-        (F.col("_cents") / 100 / F.col("volume")).alias("vwap"),
+        "ticker", "data_date", "open", "high", "low", "close", "volume", F.expr("_cents / 100 / volume as vwap"),
         batch_key("massive", resource, day, F.col("ticker")).alias("__batch_id"),
         loaded_at(day).alias("__ingested_at"))
 
 
 def _trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
+    return table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_quantity", "l_extendedprice",
-        F.to_date("l_shipdate").alias("data_date"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"))
+        "to_date(l_shipdate) as data_date", "l_extendedprice / l_quantity as price")
 
 
-def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("ticker"))
-    trades = _trades(spark, sf_dir)
+def raw_bars(spark: SparkSession, sf_dir: str, trades: DataFrame | None = None) -> DataFrame:
+    parts = table(spark, sf_dir, "part").selectExpr("p_partkey", "p_brand as ticker")
+    trades = _trades(spark, sf_dir) if trades is None else trades
     return _bars(trades.join(parts, trades["l_partkey"] == parts["p_partkey"]), "stocks")
 
 
-def raw_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_rates(spark: SparkSession, sf_dir: str, trades: DataFrame | None = None) -> DataFrame:
     ticker = lookup(F.col("l_returnflag"), PAIRS, F.col("l_returnflag"))
-    return _bars(_trades(spark, sf_dir).withColumn("ticker", ticker), "forex").drop("vwap")
+    trades = _trades(spark, sf_dir) if trades is None else trades
+    return _bars(trades.withColumn("ticker", ticker), "forex").drop("vwap")
 
 
-def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.stock_bars(raw_bars(spark, sf_dir), EQUITIES)
+def bars(spark: SparkSession, sf_dir: str, trades: DataFrame | None = None) -> DataFrame:
+    return staging.stock_bars(raw_bars(spark, sf_dir, trades), EQUITIES)
 
 
-def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.rate_bars(raw_rates(spark, sf_dir))
+def rates(spark: SparkSession, sf_dir: str, trades: DataFrame | None = None) -> DataFrame:
+    return staging.rate_bars(raw_rates(spark, sf_dir, trades))
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return core.unified_prices(series(spark, sf_dir), bars(spark, sf_dir), rates(spark, sf_dir),
+    trades = _trades(spark, sf_dir)
+    return core.unified_prices(series(spark, sf_dir), bars(spark, sf_dir, trades), rates(spark, sf_dir, trades),
                                cash_ingested_at=F.lit(CASH_STAMP))
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bourse import contracts
 from bourse.functions import paths
@@ -24,17 +23,9 @@ QUERIES = {}
 
 def _shown(df: DataFrame) -> DataFrame:
     """Days and times as text: the same form in every engine."""
-    out = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, T.DateType):
-            out.append(F.date_format(f.name, "yyyy-MM-dd").alias(f.name))
-        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            out.append(F.date_format(f.name, "yyyy-MM-dd HH:mm:ss").alias(f.name))
-        elif isinstance(f.dataType, (T.IntegerType, T.ShortType)):
-            out.append(F.col(f.name).cast("bigint").alias(f.name))
-        else:
-            out.append(F.col(f.name))
-    return df.select(*out)
+    forms = {"date": "date_format({0}, 'yyyy-MM-dd')", "timestamp": "date_format({0}, 'yyyy-MM-dd HH:mm:ss')",
+             "timestamp_ntz": "date_format({0}, 'yyyy-MM-dd HH:mm:ss')", "int": "cast({0} as bigint)"}
+    return df.selectExpr(*[forms.get(t, "{0}").format(f"`{c}`") + f" as `{c}`" for c, t in df.dtypes])
 
 
 def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
