@@ -41,8 +41,8 @@ def carry_forward(df: DataFrame, key: str, date: str, value: str, carried: list[
         date, F.explode(F.sequence("_from", F.greatest("_from", "_to"))))
     labelled = spread.withColumn(
         source, F.when(F.col("_observed") & (F.col(date) == F.col("_from")), "OBSERVED").otherwise("IMPUTED"))
-    # Days are few; the planner broadcasts them when they fit its threshold.
-    return labelled.drop("_from", "_to", "_observed").join(days, date, "left_semi")
+    # Distinct days: one 4-byte value per calendar day, whatever the table's size.
+    return labelled.drop("_from", "_to", "_observed").join(F.broadcast(days), date, "left_semi")
 
 
 def missing_days(df: DataFrame, key: str, date: str, keep: list[str]) -> DataFrame:

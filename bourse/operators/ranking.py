@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Buckets per e-fold of magnitude. Doubles span about 1490 e-folds, so a group
-# has at most some 48,000 buckets of each sign.
-_BUCKETS_PER_EFOLD = 32
+# has at most some 380,000 buckets of each sign; values met in practice fill a
+# few thousand.
+_BUCKETS_PER_EFOLD = 256
 
 
 def _bucket(value):
     """An integer that never decreases as ``value`` grows."""
-    size = F.floor(F.log(F.abs(value)) * _BUCKETS_PER_EFOLD).cast("bigint") + 100_000
+    size = F.floor(F.log(F.abs(value)) * _BUCKETS_PER_EFOLD).cast("bigint") + 200_000
     return F.when(value == 0, F.lit(0).cast("bigint")).otherwise(F.signum(value).cast("bigint") * size)
 
 

@@ -33,14 +33,15 @@ def daily_returns(prices: DataFrame) -> DataFrame:
 def benchmark_relative(returns: DataFrame, benchmark: str = fv.BENCHMARK_ID) -> DataFrame:
     """Each asset's return beside the benchmark's of the same day.
 
-    The benchmark side has one row per day, so the planner can broadcast it.
+    Grouping bounds the benchmark side by the calendar (one row per day), so it
+    is broadcast and the large side is not shuffled by day.
     """
-    bench = returns.filter(F.col("asset_id") == benchmark).select(
-        "data_date", F.col("daily_return").alias("btc_daily_return"))
+    bench = returns.filter(F.col("asset_id") == benchmark).groupBy("data_date").agg(
+        F.max("daily_return").alias("btc_daily_return"))
     others = returns.filter(F.col("asset_id") != benchmark).select(
         "asset_id", "asset_name", "asset_type", "data_date", F.col("daily_return").alias("asset_return"))
     mine, theirs = F.col("asset_return"), F.col("btc_daily_return")
-    return others.join(bench, "data_date", "left").select(
+    return others.join(F.broadcast(bench), "data_date", "left").select(
         "asset_id", "asset_name", "asset_type", "data_date", "asset_return", "btc_daily_return",
         (F.coalesce(mine, F.lit(0.0)) - F.coalesce(theirs, F.lit(0.0))).alias("return_vs_btc"),
         F.when(mine > theirs, 1).otherwise(0).alias("outperformed_btc_flag"),
@@ -88,10 +89,11 @@ def data_gaps(prices: DataFrame, dates: DataFrame) -> DataFrame:
          .when((kind == "forex") & asset.like("%EUR%"), F.col("is_eu_trading_day"))
          .otherwise(F.col("is_us_trading_day"))
     )
-    flags = dates.select(F.col("date").alias("missing_date"), "is_trading_day",
-                         "is_us_trading_day", "is_uk_trading_day", "is_eu_trading_day")
+    names = ["is_trading_day", "is_us_trading_day", "is_uk_trading_day", "is_eu_trading_day"]
+    # One row per calendar day, so the broadcast is bounded by the calendar.
+    flags = dates.groupBy(F.col("date").alias("missing_date")).agg(*[F.first(n).alias(n) for n in names])
     absent = missing_days(prices, "asset_id", "data_date", ["asset_type"])
-    return (absent.withColumnRenamed("data_date", "missing_date").join(flags, "missing_date")
+    return (absent.withColumnRenamed("data_date", "missing_date").join(F.broadcast(flags), "missing_date")
                   .filter(expected == 1)
                   .select("asset_id", "asset_type", "missing_date", "is_trading_day"))
 
