@@ -64,3 +64,9 @@ def quality_result(spark, contract: Contract, batch_id: str, result: c.AuditResu
         (none if end is None else end).alias("data_interval_end"),
         "is_valid", "checks_passed", "checks_failed", "failed_checks",
         (F.current_timestamp() if at is None else at).alias("created_at"))
+
+
+def source_freshness(table: DataFrame, contract: Contract, now: Column | None = None) -> DataFrame:
+    """Age of the table's newest load against the contract's two limits."""
+    warn_days, error_days = contract.freshness_days
+    return c.freshness(table, "__ingested_at", warn_days, error_days, now)

@@ -77,29 +77,34 @@ def publish(records: DataFrame, root: str, contract: Contract) -> None:
         .partitionBy(*keys).parquet(table_path(root, contract)))
 
 
-def read_published(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
-    """The published table, columns united by name over all files.
+def read_published(spark: SparkSession, root: str, contract: Contract, discover: bool = False) -> DataFrame:
+    """The published table, columns matched by name over all files.
 
-    Columns a file lacks are null; partition filters prune directories.
+    Contract columns a file lacks are null; partition filters prune
+    directories. The contract is the schema, so no file is opened to plan the
+    scan; ``discover`` reads every footer to add columns beyond the contract.
     """
-    scanned = spark.read.option("mergeSchema", True).parquet(table_path(root, contract))
-    types = {c: t for c, t in contract.record_types.items() if c in scanned.columns}
-    extra = [c for c in scanned.columns if c not in types]
-    return scanned.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()], *extra)
+    types = contract.record_types
+    if discover:
+        scanned = spark.read.option("mergeSchema", True).parquet(table_path(root, contract))
+        known = [F.col(c).cast(t).alias(c) for c, t in types.items() if c in set(scanned.columns)]
+        return scanned.select(*known, *[c for c in scanned.columns if c not in types])
+    schema = ", ".join(f"`{c}` {t}" for c, t in types.items())
+    return spark.read.schema(schema).parquet(table_path(root, contract)).select(*types)
 
 
 def existing_dates(spark: SparkSession, root: str, contract: Contract, ticker: str | None = None) -> DataFrame:
     """Days already published, per ticker where the contract has one.
 
     Keys come from the contract, so a table partitioned by day alone is found
-    by day alone. Only partition values are read.
+    by day alone. Only the file listing is used: one row per file, no content.
     """
     keys = contract.partition_keys
     types = contract.record_types
     if not _exists(spark, table_path(root, contract)):
         return spark.createDataFrame([], ", ".join(f"{k} {types[k]}" for k in keys))
-    table = spark.read.parquet(table_path(root, contract))
-    found = table.select(*[F.col(k).cast("string").try_cast(types[k]).alias(k) for k in keys])
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(table_path(root, contract)))
+    found = files.select(*[F.col(k).cast("string").try_cast(types[k]).alias(k) for k in keys])
     if ticker is not None and "ticker" in keys:
         found = found.filter(F.col("ticker") == ticker)
     # A directory whose name is no date gives a null key and is skipped.

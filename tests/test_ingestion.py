@@ -15,7 +15,7 @@ from bourse.functions.convert import convert, ms_to_date, ms_to_timestamp, scale
 from bourse.operators import checks as c
 from bourse.operators.flatten import batch_key, flatten, route, zip_and_explode
 from bourse.operators.loadplan import missing_loads, window_request
-from bourse.plans.ingest import ingest, quality_result
+from bourse.plans.ingest import ingest, quality_result, source_freshness
 from bourse.sources import landing, published
 
 SAMPLE = Contract("test_source", "test_resource", (
@@ -220,8 +220,28 @@ def test_columns_missing_from_older_files_are_null(spark, tmp_path):
     table = published.table_path(root, contracts.RATE_BARS)
     spark.createDataFrame([(1.0, 2.0)], "close double, extra double").write.parquet(
         f"{table}/ticker=C%3AEURUSD/data_date=2026-02-01")
-    rows = published.read_published(spark, root, contracts.RATE_BARS).orderBy("data_date").collect()
+    rows = published.read_published(spark, root, contracts.RATE_BARS, discover=True).orderBy("data_date").collect()
     assert [r.extra for r in rows] == [None, 2.0] and rows[1].open is None and rows[1].ticker == "C:EURUSD"
+    plain = published.read_published(spark, root, contracts.RATE_BARS)
+    assert plain.columns == list(contracts.RATE_BARS.record_types)
+    assert [(r.open, r.close) for r in plain.orderBy("data_date").collect()] == [(10.0, 10.0), (None, 1.0)]
+
+
+def test_partition_filters_prune_directories(spark, tmp_path):
+    root = str(tmp_path)
+    load(spark, root, "b1", *[("C:EURUSD", d, 10.0) for d in range(5)], ("C:GBPUSD", 0, 2.0))
+    df = published.read_published(spark, root, contracts.RATE_BARS).filter("ticker = 'C:EURUSD' and data_date = '2026-01-02'")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ticker" in plan and df.count() == 1
+
+
+def test_source_freshness(spark, tmp_path):
+    root = str(tmp_path)
+    load(spark, root, "b1", ("C:EURUSD", 0, 10.0))
+    table = published.read_published(spark, root, contracts.RATE_BARS)
+    assert source_freshness(table, contracts.RATE_BARS).first().status == "pass"
+    later = F.current_timestamp() + F.expr("INTERVAL 3 DAYS")
+    assert source_freshness(table, contracts.RATE_BARS, later).first().status == "warn"
 
 
 def test_existing_dates_and_load_plan(spark, tmp_path, rows):
