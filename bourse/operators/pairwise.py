@@ -9,12 +9,17 @@ computing all its pairs with matrix products.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Ship these functions with the task: workers need NumPy and pandas, not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _SCHEMA = "a string, a_label string, b string, b_label string, correlation double, observation_count long"
 _SWAPPED = {"a": "b", "a_label": "b_label", "b": "a", "b_label": "a_label"}
 

@@ -364,8 +364,9 @@ ORACLE = {
                CAST(0 AS BIGINT) AS n_missing
         FROM events""",
     "converted_dates": """
-        SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 3 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS from_text,
-               CASE WHEN o_orderkey % 4 < 3 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS from_ms
+        SELECT o_orderkey,
+               CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS from_text,
+               CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS from_ms
         FROM orders""",
     "batch_keys": _sql("raw_rates", f"""
         SELECT 'massive_forex_' || {_YMD.format("data_date")} || '_' || replace(ticker, ':', '_') AS __batch_id,

@@ -218,7 +218,7 @@ def volatility_ratio(spark, sf):
 def _series_responses(spark, sf):
     """Each order as one response of three price points, two caps, four volumes."""
     day_ms = 86_400_000
-    ms = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
+    ms = F.unix_date(F.to_date("o_orderdate")).cast("bigint") * day_ms
     price = F.col("o_totalprice")
 
     def points(value, n):
@@ -268,11 +268,11 @@ def projected_paths(spark, sf):
 @query
 def converted_dates(spark, sf):
     """Text dates in three forms, one unreadable form, and epoch milliseconds with zeros."""
-    day = F.col("o_orderdate")
-    form = F.pmod(F.col("o_orderkey"), F.lit(4))
-    text = (F.when(form == 0, F.date_format(day, "yyyy-MM-dd")).when(form == 1, F.date_format(day, "yyyy/MM/dd"))
-             .when(form == 2, F.date_format(day, "dd-MM-yyyy")).otherwise(F.date_format(day, "MMMM d")))
-    ms = F.when(form == 3, F.lit(0)).otherwise(F.unix_millis(day.cast("timestamp")))
+    day, kind = F.to_date("o_orderdate"), F.col("o_orderpriority")
+    text = (F.when(kind == "1-URGENT", F.date_format(day, "yyyy/MM/dd"))
+             .when(kind == "2-HIGH", F.date_format(day, "dd-MM-yyyy"))
+             .when(kind == "5-LOW", F.date_format(day, "MMMM d")).otherwise(F.date_format(day, "yyyy-MM-dd")))
+    ms = F.when(kind == "5-LOW", F.lit(0)).otherwise(F.unix_date(day).cast("bigint") * 86_400_000)
     return inputs.table(spark, sf, "orders").select(
         "o_orderkey", text_to_date(text).alias("from_text"), ms_to_date(ms).alias("from_ms"))
 
@@ -316,7 +316,7 @@ def _event_responses(spark, sf):
     daily = inputs.table(spark, sf, "events").groupBy("event_type", day.alias("day")).agg(
         F.min(ordered).getField("value").alias("o"), F.max("value").alias("h"), F.min("value").alias("l"),
         F.max(ordered).getField("value").alias("c"), F.count(F.lit(1)).cast("double").alias("v"))
-    bar = F.struct(F.unix_millis(F.col("day").cast("timestamp")).alias("t"), "o", "h", "l", "c", "v")
+    bar = F.struct((F.unix_date("day").cast("bigint") * 86_400_000).alias("t"), "o", "h", "l", "c", "v")
     return (daily.groupBy(F.concat(F.lit("C:"), F.upper("event_type"), F.lit("USD")).alias("ticker"),
                           F.trunc("day", "month").alias("month"))
             .agg(F.collect_list(bar).alias("results"))
