@@ -19,52 +19,52 @@ from bourse.sources.published import write_model
 
 # --- fixed values: model -> layer ---------------------------------------------
 LAYERS = {
-    "stg_coingecko__market_chart": "staging",
-    "stg_massive__stocks_daily": "staging",
-    "stg_massive__forex_daily": "staging",
-    "stg_static__market_holidays": "staging",
-    "int_market__unified_prices": "intermediate",
-    "int_market__daily_returns": "intermediate",
-    "int_market__btc_relative_perf": "intermediate",
-    "int_market__rolling_metrics": "intermediate",
-    "int_market__data_gaps": "intermediate",
+    "stg_benchmark_series": "staging",
+    "stg_bars": "staging",
+    "stg_rates": "staging",
+    "stg_holidays": "staging",
+    "unified_prices": "intermediate",
+    "daily_returns": "intermediate",
+    "benchmark_relative": "intermediate",
+    "rolling_metrics": "intermediate",
+    "data_gaps": "intermediate",
     "dim_assets": "marts",
     "dim_dates": "marts",
-    "fct_daily_prices": "marts",
+    "daily_prices_locf": "marts",
     "fct_daily_returns": "marts",
     "fct_rolling_metrics": "marts",
-    "rpt_performance_summary": "marts",
-    "rpt_investment_simulation": "marts",
-    "rpt_volatility_comparison": "marts",
-    "rpt_correlation": "marts",
+    "performance_summary": "marts",
+    "investment_comparison": "marts",
+    "volatility_comparison": "marts",
+    "return_correlation": "marts",
 }
 
 # --- fixed values: data tests per model ----------------------------------------
 NOT_NULL = {
-    "int_market__unified_prices": ("asset_id", "data_date", "close_price"),
-    "int_market__daily_returns": ("asset_id", "data_date", "close_price"),
-    "int_market__btc_relative_perf": ("asset_id", "data_date"),
-    "int_market__rolling_metrics": ("asset_id", "data_date"),
+    "unified_prices": ("asset_id", "data_date", "close_price"),
+    "daily_returns": ("asset_id", "data_date", "close_price"),
+    "benchmark_relative": ("asset_id", "data_date"),
+    "rolling_metrics": ("asset_id", "data_date"),
     "dim_assets": ("asset_id",),
     "dim_dates": ("date",),
-    "fct_daily_prices": ("asset_id", "data_date", "close_price"),
+    "daily_prices_locf": ("asset_id", "data_date", "close_price"),
     "fct_daily_returns": ("asset_id", "data_date"),
     "fct_rolling_metrics": ("asset_id", "data_date"),
-    "rpt_performance_summary": ("asset_id", "period"),
-    "rpt_investment_simulation": ("asset", "strategy", "initial_investment_usd", "current_value_usd"),
-    "rpt_volatility_comparison": ("asset_id", "daily_volatility_pct", "annualized_volatility_pct"),
-    "rpt_correlation": ("asset_a", "asset_b", "correlation"),
+    "performance_summary": ("asset_id", "period"),
+    "investment_comparison": ("asset", "strategy", "initial_investment_usd", "current_value_usd"),
+    "volatility_comparison": ("asset_id", "daily_volatility_pct", "annualized_volatility_pct"),
+    "return_correlation": ("asset_a", "asset_b", "correlation"),
 }
-UNIQUE = {"dim_assets": "asset_id", "dim_dates": "date", "rpt_volatility_comparison": "asset_id"}
+UNIQUE = {"dim_assets": "asset_id", "dim_dates": "date", "volatility_comparison": "asset_id"}
 ACCEPTED = {
     ("dim_assets", "asset_type"): ("crypto", "fiat", "stock", "index"),
     ("dim_dates", "is_trading_day"): (0, 1),
-    ("int_market__btc_relative_perf", "outperformed_btc_flag"): (0, 1),
-    ("fct_daily_prices", "price_source"): ("OBSERVED", "IMPUTED"),
-    ("rpt_performance_summary", "period"): ("7D", "1M", "3M", "6M", "YTD", "1Y"),
-    ("rpt_performance_summary", "vs_btc_status"): ("Outperformed", "Matched", "Underperformed"),
+    ("benchmark_relative", "outperformed_btc_flag"): (0, 1),
+    ("daily_prices_locf", "price_source"): ("OBSERVED", "IMPUTED"),
+    ("performance_summary", "period"): ("7D", "1M", "3M", "6M", "YTD", "1Y"),
+    ("performance_summary", "vs_btc_status"): ("Outperformed", "Matched", "Underperformed"),
 }
-RELATED = {("fct_daily_prices", "asset_id"): ("dim_assets", "asset_id")}
+RELATED = {("daily_prices_locf", "asset_id"): ("dim_assets", "asset_id")}
 
 
 @dataclass
@@ -93,46 +93,48 @@ def data_tests(models: dict[str, DataFrame]) -> dict[str, DataFrame]:
         if name in models and parent in models:
             tests[f"relationships:{name}.{column}"] = c.relationship_violations(
                 models[name], column, models[parent], key)
-    if "int_market__data_gaps" in models:
-        tests["no_critical_gaps"] = market.critical_gaps(models["int_market__data_gaps"])
+    if "data_gaps" in models:
+        tests["no_critical_gaps"] = market.critical_gaps(models["data_gaps"])
     return tests
 
 
 def build_models(series: DataFrame, bars: DataFrame, rates: DataFrame, holidays: DataFrame, root: str,
                  run_tests: bool = True, benchmark: str = fv.BENCHMARK_ID, buckets: int | None = None,
-                 **options) -> Build:
+                 names: dict[str, str] | None = None, **options) -> Build:
     """All models from staged inputs under ``<root>/<layer>/<model>.parquet``.
 
     ``buckets`` hashes prices and returns by asset: the one shuffle at their
-    writing then serves every per-asset model after them.
+    writing then serves every per-asset model after them. ``names`` stores
+    models under other names, where readers expect those.
     """
     build = Build()
 
     def save(name: str, df: DataFrame, *sort: str) -> DataFrame:
-        build.models[name] = write_model(df, root, LAYERS[name], name, sort, buckets if sort else None)
+        build.models[name] = write_model(
+            df, root, LAYERS[name], (names or {}).get(name, name), sort, buckets if sort else None)
         return build.models[name]
 
-    series = save("stg_coingecko__market_chart", series)
-    bars = save("stg_massive__stocks_daily", bars)
-    rates = save("stg_massive__forex_daily", rates)
-    holidays = save("stg_static__market_holidays", holidays)
-    prices = save("int_market__unified_prices", core.unified_prices(series, bars, rates, benchmark, **options),
+    series = save("stg_benchmark_series", series)
+    bars = save("stg_bars", bars)
+    rates = save("stg_rates", rates)
+    holidays = save("stg_holidays", holidays)
+    prices = save("unified_prices", core.unified_prices(series, bars, rates, benchmark, **options),
                   "asset_id", "data_date")
-    returns = save("int_market__daily_returns", market.daily_returns(prices), "asset_id", "data_date")
-    save("int_market__btc_relative_perf", market.benchmark_relative(returns, benchmark))
-    rolling = save("int_market__rolling_metrics", market.rolling_metrics(returns))
+    returns = save("daily_returns", market.daily_returns(prices), "asset_id", "data_date")
+    save("benchmark_relative", market.benchmark_relative(returns, benchmark))
+    rolling = save("rolling_metrics", market.rolling_metrics(returns))
     assets = save("dim_assets", core.dim_assets(prices))
     dates = save("dim_dates", core.dim_dates(prices, holidays))
-    save("int_market__data_gaps", market.data_gaps(prices, dates).withColumn("detected_at", F.current_timestamp()))
-    save("fct_daily_prices", core.daily_prices(prices, dates, assets))
+    save("data_gaps", market.data_gaps(prices, dates).withColumn("detected_at", F.current_timestamp()))
+    save("daily_prices_locf", core.daily_prices(prices, dates, assets))
     facts = save("fct_daily_returns", core.fct_daily_returns(returns), "asset_id", "data_date")
     save("fct_rolling_metrics", market.fct_rolling_metrics(rolling))
     # Filled prices are looked up in the observed ones: far fewer rows to read.
     calendar = dates.select(F.col("date").alias("data_date"))
-    save("rpt_performance_summary", reports.performance_summary(prices, benchmark=benchmark, calendar=calendar))
-    save("rpt_investment_simulation", reports.investment_comparison(prices, benchmark, calendar))
-    save("rpt_volatility_comparison", reports.volatility_comparison(facts))
-    save("rpt_correlation", reports.return_correlation(facts, blocks=ceil(assets.count() / 256) or 1))
+    save("performance_summary", reports.performance_summary(prices, benchmark=benchmark, calendar=calendar))
+    save("investment_comparison", reports.investment_comparison(prices, benchmark, calendar))
+    save("volatility_comparison", reports.volatility_comparison(facts))
+    save("return_correlation", reports.return_correlation(facts, blocks=ceil(assets.count() / 256) or 1))
     if run_tests:
         build.violations = {name: rows.count() for name, rows in data_tests(build.models).items()}
     return build

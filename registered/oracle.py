@@ -224,7 +224,8 @@ _VOL = """
 
 _DAILY_EVENTS = """
     SELECT 'C:' || upper(event_type) || 'USD' AS ticker, CAST(ts AS DATE) AS data_date,
-           arg_min(value, event_id) AS open, max(value) AS high, min(value) AS low, arg_max(value, event_id) AS close,
+           arg_min(value + 1, event_id) AS open, max(value + 1) AS high, min(value + 1) AS low,
+           arg_max(value + 1, event_id) AS close,
            CAST(count(*) AS DOUBLE) AS volume,
            'massive_forex_' || strftime(date_trunc('month', min(ts)), '%Y%m%d') || '_C_' || upper(event_type) || 'USD'
                AS __batch_id

@@ -310,12 +310,14 @@ def load_plan(spark, sf):
 
 
 def _event_responses(spark, sf):
-    """Events as daily rate bars, one response per type and month (at most 31 bars)."""
-    day = F.to_date("ts")
-    ordered = F.struct("event_id", "value")
-    daily = inputs.table(spark, sf, "events").groupBy("event_type", day.alias("day")).agg(
-        F.min(ordered).getField("value").alias("o"), F.max("value").alias("h"), F.min("value").alias("l"),
-        F.max(ordered).getField("value").alias("c"), F.count(F.lit(1)).cast("double").alias("v"))
+    """Events as daily rate bars, one response per type and month (at most 31 bars).
+
+    Event values may be zero and prices may not, so a price is one plus the value.
+    """
+    daily = inputs.table(spark, sf, "events").withColumn("price", F.col("value") + 1).groupBy(
+        "event_type", F.to_date("ts").alias("day")).agg(
+        F.min_by("price", "event_id").alias("o"), F.max("price").alias("h"), F.min("price").alias("l"),
+        F.max_by("price", "event_id").alias("c"), F.count(F.lit(1)).cast("double").alias("v"))
     bar = F.struct((F.unix_date("day").cast("bigint") * 86_400_000).alias("t"), "o", "h", "l", "c", "v")
     return (daily.groupBy(F.concat(F.lit("C:"), F.upper("event_type"), F.lit("USD")).alias("ticker"),
                           F.trunc("day", "month").alias("month"))

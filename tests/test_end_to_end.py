@@ -83,7 +83,7 @@ def test_ledger_of_the_run(spark, lake):
 def test_bronze_keeps_all_points_and_staging_the_latest(spark, lake, models):
     bronze = published.read_published(spark, lake, contracts.CRYPTO_SERIES)
     assert bronze.count() == DAYS + 1
-    series = models.models["stg_coingecko__market_chart"]
+    series = models.models["stg_benchmark_series"]
     last = series.orderBy(F.desc("data_date")).first()
     assert series.count() == DAYS and last.close_price == 862.23
     assert last["__batch_id"] == "coingecko_market_chart_20250128_bitcoin"
@@ -91,28 +91,28 @@ def test_bronze_keeps_all_points_and_staging_the_latest(spark, lake, models):
 
 def test_data_tests_find_only_the_missing_session(models):
     assert {k: v for k, v in models.violations.items() if v} == {"no_critical_gaps": 1}
-    gap = models.models["int_market__data_gaps"].filter("asset_id = 'SPY'").collect()
+    gap = models.models["data_gaps"].filter("asset_id = 'SPY'").collect()
     assert [str(g.missing_date) for g in gap] == ["2025-03-12"]
 
 
 def test_reports(models):
-    invest = {(r.asset, r.strategy): r for r in models.models["rpt_investment_simulation"].collect()}
+    invest = {(r.asset, r.strategy): r for r in models.models["investment_comparison"].collect()}
     lump = invest["BTC", "Lump Sum"]
     assert lump.avg_purchase_price == 100.0 and lump.current_value_usd == pytest.approx(8622.3)
     assert invest["USD", "Lump Sum"].profit_loss_usd == 0.0 and invest["BTC", "DCA"].initial_investment_usd == 1200.0
-    performance = models.models["rpt_performance_summary"]
+    performance = models.models["performance_summary"]
     assert performance.count() == 6 * 6
     assert performance.filter("asset_id = 'BTC' and vs_btc_status <> 'Matched'").count() == 0
-    volatility = models.models["rpt_volatility_comparison"]
+    volatility = models.models["volatility_comparison"]
     assert volatility.filter("asset_id = 'USD'").first().volatility_rank == 6
     assets = {r.asset_id: (r.asset_name, r.asset_type) for r in models.models["dim_assets"].collect()}
     assert assets == {"BTC": ("Bitcoin", "crypto"), "USD": ("US Dollar", "fiat"), "AAPL": ("Apple Inc.", "stock"),
                       "SPY": ("S&P 500 ETF", "index"), "EUR": ("Euro", "fiat"), "GBP": ("British Pound", "fiat")}
-    correlation = models.models["rpt_correlation"]
+    correlation = models.models["return_correlation"]
     assert correlation.filter("asset_a = 'USD'").count() == 0 and correlation.count() == 25
 
 
 def test_filled_prices_cover_weekends(models):
-    filled = models.models["fct_daily_prices"]
+    filled = models.models["daily_prices_locf"]
     assert filled.filter("asset_id = 'AAPL'").count() == DAYS
     assert filled.filter("asset_id = 'AAPL' and price_source = 'IMPUTED' and dayofweek(data_date) in (1, 7)").count() > 100

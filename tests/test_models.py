@@ -407,11 +407,11 @@ def test_build_writes_and_tests_every_model(spark, priced, market_year, holidays
     assert set(build.models) == set(LAYERS)
     for name, layer in LAYERS.items():
         assert (tmp_path / layer / f"{name}.parquet").is_dir()
-        assert build.models[name].count() > 0 or name == "stg_massive__forex_daily"
+        assert build.models[name].count() > 0 or name == "stg_rates"
     assert {k: v for k, v in build.violations.items() if v} == {"no_critical_gaps": 100}
     assert not build.ok
-    assert build.models["rpt_investment_simulation"].count() == 3
-    assert build.models["fct_daily_prices"].filter("price_source = 'IMPUTED'").count() > 0
+    assert build.models["investment_comparison"].count() == 3
+    assert build.models["daily_prices_locf"].filter("price_source = 'IMPUTED'").count() > 0
 
 
 def exchanges(df):
@@ -423,12 +423,13 @@ def test_bucketed_prices_need_no_further_shuffle(spark, priced, market_year, hol
     prices = priced(market_year)
     prices = prices.filter("asset_id <> 'USD'")  # cash is added by the build
     none = prices.limit(0)
-    build = build_models(prices, none, none, holidays, str(tmp_path), run_tests=False, buckets=4,
+    build = build_models(prices, none, none, holidays, str(tmp_path), run_tests=False, buckets=4, names={"dim_dates": "calendar"},
                          cash_ingested_at=F.lit("t"))
-    stored, returns = build.models["int_market__unified_prices"], build.models["int_market__daily_returns"]
+    stored, returns = build.models["unified_prices"], build.models["daily_returns"]
     assert exchanges(market.daily_returns(stored)) == 0
     assert exchanges(market.rolling_metrics(market.daily_returns(stored))) == 0
     assert exchanges(figures.holding_value_curve(stored)) == 0
     assert exchanges(figures.annualised_volatility(returns)) == 0
     direct = market.daily_returns(core.unified_prices(prices, cash_ingested_at=F.lit("t")))
     assert rows(returns) == rows(direct)
+    assert (tmp_path / "marts" / "calendar.parquet").is_dir() and not (tmp_path / "marts" / "dim_dates.parquet").exists()
