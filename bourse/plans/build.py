@@ -41,10 +41,15 @@ LAYERS = {
 
 # --- fixed values: data tests per model ----------------------------------------
 NOT_NULL = {
+    "stg_benchmark_series": ("data_date", "data_timestamp", "close_price", "asset_id"),
+    "stg_bars": ("asset_id", "data_date", "close_price"),
+    "stg_rates": ("asset_id", "data_date", "close_price"),
+    "stg_holidays": ("holiday_date", "market_status", "market_code"),
     "unified_prices": ("asset_id", "data_date", "close_price"),
     "daily_returns": ("asset_id", "data_date", "close_price"),
     "benchmark_relative": ("asset_id", "data_date"),
     "rolling_metrics": ("asset_id", "data_date"),
+    "data_gaps": ("asset_id", "missing_date"),
     "dim_assets": ("asset_id",),
     "dim_dates": ("date",),
     "daily_prices_locf": ("asset_id", "data_date", "close_price"),
@@ -57,6 +62,12 @@ NOT_NULL = {
 }
 UNIQUE = {"dim_assets": "asset_id", "dim_dates": "date", "volatility_comparison": "asset_id"}
 ACCEPTED = {
+    ("stg_benchmark_series", "asset_id"): (fv.BENCHMARK_ID,),
+    ("stg_bars", "asset_type"): ("stock", "index", "unknown"),
+    ("stg_rates", "asset_type"): ("fiat",),
+    ("stg_holidays", "market_code"): ("US", "UK", "EU"),
+    ("data_gaps", "asset_type"): ("crypto", "fiat", "stock", "index"),
+    ("data_gaps", "is_trading_day"): (0, 1),
     ("dim_assets", "asset_type"): ("crypto", "fiat", "stock", "index"),
     ("dim_dates", "is_trading_day"): (0, 1),
     ("benchmark_relative", "outperformed_btc_flag"): (0, 1),

@@ -402,7 +402,8 @@ def test_swaps(spark):
 
 def test_build_writes_and_tests_every_model(spark, priced, market_year, holidays, tmp_path):
     prices = priced(market_year)
-    build = build_models(prices.filter("asset_type = 'crypto'"), prices.filter("asset_type = 'stock'"),
+    build = build_models(prices.filter("asset_type = 'crypto'").withColumn("data_timestamp", F.col("data_date").cast("timestamp")),
+                         prices.filter("asset_type = 'stock'"),
                          prices.filter("asset_type = 'fiat'").limit(0), holidays, str(tmp_path))
     assert set(build.models) == set(LAYERS)
     for name, layer in LAYERS.items():

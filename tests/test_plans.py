@@ -2,27 +2,16 @@
 
 import re
 
-import pytest
-
 import __spark_entry__ as entry_module
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = entry_module.queries()
-# These write and read tables while the query is built; their parts are covered elsewhere.
-EAGER = {"landing_round_trip", "published_bronze", "published_dates", "landing_lineage", "stg_holidays",
-         "materialised_rates"}
 
 
 def plan_of(spark, name):
     return QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
-def test_no_product_joins(spark, name):
-    plan = plan_of(spark, name)
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-
-
 def test_latest_of_day_is_limited_before_the_shuffle(spark):
     plan = plan_of(spark, "stg_benchmark_series")
     assert plan.count("WindowGroupLimit") == 2
