@@ -9,9 +9,11 @@ ceil(t (n + m) / (1 + t)) elements, so every subset of that size is a key, and a
 scan inverted lists of their rarest elements: with overlap o needed, linked nodes share one of their size - o + 1 rarest.
 The boundary is where the number of subsets exceeds the cost of the lists, from the sizes of all nodes.
 
-Lists do not emit all pairs. First every node of a list is checked against the list's least node, which links most of
-a group of near copies; then only pairs of different components are checked, so a group costs links in proportion to its
-size. All links between different components are found, so the components are exact.
+Lists do not emit all pairs. First every node of a list is checked against the list's least node, then, where a list
+still spans components, against one of its nodes that differs from list to list; this connects groups of near copies at
+a cost in proportion to their entries. Only pairs of different components are left to check, and only where the first
+element in common leaves room for the overlap needed. All links between different components are found, so the
+components are exact.
 
 Defined cases: null or empty text and text without words has an empty set, which links with nothing; fewer words than w
 make one shingle; repeated rows and ties share a node; an empty table gives an empty result; other columns are not read.
@@ -132,8 +134,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(check, "a long, b long")
 
 
-def links_of(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) between different nodes: all that are needed to connect each component."""
+def connections_of(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Pairs (a, b) of nodes that connect each component: links, or nodes and the roots that links gave them."""
     sets = stored(shared_elements(docs, lambda texts: shingle_sets(texts, words), percent / 100), "join-sets")
     counts = {r["size"]: r["count"] for r in sets.where(F.col("size") <= 2 * LARGEST_SMALL).groupBy("size").count().collect()}
     boundary = boundary_by_cost(counts, percent)
@@ -158,8 +160,8 @@ def links_of(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
                 if prefix > 0:
                     rare = elements[:prefix]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(rare.view(np.int64)), pa.array(np.full(len(rare), node)), pa.array(np.full(len(rare), n))],
-                        ["key", "node", "size"])
+                        [pa.array(rare.view(np.int64)), pa.array(np.full(len(rare), node)), pa.array(np.full(len(rare), n)),
+                         pa.array(len(elements) - np.arange(len(rare)))], ["key", "node", "size", "room"])
 
     checked = []
     if boundary and any(n <= boundary for n in counts):
@@ -172,27 +174,45 @@ def links_of(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
         checked.append(met)
 
     large = F.col("size") * 100 > percent * boundary
-    lists = stored(sets.where(large).mapInArrow(list_entries, "key long, node long, size long"), "join-lists")
-    least = lists.groupBy("key").agg(F.min(F.struct("node", "size")).alias("p"), F.count("*").alias("n")).where("n > 1")
-    least = stored(least.select("key", F.col("p.node").alias("other"), F.col("p.size").alias("other_size")), "join-pivots")
+    # room: the elements from this one on, which bound the overlap of two sets from their first common element.
+    lists = stored(sets.where(large).mapInArrow(list_entries, "key long, node long, size long, room long"), "join-lists")
+    shared = lists.groupBy("key").count().where("count > 1").select("key")
     over = F.greatest("size", "other_size") > boundary
-    starred = lists.join(least, "key").where(_size_ok(percent) & over)
-    checked.append(starred.select("node", "other"))
-    pairs = checked[0] if len(checked) == 1 else checked[0].union(checked[1])
-    pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).where("a < b").distinct()
-    links = stored(_verified(pairs, sets, percent), "join-links")
 
-    # Pairs of a list that are still in different components.
+    def starred(entries: DataFrame, order: F.Column) -> DataFrame:
+        """Each node of a list with the list's first node by some order."""
+        first = stored(entries.groupBy("key").agg(F.min(F.struct(order.alias("o"), "node", "size")).alias("p")), "join-pivots")
+        first = first.select("key", F.col("p.node").alias("other"), F.col("p.size").alias("other_size"))
+        return entries.join(first, "key").where((F.col("node") != F.col("other")) & _size_ok(percent) & over)
+
+    def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+        """The roots after some more links, as (node, root) of the nodes that have one."""
+        both = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)
+        return stored(components(both), "join-roots")
+
+    def open_entries(roots: DataFrame) -> DataFrame:
+        """Entries of the lists that hold more than one component, with their roots."""
+        labelled = stored(lists.join(roots, "node", "left").select("key", "node", "size", "room", F.coalesce("root", "node").alias("root")), "join-labelled")
+        mixed = stored(labelled.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key"), "join-mixed")
+        return stored(labelled.join(mixed, "key", "left_semi"), "join-open")
+
+    def pairs_of(met: DataFrame) -> DataFrame:
+        return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).where("a < b").distinct()
+
+    lists = stored(lists.join(stored(shared, "join-shared"), "key", "left_semi"), "join-lists")
+    checked.append(starred(lists, F.col("node")).select("node", "other"))
+    met = checked[0] if len(checked) == 1 else checked[0].union(checked[1])
+    links = stored(_verified(pairs_of(met), sets, percent), "join-links")
     roots = stored(components(links), "join-roots")
-    labelled = lists.join(least.select("key"), "key", "left_semi").join(roots, "node", "left").select(
-        "key", "node", "size", F.coalesce("root", "node").alias("root"))
-    labelled = stored(labelled, "join-labelled")
-    mixed = stored(labelled.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key"), "join-mixed")
-    open_lists = stored(labelled.join(mixed, "key", "left_semi"), "join-open")
-    other = open_lists.select("key", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("root").alias("other_root"))
-    rest = open_lists.join(other, "key").where((F.col("node") < F.col("other")) & (F.col("root") != F.col("other_root")) & _size_ok(percent) & over)
-    rest = rest.select(F.col("node").alias("a"), F.col("other").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    return links.union(stored(_verified(rest, sets, percent), "join-links"))
+    more = stored(_verified(pairs_of(starred(open_entries(roots), F.xxhash64("node", "key"))), sets, percent), "join-links")
+    roots = merged(roots, more)
+    entries = open_entries(roots)
+    other = entries.select("key", *(F.col(c).alias("other" + {"node": ""}.get(c, "_" + c)) for c in ("node", "size", "room", "root")))
+    fits = (100 + percent) * F.least("room", "other_room") >= percent * (F.col("size") + F.col("other_size"))
+    rest = entries.join(other, "key").where(
+        (F.col("node") < F.col("other")) & (F.col("root") != F.col("other_root")) & fits & _size_ok(percent) & over)
+    last = stored(_verified(pairs_of(rest), sets, percent), "join-links")
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(last)
 
 
 def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -200,7 +220,7 @@ def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
     class_id is the smallest doc_id with the same set, component_id the smallest one reachable by links."""
     found = stored(nodes_of(docs, words), "join-nodes")
-    roots = components(links_of(docs, words, percent))
+    roots = components(connections_of(docs, words, percent))
     classes = found.where("size > 0").groupBy("node").agg(F.min("doc_id").alias("class_id"))
     classes = stored(classes.join(roots, "node", "left").select("node", "class_id", F.coalesce("root", "node").alias("root")), "join-classes")
     ids = stored(classes.groupBy("root").agg(F.min("class_id").alias("component_id")), "join-component-ids")
