@@ -230,3 +230,15 @@ def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         "doc_id", F.col("size").alias("n_shingles"),
         F.when(own, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(own, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+
+
+def first_of_components(docs: DataFrame) -> DataFrame:
+    """The document with the smallest doc_id of each component, and documents with an empty set, unchanged.
+
+    Of rows that repeat this id one stays; of components of null ids one row stays."""
+    found = join_components(docs)
+    keep = found.where(F.equal_null("doc_id", "component_id")).select("doc_id", (F.col("n_shingles") == 0).alias("empty")).distinct()
+    keep = stored(keep.groupBy(F.col("doc_id").alias("kept_id")).agg(F.max("empty").alias("empty")), "join-kept")
+    kept = docs.join(keep, F.equal_null("doc_id", "kept_id"))
+    once = kept.where(~F.col("empty")).dropDuplicates(["doc_id"]).select(*docs.columns)
+    return once.union(kept.where("empty").select(*docs.columns))

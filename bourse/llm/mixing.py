@@ -118,3 +118,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
     start = F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0))
     edge = placed.where(cut).withColumn("start", start)
     return out.union(edge.select(*result, (F.col("certain") + F.when(F.col("start") + F.col("size") / 2 <= wanted, F.col("size")).otherwise(F.lit(0))).alias("taken")))
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The documents, each as often as the mix takes it. Documents without words are taken no time.
+
+    Rows that repeat a doc_id are told apart by their order, so that each gets the copies of one of them."""
+    taken = mix(docs).where("taken > 0").select(F.col("doc_id").alias("taken_id"), "size", (F.col("taken") / F.col("size")).cast("int").alias("copies"))
+    taken = stored(taken, "mix-taken")
+    return docs.join(taken, F.equal_null(F.col("doc_id"), F.col("taken_id"))).select(
+        *docs.columns, F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")

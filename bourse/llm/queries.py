@@ -5,9 +5,10 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bourse.llm import jaccard, quality
+from bourse.llm import jaccard, mixing, multiset, pieces, quality, secrets, urls, wavelet
 
 REPOSITORY = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -20,17 +21,49 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents", "doc_id", "text")
+
+
+def op1_wavelet_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level ids in wavelet shards under the shared folder, described from the files."""
+    return wavelet.encoded_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five-word shingles, similarity 0.75."""
-    return jaccard.join_components(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return jaccard.join_components(_documents(spark, sf_dir))
+
+
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_documents(spark, sf_dir))
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset.fingerprints(_documents(spark, sf_dir))
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules, and a list of the canonical URLs on spam-named hosts of the same table."""
+    pages = _table(spark, sf_dir, "pages", "page_id", "url")
+    return urls.judged(pages, urls.listed_by_name(pages))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return quality.judge(_documents(spark, sf_dir))
+
+
+def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded_documents(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
-    "op9_quality_rules": op9_quality_rules,
+    f.__name__: f for f in (
+        op1_wavelet_token_files, op2_ngram_jaccard_join, op3_secret_scans, op4_source_mixing, op5_document_fingerprints,
+        op6_url_filters, op9_quality_rules, op10_piece_encoding)
 }
 ORACLE: dict[str, str] = {}

@@ -1,14 +1,16 @@
 """A corpus pipeline: quality rules, near-duplicate removal, secrets, source mix, piece encoding.
 
-Each stage reads what the one before it wrote and kept; all but the last return the columns of ``documents``.
+Each stage reads what the one before it wrote and kept; all but the last return the columns of ``documents``. SQL
+cannot express the shingle join and the piece lattice, so there is no SQL for the whole; tests compare each stage with
+brute force.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from bourse.llm import jaccard, quality
+from bourse.llm import jaccard, mixing, pieces, quality, secrets
 from bourse.llm.tables import stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -21,13 +23,31 @@ def keep_by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id stays."""
-    docs = docs.select(*COLUMNS)
-    groups = jaccard.join_components(docs)
-    first = stored(groups.where("doc_id <=> component_id").select("doc_id").distinct(), "pipeline-first")
-    return docs.join(first, F.equal_null(docs["doc_id"], first["doc_id"]), "left_semi")
+    return jaccard.first_of_components(docs.select(*COLUMNS))
 
 
-STAGES = [("quality rules", keep_by_quality), ("n-gram Jaccard join", drop_near_copies)]
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The values of secrets are replaced in the texts."""
+    return secrets.redacted(docs.select(*COLUMNS))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document is there as often as the mix takes it."""
+    return mixing.mixed_documents(docs.select(*COLUMNS))
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, with the scores of its best segmentations."""
+    return pieces.encoded_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=True)
+
+
+STAGES = [
+    ("quality rules", keep_by_quality),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("secret scans", redact_secrets),
+    ("mixing sources to target weights", mix_sources),
+    ("SentencePiece encoding and decoding", encode_pieces),
+]
 ORACLE_SQL = None
 
 
