@@ -74,7 +74,7 @@ def inclusion(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     by_size = by_size.select(
         "source", "size", F.coalesce(F.sum("words").over(larger), F.lit(0)).cast("double").alias("sure"),
         F.sum("squares").over(rest).cast("double").alias("squares"))
-    joined = by_size.withColumnRenamed("source", "s").join(F.broadcast(plan) if False else plan, F.equal_null(F.col("s"), F.col("source")))
+    joined = by_size.withColumnRenamed("source", "s").join(plan, F.equal_null(F.col("s"), F.col("source")))
     c = (F.col("rest") - F.col("sure")) / F.col("squares")
     valid = (c >= 0) & (c * F.col("size") <= 1)
     scales = joined.groupBy("s").agg(F.max_by(F.when(valid, c), F.when(valid, F.col("size"))).alias("scale"))
@@ -123,8 +123,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents, each as often as the mix takes it. Documents without words are taken no time.
 
-    Rows that repeat a doc_id are told apart by their order, so that each gets the copies of one of them."""
-    taken = mix(docs).where("taken > 0").select(F.col("doc_id").alias("taken_id"), "size", (F.col("taken") / F.col("size")).cast("int").alias("copies"))
-    taken = stored(taken, "mix-taken")
+    Rows that repeat a doc_id each get the rounded mean of the copies of all of them."""
+    taken = mix(docs).groupBy(F.col("doc_id").alias("taken_id")).agg(
+        F.round(F.sum(F.when(F.col("size") > 0, F.col("taken") / F.col("size"))) / F.count("*")).cast("int").alias("copies"))
+    taken = stored(taken.where("copies > 0"), "mix-taken")
     return docs.join(taken, F.equal_null(F.col("doc_id"), F.col("taken_id"))).select(
         *docs.columns, F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bourse.llm import jaccard, mixing, multiset, pieces, quality, secrets, urls, wavelet
+from bourse.llm import jaccard, mixing, multiset, pieces, quality, secrets, suffixes, toxicity, urls, wavelet
 
 REPOSITORY = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -53,6 +53,14 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(pages, urls.listed_by_name(pages))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicated(_documents(spark, sf_dir))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_documents(spark, sf_dir), _table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_documents(spark, sf_dir))
 
@@ -64,6 +72,5 @@ def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_wavelet_token_files, op2_ngram_jaccard_join, op3_secret_scans, op4_source_mixing, op5_document_fingerprints,
-        op6_url_filters, op9_quality_rules, op10_piece_encoding)
+        op6_url_filters, op7_suffix_dedup, op8_toxicity, op9_quality_rules, op10_piece_encoding)
 }
-ORACLE: dict[str, str] = {}

@@ -72,6 +72,11 @@ def _rows(pairs: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([blob], pa.binary())], ["part", "blob"])
 
 
+def element_ids(elements: np.ndarray, parts: int) -> np.ndarray:
+    """What `shared_elements` returns for elements dealt into so many parts."""
+    return (elements & U((1 << 48) - 1)) | ((elements >> U(48)) % U(parts) << U(48))
+
+
 def shared_elements(docs: DataFrame, extract: Callable[[list[bytes]], Sets], least_share: float = 0.0) -> DataFrame:
     """Rows (node, size, elements) of the elements that at least two nodes have, rarest first (by powers of two, then
     by hash), for nodes with at least ``least_share`` of their elements shared, and one at least.
