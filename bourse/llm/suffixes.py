@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -180,7 +181,8 @@ class _Scatter:
             start = run["start"][gone].astype(np.int64)
             rows = _span_rows(docs, run["doc"][gone].astype(np.int64), start, start + run["length"][gone])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(rows), -1, np.int32)), pa.array([None] * len(rows), pa.binary()), *map(pa.array, zip(*rows, strict=True))],
+                [pa.array(np.array([r[1] for r in rows]) % (len(self.splitters) + 1), pa.int32()), pa.array([None] * len(rows), pa.binary()),
+                 *map(pa.array, zip(*rows, strict=True))],
                 ["bucket", "blob", "rank", "node", "spans"])
         bucket = np.searchsorted(self.splitters, grams[order], "right").astype(np.int32)
         by = np.argsort(bucket, kind="stable")
@@ -194,15 +196,17 @@ class _Scatter:
             rows = text[some]
             flat = rows[np.arange(rows.shape[1]) < part["length"][:, None]]
             blob = b"".join([len(used).to_bytes(4, "little"), len(part).to_bytes(4, "little"), docs[used].tobytes(), part.tobytes(), flat.tobytes()])
+            packed = len(blob).to_bytes(8, "little") + pa.compress(blob, "zstd", asbytes=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(bucket[lo])], pa.int32()), pa.array([blob], pa.binary()), pa.array([None], pa.int64()),
+                [pa.array([int(bucket[lo])], pa.int32()), pa.array([packed], pa.binary()), pa.array([None], pa.int64()),
                  pa.array([None], pa.int64()), pa.array([None], pa.binary())], ["bucket", "blob", "rank", "node", "spans"])
         self.clear()
 
 
 def _open(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     docs, runs, text, offset = [], [], [], 0
-    for blob in blobs:
+    for packed in blobs:
+        blob = pa.decompress(memoryview(packed)[8:], int.from_bytes(packed[:8], "little"), "zstd", asbytes=True)
         n, m = int.from_bytes(blob[:4], "little"), int.from_bytes(blob[4:8], "little")
         docs.append(np.frombuffer(blob, _DOC, n, 8))
         run = np.frombuffer(blob, _RUN, m, 8 + n * _DOC.itemsize).copy()
@@ -214,7 +218,11 @@ def _open(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _bucket(table: pa.Table) -> pa.Table:
-    """Spans of a bucket's documents that an earlier document holds as well."""
+    """Spans of a bucket's documents that an earlier document holds as well, with the spans already known."""
+    known = table.filter(pc.is_null(table.column("blob"))).select(["rank", "node", "spans"])
+    table = table.filter(pc.is_valid(table.column("blob")))
+    if not len(table):
+        return known
     docs, run, text = _open(table.column("blob").to_pylist())
     batch = Batch([text.tobytes()])
     ends = np.cumsum(run["length"].astype(np.int64)) + 1
@@ -263,7 +271,8 @@ def _bucket(table: pa.Table) -> pa.Table:
     begin = run["start"][chosen].astype(np.int64)
     rows = _span_rows(docs, run["doc"][chosen].astype(np.int64), begin + np.concatenate(out_from), begin + np.concatenate(out_to))
     ranks, nodes, spans = zip(*rows, strict=True) if rows else ((), (), ())
-    return pa.table({"rank": pa.array(ranks, pa.int64()), "node": pa.array(nodes, pa.int64()), "spans": pa.array(spans, pa.binary())})
+    found = pa.table({"rank": pa.array(ranks, pa.int64()), "node": pa.array(nodes, pa.int64()), "spans": pa.array(spans, pa.binary())})
+    return pa.concat_tables([known, found.cast(known.schema)])
 
 
 def _slices(gram: np.ndarray, windows: np.ndarray, most: int = 1 << 19) -> Iterator[tuple[int, int]]:
@@ -321,9 +330,7 @@ def spans_to_remove(docs: DataFrame, first: DataFrame) -> DataFrame:
 
     sent = docs.join(asked, F.col("rank") == F.col("r")).select("rank", "text", "node", "elements").mapInArrow(
         scatter, "bucket int, blob binary, rank long, node long, spans binary")
-    sent = stored(sent, "suffix-runs", compression="zstd")
-    found = sent.where("bucket >= 0").select("bucket", "blob").groupBy("bucket").applyInArrow(_bucket, "rank long, node long, spans binary")
-    return found.union(sent.where("bucket < 0").select("rank", "node", "spans"))
+    return sent.groupBy("bucket").applyInArrow(_bucket, "rank long, node long, spans binary")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
