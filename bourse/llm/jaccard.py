@@ -237,8 +237,12 @@ def first_of_components(docs: DataFrame) -> DataFrame:
 
     Of rows that repeat this id one stays; of components of null ids one row stays."""
     found = join_components(docs)
-    keep = found.where(F.equal_null("doc_id", "component_id")).select("doc_id", (F.col("n_shingles") == 0).alias("empty")).distinct()
-    keep = stored(keep.groupBy(F.col("doc_id").alias("kept_id")).agg(F.max("empty").alias("empty")), "join-kept")
+    keep = found.where(F.equal_null("doc_id", "component_id")).groupBy(F.col("doc_id").alias("kept_id")).agg(
+        F.max(F.col("n_shingles") == 0).alias("empty"), F.count("*").alias("n_rows"))
+    keep = stored(keep, "join-kept")
     kept = docs.join(keep, F.equal_null("doc_id", "kept_id"))
-    once = kept.where(~F.col("empty")).dropDuplicates(["doc_id"]).select(*docs.columns)
-    return once.union(kept.where("empty").select(*docs.columns))
+    if keep.where("n_rows > 1 and not empty").limit(1).count():
+        again = (F.col("n_rows") > 1) & ~F.col("empty")
+        return kept.where(~again).select(*docs.columns).union(
+            kept.where(again).dropDuplicates(["doc_id"]).select(*docs.columns))
+    return kept.select(*docs.columns)
