@@ -19,7 +19,6 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +27,7 @@ from pyspark.sql import functions as F
 
 from bourse.llm.ordering import LOWEST, blocks, in_order
 from bourse.llm.tables import stored
+from bourse.llm.tokens import encoder
 from bourse.session import shared_folder
 
 END_ID = 2
@@ -48,11 +48,12 @@ class WaveletMatrix:
         zeros, ones, bits = [], [], []
         current = tokens.astype(np.uint16 if planes <= 16 else np.uint32)
         for plane in range(planes - 1, -1, -1):
-            bit = ((current >> plane) & 1).astype(bool)
+            bit = (current & current.dtype.type(1 << plane)) != 0
             packed = np.packbits(bit, bitorder="little")
-            counts = np.zeros(len(bit) // STEP + 1, np.uint32)
-            full = bit[: len(bit) // STEP * STEP].reshape(-1, STEP).sum(1)
-            np.cumsum(full, out=counts[1:])
+            blocks = len(bit) // STEP
+            counts = np.zeros(blocks + 1, np.uint32)
+            words = packed[: blocks * STEP // 8].view("<u8").reshape(blocks, STEP // 64)
+            np.cumsum(np.bitwise_count(words).sum(1, dtype=np.uint32), out=counts[1:])
             low = current[~bit]
             zeros.append(len(low))
             ones.append(counts)
@@ -133,7 +134,7 @@ class WaveletMatrix:
         """All tokens: the planes undone from the lowest bit up."""
         values = np.zeros(self.size, np.uint16 if self.planes <= 16 else np.uint32)
         for plane in range(self.planes - 1, -1, -1):
-            bit = np.unpackbits(self.bits[plane], count=self.size, bitorder="little").astype(bool)
+            bit = np.unpackbits(self.bits[plane], count=self.size, bitorder="little").view(bool)
             here = np.empty_like(values)
             here[~bit] = values[: self.zeros[plane]]
             here[bit] = values[self.zeros[plane] :] | values.dtype.type(1 << (self.planes - 1 - plane))
@@ -159,37 +160,25 @@ def open_shard(data: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix
     return [None if i == LOWEST else i for i in ids.tolist()], lengths, matrix
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # a document's text is text
-    return tokenizer
-
-
 def write_shards(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> None:
     """Encode every document and write the shard files under ``folder``."""
 
     def encode(table: pa.Table) -> pa.Table:
         table = in_order(table)
-        tokenizer = _tokenizer(vocabulary)
-        planes = max(tokenizer.get_vocab_size() - 1, end_id, 1).bit_length()
+        words = encoder(vocabulary)
+        planes = max(words.largest, end_id, 1).bit_length()
         ids, texts = table.column("doc_id").to_pylist(), table.column("text").to_pylist()
         block = table.column("block")[0].as_py()
         rows: list[tuple] = []
         held: list[np.ndarray] = []
         first, size = 0, 0
-        for at in range(0, len(texts), 64):
-            for one in tokenizer.encode_batch_fast(texts[at : at + 64], add_special_tokens=False):
-                held.append(np.array([*one.ids, end_id], np.uint32))
-                size += len(held[-1])
-                if size >= shard_tokens:
-                    rows.append((block, len(rows), size, shard_bytes(ids[first : first + len(held)], list(map(len, held)), np.concatenate(held), planes)))
-                    first, size, held = first + len(held), 0, []
+        end = np.array([end_id], np.uint32)
+        for found in words.encode(texts):
+            held.append(np.concatenate([found, end]))
+            size += len(held[-1])
+            if size >= shard_tokens:
+                rows.append((block, len(rows), size, shard_bytes(ids[first : first + len(held)], list(map(len, held)), np.concatenate(held), planes)))
+                first, size, held = first + len(held), 0, []
         if held:
             rows.append((block, len(rows), size, shard_bytes(ids[first:], list(map(len, held)), np.concatenate(held), planes)))
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.binary()), strict=True)],
