@@ -39,7 +39,6 @@ MATCH, GRAM = 50, 24
 WINDOW = MATCH - GRAM + 1
 SAMPLE_DOCUMENTS = 2000
 FLUSH_RUNS = 1 << 18
-BROADCAST_BYTES = 32 << 20
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 _RUN = np.dtype([("doc", "<u4"), ("start", "<u4"), ("anchor", "u1"), ("length", "u1")])
 _DOC = np.dtype([("rank", "<i8"), ("node", "<i8")])
@@ -350,7 +349,6 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     first = stored(first, "suffix-first")
     spans = spans_to_remove(docs, first).groupBy("rank", "node").agg(F.collect_list("spans").alias("spans"))
     spans = stored(spans, "suffix-spans")
-    size = spans.agg(F.sum(F.expr("aggregate(spans, 64L, (n, s) -> n + length(s))"))).first()[0] or 0
     wanted = spans.select(F.col("rank").alias("r"), "node", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -370,7 +368,6 @@ def deduplicated(docs: DataFrame) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["r", "n", "removed", "spans", "kept"])
 
-    wanted = F.broadcast(wanted) if size <= BROADCAST_BYTES else wanted
     done = docs.join(wanted, F.col("rank") == F.col("r")).select("rank", "text", "node", "spans").mapInArrow(
         cut, "r long, n long, removed long, spans long, kept string").distinct()
     done = stored(done, "suffix-cut")
