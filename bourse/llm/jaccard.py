@@ -40,6 +40,7 @@ from bourse.llm.text import Batch, U, chunks, encoded, inside, mix, ngram_hash
 WORDS, PERCENT = 5, 75
 # Subsets of nodes beyond this size are never cheaper than lists.
 LARGEST_SMALL = 16
+BROADCAST_BYTES, ROW_BYTES = 64 << 20, 32
 
 
 def shingle_sets(texts: list[bytes], n: int = WORDS) -> Sets:
@@ -73,15 +74,16 @@ def _sequence(words: np.ndarray) -> int:
 
 
 def nodes_of(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, node, size) of every document."""
+    """(doc_id, text_key, node, size) of every document; text_key is Spark's hash of the text as it stands."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):
             nodes, sizes, _, _ = shingle_sets(encoded(chunk.column("text")), words)
-            yield pa.RecordBatch.from_arrays(
-                [chunk.column("doc_id"), pa.array(nodes.view(np.int64)), pa.array(sizes)], ["doc_id", "node", "size"])
+            yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), chunk.column("text_key"), pa.array(nodes.view(np.int64)), pa.array(sizes)],
+                                             ["doc_id", "text_key", "node", "size"])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(find, "doc_id long, node long, size long")
+    rows = docs.selectExpr("cast(doc_id as long) doc_id", "text", "xxhash64(text) text_key")
+    return rows.mapInArrow(find, "doc_id long, text_key long, node long, size long")
 
 
 def overlap_needed(n: int, m: int, percent: int) -> int:
@@ -219,30 +221,41 @@ def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     """(doc_id, n_shingles, component_id, class_id) of every document.
 
     class_id is the smallest doc_id with the same set, component_id the smallest one reachable by links."""
+    return _components(docs, words, percent).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """As `join_components`, with text_key and the root node of the component (null for an empty set)."""
     found = stored(nodes_of(docs, words), "join-nodes")
     roots = components(connections_of(docs, words, percent))
     classes = found.where("size > 0").groupBy("node").agg(F.min("doc_id").alias("class_id"))
     classes = stored(classes.join(roots, "node", "left").select("node", "class_id", F.coalesce("root", "node").alias("root")), "join-classes")
     ids = stored(classes.groupBy("root").agg(F.min("class_id").alias("component_id")), "join-component-ids")
-    named = stored(classes.join(ids, "root").select("node", "class_id", "component_id"), "join-named")
+    named = stored(classes.join(ids, "root").select("node", "class_id", "component_id", "root"), "join-named")
     own = F.col("size") == 0
     return found.join(named, "node", "left").select(
-        "doc_id", F.col("size").alias("n_shingles"),
+        "doc_id", "text_key", "root", F.col("size").alias("n_shingles"),
         F.when(own, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(own, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
 
 
-def first_of_components(docs: DataFrame) -> DataFrame:
-    """The document with the smallest doc_id of each component, and documents with an empty set, unchanged.
-
-    Of rows that repeat this id one stays; of components of null ids one row stays."""
-    found = join_components(docs)
-    keep = found.where(F.equal_null("doc_id", "component_id")).groupBy(F.col("doc_id").alias("kept_id")).agg(
-        F.max(F.col("n_shingles") == 0).alias("empty"), F.count("*").alias("n_rows"))
-    keep = stored(keep, "join-kept")
-    kept = docs.join(keep, F.equal_null("doc_id", "kept_id"))
-    if keep.where("n_rows > 1 and not empty").limit(1).count():
-        again = (F.col("n_rows") > 1) & ~F.col("empty")
-        return kept.where(~again).select(*docs.columns).union(
-            kept.where(again).dropDuplicates(["doc_id"]).select(*docs.columns))
-    return kept.select(*docs.columns)
+def first_of_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One document of each component, unchanged: that with the smallest doc_id (null last), then by text hash. Documents
+    with an empty set all stay.
+
+    What goes is a list of (doc_id, text hash); it is broadcast up to `BROADCAST_BYTES` by its count, so that the texts
+    stay where they are, and shuffled beyond."""
+    found = stored(_components(docs, words, percent).where("n_shingles > 0"), "join-found")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    first = stored(found.groupBy("root").agg(F.min(place).alias("first")), "join-first")
+    placed = found.join(first, "root").select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"), place.alias("place"), "first")
+    gone = stored(placed.where("place <> first").select("gone_id", "gone_key").distinct(), "join-gone")
+    again = stored(placed.where("place = first").groupBy("gone_id", "gone_key").count().where("count > 1"), "join-again")
+    side = F.broadcast(gone) if gone.count() * ROW_BYTES <= BROADCAST_BYTES else gone
+    key = F.xxhash64("text")
+    kept = docs.join(side, F.equal_null(docs["doc_id"].cast("long"), F.col("gone_id")) & (key == F.col("gone_key")), "left_anti")
+    if not again.limit(1).count():
+        return kept
+    # Rows that repeat both id and text of a first document: one of each stays.
+    same = F.equal_null(kept["doc_id"].cast("long"), F.col("gone_id")) & (key == F.col("gone_key"))
+    return kept.join(again, same, "left_anti").union(kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))

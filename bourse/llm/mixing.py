@@ -81,26 +81,31 @@ def inclusion(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     return plan.join(scales, F.equal_null(F.col("s"), F.col("source")), "left").drop("s")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every document; ``taken`` is a multiple of its size."""
-    sizes = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count().alias("size")), "mix-sizes")
-    plan = stored(inclusion(sizes, source_targets(sizes, weights, most)), "mix-scales")
+def _drawn(rows: DataFrame, plan: DataFrame, seed: str) -> DataFrame:
+    """``rows`` (doc_id, source, size and others) with their source's plan, the words of certain copies, the words in the
+    pool, and their place in Pareto order: bucket and q."""
     p = plan.select(F.col("source").alias("s"), "n_docs", "source_size", "target", "copies", "rest", "scale")
-    drawn = sizes.join(p, F.equal_null(F.col("s"), F.col("source"))).drop("s")
+    drawn = rows.join(p, F.equal_null(F.col("s"), F.col("source"))).drop("s")
     chance = F.least(F.lit(1.0), F.coalesce(F.col("scale"), F.lit(0.0)) * F.col("size"))
     text = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("|" + seed))
     u = (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
     drawn = drawn.withColumn("p", chance).withColumn("u", u)
     sure = F.col("p") >= 1
-    drawn = drawn.withColumn("certain", (F.col("copies") + sure.cast("long")) * F.col("size"))
+    drawn = drawn.withColumn("sure", sure).withColumn("certain", (F.col("copies") + sure.cast("long")) * F.col("size"))
     drawn = drawn.withColumn("left", F.when(sure | (F.col("p") <= 0) | (F.col("size") <= 0), F.lit(0)).otherwise(F.col("size")))
     drawn = drawn.withColumn("q", F.when(F.col("left") > 0, (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))))
     mean = F.greatest(F.lit(0.001), F.least(F.lit(0.999), F.col("rest") / F.col("source_size")))
     typical = (1 - mean) / mean
     buckets = F.floor(F.col("n_docs") / BUCKET) + 1
     drawn = drawn.withColumn("bucket", F.when(F.col("left") > 0, F.floor(buckets * F.col("q") / (F.col("q") + typical))))
-    drawn = drawn.select("doc_id", "source", "size", "source_size", "target", "rest", "certain", "left", "q", "bucket", sure.alias("sure"))
+    return drawn.select(*rows.columns, "source_size", "target", "rest", "certain", "left", "q", "bucket", "sure")
 
+
+def _mixed(docs: DataFrame, weights: tuple[int, ...], most: int, seed: str) -> tuple[DataFrame, DataFrame]:
+    """The mix, with source and place in the order of every document, and the plan of the sources."""
+    sizes = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count().alias("size")), "mix-sizes")
+    plan = stored(inclusion(sizes, source_targets(sizes, weights, most)), "mix-scales")
+    drawn = _drawn(sizes, plan, seed)
     totals = drawn.groupBy("source", "bucket").agg(
         F.sum("left").alias("words"), F.sum(F.when(F.col("sure"), F.col("size")).otherwise(F.lit(0))).alias("sure_words"))
     upto = Window.partitionBy("source").orderBy(F.col("bucket").asc_nulls_last())
@@ -111,21 +116,39 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
     wanted = F.col("rest") - F.col("sure_words")
     whole = F.col("after") <= wanted
     cut = (F.col("before") <= wanted) & ~whole
-    result = ("doc_id", "size", "source_size", "target")
-    out = drawn.where("left <= 0").select(*result, F.col("certain").alias("taken"))
-    out = out.union(placed.where(~cut).select(*result, (F.col("certain") + F.when(whole, F.col("size")).otherwise(F.lit(0))).alias("taken")))
+    result = ("doc_id", "size", "source_size", "target", "source", "bucket", "q")
+
+    def taking(rows: DataFrame, chosen: Column) -> DataFrame:
+        return rows.select(*result, (F.col("certain") + F.when(chosen, F.col("size")).otherwise(F.lit(0))).alias("taken"), chosen.alias("chosen"))
+
     order = Window.partitionBy("source", "bucket").orderBy("q", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0))
-    edge = placed.where(cut).withColumn("start", start)
-    return out.union(edge.select(*result, (F.col("certain") + F.when(F.col("start") + F.col("size") / 2 <= wanted, F.col("size")).otherwise(F.lit(0))).alias("taken")))
+    edge = placed.where(cut).withColumn("start", F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0)))
+    out = taking(drawn.where("left <= 0"), F.lit(False)).union(taking(placed.where(~cut), whole)).union(
+        taking(edge, F.col("start") + F.col("size") / 2 <= wanted))
+    return out, plan
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
+    """(doc_id, size, source_size, target, taken) of every document; ``taken`` is a multiple of its size."""
+    return _mixed(docs, weights, most, seed)[0].select("doc_id", "size", "source_size", "target", "taken")
 
 
-def mixed_documents(docs: DataFrame) -> DataFrame:
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
     """The documents, each as often as the mix takes it. Documents without words are taken no time.
 
-    Rows that repeat a doc_id each get the rounded mean of the copies of all of them."""
-    taken = mix(docs).groupBy(F.col("doc_id").alias("taken_id")).agg(
-        F.round(F.sum(F.when(F.col("size") > 0, F.col("taken") / F.col("size"))) / F.count("*")).cast("int").alias("copies"))
-    taken = stored(taken.where("copies > 0"), "mix-taken")
-    return docs.join(taken, F.equal_null(F.col("doc_id"), F.col("taken_id"))).select(
-        *docs.columns, F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")
+    A source's sample is all documents up to one place of its order, so a row a source is enough to tell, and the texts
+    stay where they are. Rows that repeat doc_id and size share a place and are taken alike."""
+    rows, plan = _mixed(docs, weights, most, seed)
+    last = rows.where("chosen").groupBy("source").agg(F.max(F.struct("bucket", "q", "doc_id", "size")).alias("last"))
+    plan = stored(plan.join(last.withColumnRenamed("source", "s"), F.equal_null(F.col("s"), F.col("source")), "left").drop("s"), "mix-last")
+    columns = [F.col(c) for c in docs.columns if c not in ("doc_id", "source")]
+    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count().alias("size"), F.struct(*columns).alias("others"))
+    ends = plan.select(F.col("source").alias("s"), "last")
+    drawn = _drawn(sized, plan, seed).join(ends, F.equal_null(F.col("s"), F.col("source")))
+    chosen = F.coalesce(F.struct("bucket", "q", "doc_id", "size") <= F.col("last"), F.lit(False)) & (F.col("left") > 0)
+    copies = F.when(F.col("size") > 0, (F.col("certain") / F.col("size")).cast("int") + chosen.cast("int")).otherwise(F.lit(0))
+    taken = drawn.withColumn("copies", copies).where("copies > 0").select(
+        "doc_id", "source", "others", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    kinds = dict(docs.dtypes)
+    own = {"doc_id": F.col("doc_id").cast(kinds["doc_id"]), "source": F.col("source")}
+    return taken.select(*[(own[c] if c in own else F.col("others")[c]).alias(c) for c in docs.columns])
