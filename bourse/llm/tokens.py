@@ -17,7 +17,9 @@ import numpy as np
 from bourse.llm.text import CHUNK_BYTES, SPACE, Batch, U
 
 # Segments a worker remembers; then it forgets all and goes on.
-REMEMBERED = 1 << 21
+REMEMBERED = 1 << 20
+# Words a call of the library takes: it holds many times a text's size while it works.
+CALL_WORDS = 4096
 
 
 class Encoder:
@@ -97,13 +99,14 @@ class Encoder:
         chosen, others = np.flatnonzero(plain), np.flatnonzero(~plain)
         parts: list[np.ndarray] = []
         sizes = np.zeros(len(keys), np.int64)
-        if len(chosen):
-            words = b"\n".join([raw[s:e] for s, e in zip(starts[chosen].tolist(), ends[chosen].tolist(), strict=True)])
+        for at in range(0, len(chosen), CALL_WORDS):
+            some = chosen[at : at + CALL_WORDS]
+            words = b"\n".join([raw[s:e] for s, e in zip(starts[some].tolist(), ends[some].tolist(), strict=True)])
             joined = self._whole([words.decode()])[0]
             cuts = np.flatnonzero(joined == self.feed)
-            if len(cuts) != len(chosen) - 1:
+            if len(cuts) != len(some) - 1:
                 raise ValueError("a line feed did not separate two words")
-            sizes[chosen] = np.diff(np.concatenate([[-1], cuts, [len(joined)]])) - 1
+            sizes[some] = np.diff(np.concatenate([[-1], cuts, [len(joined)]])) - 1
             parts.append(joined[joined != self.feed])
         for i, ids in zip(others.tolist(), self._whole([raw[starts[i] : ends[i]].decode() for i in others.tolist()]), strict=True):
             sizes[i] = len(ids)
