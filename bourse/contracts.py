@@ -33,6 +33,7 @@ class Contract:
     checks: tuple[c.Check, ...] = ()
     fail_on_empty: bool = False
     freshness_days: tuple[int, int] = field(default=(2, 4))
+    required: tuple[str, ...] = ()
 
     @property
     def partition_keys(self) -> list[str]:
@@ -40,8 +41,13 @@ class Contract:
 
     @property
     def payload_schema(self) -> T.StructType:
-        """Schema for the JSON scan. Numbers are doubles: milliseconds fit exactly."""
-        leaf = {"string": "string", "string_to_date": "string", "bool": "boolean"}
+        """Schema for the JSON scan.
+
+        Whole numbers are read with all their digits; an array that mixes them with prices, as the series do, is
+        read as doubles, in which milliseconds still fit exactly."""
+        whole = "decimal(38,0)"
+        leaf = {"string": "string", "string_to_date": "string", "bool": "boolean", "integer": whole, "int": whole,
+                "timestamp_ms_to_datetime": whole, "timestamp_ms_to_date": whole}
         return paths.payload_schema({f.path: leaf.get(f.type, "double") for f in self.fields})
 
     @property
@@ -95,6 +101,7 @@ CRYPTO_SERIES = Contract(
         c.bound("volume_24h_usd", ">", 0),
     ),
     freshness_days=(2, 3),
+    required=("data_date", "price_usd"),
 )
 
 STOCK_BARS = Contract(
@@ -111,6 +118,7 @@ STOCK_BARS = Contract(
         Field("vwap", "results[*].vw"),
     ),
     checks=_BAR_CHECKS,
+    required=("ticker", "data_date", "close"),
 )
 
 RATE_BARS = Contract(
@@ -118,4 +126,5 @@ RATE_BARS = Contract(
     resource="forex",
     fields=tuple(f for f in STOCK_BARS.fields if f.name != "vwap"),
     checks=_BAR_CHECKS,
+    required=STOCK_BARS.required,
 )

@@ -24,11 +24,6 @@ def growth(end: Column, start: Column) -> Column:
     return F.try_divide(end, start) - 1
 
 
-def correlation(x: Column, y: Column) -> Column:
-    """Pearson correlation aggregate; null, not an error, when it is undefined."""
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-
 def _literal(value) -> str:
     if isinstance(value, str):
         return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

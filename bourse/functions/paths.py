@@ -84,7 +84,9 @@ def payload_schema(paths: dict[str, str]) -> T.StructType:
         parts = steps(path)
         for part in parts[:-1]:
             node = node.setdefault("[]" if part == "*" or isinstance(part, int) else part, {})
-        node["[]" if parts[-1] == "*" or isinstance(parts[-1], int) else parts[-1]] = leaf
+        last = "[]" if parts[-1] == "*" or isinstance(parts[-1], int) else parts[-1]
+        # One element type an array: different leaf types of it meet in the double.
+        node[last] = leaf if node.get(last, leaf) == leaf else "double"
 
     def build(node) -> T.DataType:
         if isinstance(node, str):

@@ -7,8 +7,6 @@ task.
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,14 +30,15 @@ def filled_on(value: Column, order: Column, day: Column) -> Column:
     return F.coalesce(last_on_or_before(value, order, day), F.min_by(value, order))
 
 
-def calendar_anchors(calendar: DataFrame, date: str, targets: list[Column]) -> list[datetime.date]:
+def calendar_anchors(calendar: DataFrame, date: str, targets: list[Column]) -> list[Column]:
     """First calendar day at or after each target, in that order.
 
-    Targets may refer to ``max_date``, the last calendar day. One pass finds
-    the distinct days (bounded by the calendar) and answers all targets; the
-    answer is one row of thresholds and enters later plans as literals.
+    Targets may refer to ``max_date``, the last calendar day. The anchors are
+    scalar subqueries: they run with the query that uses them, not while it is
+    built, and one aggregation without a day list answers all targets.
     """
-    days = calendar.select(date).distinct().agg(F.array_sort(F.collect_list(date)).alias("days"))
-    known = days.select("days", F.try_element_at("days", F.lit(-1)).alias("max_date"))
-    at = [F.get(F.filter("days", lambda day: day >= target), F.lit(0)) for target in targets]
-    return list(known.select(*at).first())
+    known = calendar.select(F.col(date), calendar.agg(F.max(date)).scalar().alias("max_date"))
+    day = F.col(date)
+    found = known.agg(F.struct(*[
+        F.min(F.when(day >= target, day)).alias(f"at_{i}") for i, target in enumerate(targets)])).scalar()
+    return [found.getField(f"at_{i}") for i in range(len(targets))]

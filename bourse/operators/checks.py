@@ -60,15 +60,21 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
 
 
+def _no_number(df: DataFrame, column: str) -> Column:
+    """NaN, which Spark orders above every number."""
+    floating = df.schema[column].dataType.typeName() in ("double", "float")
+    return F.isnan(column) if floating else F.lit(False)
+
+
 def _metric(df: DataFrame, check: Check) -> Column:
     if check.kind == "rows":
         value = F.count(F.lit(1))
     elif check.kind == "missing":
-        value = F.count_if(F.col(check.target).isNull())
-    elif check.kind == "min":
-        value = F.min(check.target)
-    elif check.kind == "max":
-        value = F.max(check.target)
+        value = F.count_if(F.col(check.target).isNull() | _no_number(df, check.target))
+    elif check.kind in ("min", "max"):
+        extreme = F.min(check.target) if check.kind == "min" else F.max(check.target)
+        # A bound holds for numbers only: with a NaN there is no verdict.
+        value = F.when(F.count_if(_no_number(df, check.target)) == 0, extreme)
     elif check.kind == "where":
         value = F.count_if(F.expr(check.target))
     else:
@@ -117,10 +123,14 @@ class AuditResult:
 
 
 class AuditFailed(Exception):
-    """Raised by the gate; nothing of the batch has been published."""
+    """Raised by the gate; nothing of the batch has been published.
+
+    ``kept_at`` is the folder that keeps the batch, where there is one.
+    """
 
-    def __init__(self, result: AuditResult):
+    def __init__(self, result: AuditResult, kept_at: str | None = None):
         self.result = result
+        self.kept_at = kept_at
         names = ", ".join(c["name"] for c in result.failed_checks)
         super().__init__(f"{result.checks_failed} of {result.checks_passed + result.checks_failed} checks failed: {names}")
 
@@ -157,9 +167,12 @@ def gate(result: AuditResult) -> AuditResult:
     return result
 
 
-def sample_rows(df: DataFrame, n: int = 3) -> DataFrame:
-    """A few rows for a log, in no particular order."""
-    return df.limit(n)
+def with_bound(result: AuditResult, name: str, value: int, most: int) -> AuditResult:
+    """The result with one more check: a count that may not exceed ``most``."""
+    if value <= most:
+        return AuditResult(result.is_valid, result.checks_passed + 1, result.checks_failed, result.failed_checks)
+    entry = {"name": f"{name} <= {most}", "outcome": "fail", "diagnostic": f"value {value} violates <= {most}"}
+    return AuditResult(False, result.checks_passed, result.checks_failed + 1, [*result.failed_checks, entry])
 
 
 # --- data tests: each returns the violating rows ------------------------------

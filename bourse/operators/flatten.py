@@ -61,8 +61,8 @@ def batch_key(source: Column | str, resource: Column | str, day: Column, ticker:
     return F.concat_ws("_", *parts)
 
 
-def route(records: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
-    """Records with every partition key, and the rejects lacking one."""
+def has_keys(contract: Contract) -> Column:
+    """Whether a record has every partition key."""
     keys = contract.partition_keys
     if not keys:
         raise ValueError("the contract names no partition key")
@@ -73,5 +73,10 @@ def route(records: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]
         if contract.record_types[key] == "string":
             present = present & (F.col(key) != "")
         whole = whole & present
-    whole = F.coalesce(whole, F.lit(False))
+    return F.coalesce(whole, F.lit(False))
+
+
+def route(records: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
+    """Records with every partition key, and the rejects lacking one."""
+    whole = has_keys(contract)
     return records.filter(whole), records.filter(~whole)

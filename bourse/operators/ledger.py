@@ -69,8 +69,8 @@ def event(spark, run_id: str, status: str, at: Column | None = None, step: str |
         F.lit(metadata).cast("string").alias("metadata"))
 
 
-def _state(events: DataFrame, keys: list[str]) -> DataFrame:
-    """Latest status per key; a terminal status ends it and wins a tie in time."""
+def _state(events: DataFrame, keys: list[str], about: tuple[str, ...] = ()) -> DataFrame:
+    """Latest status per key and its description; a terminal status ends it and wins a tie in time."""
     ended = F.col("status") != "RUNNING"
     newest = F.struct("at", ended.alias("ended"))
     return events.groupBy(*keys).agg(
@@ -78,6 +78,7 @@ def _state(events: DataFrame, keys: list[str]) -> DataFrame:
         F.min("at").alias("start_time"),
         F.max(F.when(ended, F.col("at"))).alias("end_time"),
         F.max_by("metadata", newest).alias("metadata"),
+        *[F.max(c).alias(c) for c in about],
     ).withColumn("end_time", F.when(F.col("status") != "RUNNING", F.col("end_time")))
 
 
@@ -89,15 +90,26 @@ def step_state(events: DataFrame) -> DataFrame:
 def run_state(events: DataFrame) -> DataFrame:
     """Current state of every run, with the batch it worked on."""
     runs = events.filter(F.col("step_name").isNull())
-    about = runs.groupBy("run_id").agg(*[F.max(c).alias(c) for c in ("batch_id", "source", "resource")])
-    return _state(runs, ["run_id"]).drop("metadata").join(about, "run_id")
+    return _state(runs, ["run_id"], ("batch_id", "source", "resource")).drop("metadata")
 
 
-def trace(facts: DataFrame, runs: DataFrame, landing: DataFrame | None = None) -> DataFrame:
-    """Fact rows with the run of their batch and, if given, its landing file."""
-    found = facts.join(runs.withColumnRenamed("batch_id", "__batch_id"), "__batch_id", "left")
+def _last_of_batch(rows: DataFrame, newest: tuple[str, ...]) -> DataFrame:
+    """One row a batch: the newest by the given columns that exist, then by all columns."""
+    rest = [c for c in rows.columns if c != "batch_id"]
+    order = F.struct(*[c for c in newest if c in rest], *rest)
+    last = rows.groupBy("batch_id").agg(F.max_by(F.struct(*rest), order).alias("last"))
+    return last.select(F.col("batch_id").alias("__batch_id"), "last.*")
+
+
+def trace(facts: DataFrame, runs: DataFrame, landing: DataFrame | None = None,
+          newest: tuple[str, ...] = ("start_time", "ingestion_date")) -> DataFrame:
+    """Fact rows with the last run of their batch and, if given, its last landing file.
+
+    A batch runs again under the same key, and its facts stay one row each.
+    """
+    found = facts.join(_last_of_batch(runs, newest), "__batch_id", "left")
     if landing is not None:
-        found = found.join(landing.withColumnRenamed("batch_id", "__batch_id"), "__batch_id", "left")
+        found = found.join(_last_of_batch(landing, newest), "__batch_id", "left")
     return found
 
 

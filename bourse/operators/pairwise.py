@@ -1,14 +1,13 @@
-"""Correlation of every pair of series, as a blocked matrix product.
+"""Correlation of every pair of series from summed moments.
 
-A self-join on the date would emit every pair of series for every day. Here a
-series is one row holding its own history (bounded by calendar days), series
-are hashed into blocks of bounded size, and each pair of blocks is one task
-computing all its pairs with matrix products.
+A self-join on the date would emit every pair of series for every day. Here rows meet in groups of two blocks of series
+and a chunk of days. A group is a dense matrix of at most ``block_size`` by ``days_per_chunk`` cells a side, whatever
+the length of the histories or the span of the days; matrix products give, for each pair, the number of common days and
+the sums of values, squares and products. Spark adds the moments of a pair over the chunks.
 """
 
 from __future__ import annotations
 
-import math
 import sys
 
 import numpy as np
@@ -20,85 +19,48 @@ from pyspark.sql import functions as F
 # Ship these functions with the task: workers need NumPy and pandas, not this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_SCHEMA = "a string, a_label string, b string, b_label string, correlation double, observation_count long"
-_SWAPPED = {"a": "b", "a_label": "b_label", "b": "a", "b_label": "a_label"}
+_SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+_SCHEMA = "a string, b string, " + ", ".join(f"{c} double" for c in _SUMS)
 
 
-def pack_series(df: DataFrame, key: str, date: str, value: str, label: str | None = None) -> DataFrame:
-    """One row per series: its label, days as integers with their values, in day order.
+def _dense(rows: pd.DataFrame, days: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Series names and their values by day, NaN where there is none."""
+    names, at = np.unique(rows["series"].to_numpy(str), return_inverse=True)
+    out = np.full((len(names), len(days)), np.nan)
+    column = np.searchsorted(days, rows["day"].to_numpy())
+    if len(np.unique(at.astype(np.int64) * len(days) + column)) < len(rows):
+        raise ValueError("correlation needs one row per series and day")
+    out[at, column] = rows["v"].to_numpy()
+    return names, out
 
-    Values are shifted by the series mean, which leaves correlation unchanged
-    and keeps the later sums accurate.
-    """
-    point = F.struct(F.datediff(F.col(date), F.lit("1970-01-01").cast("date")).alias("day"), F.col(value).alias("v"))
-    return (df.groupBy(key).agg(F.sort_array(F.collect_list(point)).alias("p"), F.avg(value).alias("m"),
-                                F.max(label or key).alias("label"))
-              .select(F.col(key).alias("series"), "label", F.col("p.day").alias("days"),
-                      F.transform("p.v", lambda v: v - F.col("m")).alias("values")))
-
-
-def _dense(rows: pd.DataFrame, first: int, width: int) -> np.ndarray:
-    out = np.full((len(rows), width), np.nan)
-    for i, (days, values) in enumerate(zip(rows["days"], rows["values"])):
-        out[i, np.asarray(days) - first] = values
-    return out
-
-
-def _exact(x: np.ndarray, y: np.ndarray) -> float:
-    both = ~np.isnan(x) & ~np.isnan(y)
-    x, y = x[both], y[both]
-    if len(x) == 0 or (x == x[0]).all() or (y == y[0]).all():
-        return math.nan
-    x, y = x - x.mean(), y - y.mean()
-    scale = math.sqrt(float(x @ x) * float(y @ y))
-    return float(x @ y) / scale if scale > 0 else math.nan
 
-
-def _correlate(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairwise-complete correlation of the rows of ``x`` with the rows of ``y``."""
-    mx, my = ~np.isnan(x), ~np.isnan(y)
-    x0, y0 = np.where(mx, x, 0.0), np.where(my, y, 0.0)
-    fx, fy = mx.astype(float), my.astype(float)
-    n = fx @ fy.T
-    sx, sy = x0 @ fy.T, fx @ y0.T
-    sxx, syy = (x0 * x0) @ fy.T, fx @ (y0 * y0).T
-    sxy = x0 @ y0.T
-    with np.errstate(all="ignore"):
-        vx, vy = sxx - sx * sx / n, syy - sy * sy / n
-        corr = (sxy - sx * sy / n) / np.sqrt(vx * vy)
-        # Little variance left after cancellation: redo those pairs from the values.
-        doubtful = (n > 0) & ~((vx > 1e-6 * sxx) & (vy > 1e-6 * syy))
-    for i, j in zip(*np.nonzero(doubtful)):
-        corr[i, j] = _exact(x[i], y[j])
-    return corr, n
-
-
-def _block_pair(group: pd.DataFrame) -> pd.DataFrame:
+def _moments(group: pd.DataFrame) -> pd.DataFrame:
+    """Moments of the pairs of a group: all ordered pairs of one block, or left with right of two."""
     i, j = int(group["bi"].iloc[0]), int(group["bj"].iloc[0])
-    left, right = group[group["block"] == i], group[group["block"] == j]
-    first = min(int(d[0]) for d in group["days"])
-    width = max(int(d[-1]) for d in group["days"]) - first + 1
-    x = _dense(left, first, width)
-    corr, n = _correlate(x, x if i == j else _dense(right, first, width))
-    rows, columns = np.nonzero(~np.isnan(corr))
-    out = pd.DataFrame({
-        "a": left["series"].to_numpy()[rows], "a_label": left["label"].to_numpy()[rows],
-        "b": right["series"].to_numpy()[columns], "b_label": right["label"].to_numpy()[columns],
-        "correlation": corr[rows, columns], "observation_count": n[rows, columns].astype("int64"),
-    })
-    # On a diagonal block each pair appears both ways round already.
-    return out if i == j else pd.concat([out, out.rename(columns=_SWAPPED)[out.columns]])
+    days = np.unique(group["day"].to_numpy())
+    left, x = _dense(group[group["block"] == i], days)
+    right, y = (left, x) if i == j else _dense(group[group["block"] == j], days)
+    mx, my = ~np.isnan(x), ~np.isnan(y)
+    x, y = np.where(mx, x, 0.0), np.where(my, y, 0.0)
+    mx, my = mx.astype(float), my.astype(float)
+    sums = (mx @ my.T, x @ my.T, mx @ y.T, (x * x) @ my.T, mx @ (y * y).T, x @ y.T)
+    rows, columns = np.nonzero(sums[0])
+    return pd.DataFrame({"a": left[rows], "b": right[columns], **{c: s[rows, columns] for c, s in zip(_SUMS, sums)}})
 
 
 def correlation_matrix(df: DataFrame, key: str, date: str, value: str, label: str | None = None,
-                       block_size: int = 256, blocks: int | None = None) -> DataFrame:
-    """All ordered pairs (self included) with a defined correlation.
+                       block_size: int = 256, blocks: int | None = None, days_per_chunk: int = 512) -> DataFrame:
+    """All ordered pairs (self included) with a defined correlation on their common days.
 
-    ``df`` has one row per (key, date); null values are left out. A task holds
-    two blocks of about ``block_size`` series over all days. ``blocks`` saves
-    counting the series where their number is known.
+    ``df`` has one row per (key, date), which is enforced; rows without a number are left out. ``blocks`` saves counting
+    the series where their number is known. Values are shifted by the series mean, which leaves correlation unchanged;
+    a variance within the rounding of its sums counts as none.
     """
-    observed = df.filter(F.col(value).isNotNull()).select(key, date, value, *([label] if label else []))
+    v = F.col(value).cast("double")
+    day = F.datediff(F.col(date), F.lit("1970-01-01").cast("date"))
+    observed = df.filter(v.isNotNull() & ~F.isnan(v)).select(
+        F.col(key).alias("series"), day.alias("day"), v.alias("v"), F.col(label or key).alias("label"))
+    about = observed.groupBy("series").agg(F.avg("v").alias("m"), F.max("label").alias("label"))
     if blocks is None:
         # A scalar subquery: it runs with the query, not while the plan is built.
         # A rough count will do, so rows without a value need not be left out.
@@ -106,11 +68,29 @@ def correlation_matrix(df: DataFrame, key: str, date: str, value: str, label: st
         n_blocks = df.agg(wanted).scalar()
     else:
         n_blocks = F.lit(blocks)
-    packed = pack_series(observed, key, date, value, label)
     block = F.pmod(F.xxhash64("series"), n_blocks).cast("int")
-    # Each series joins one group per block: blocks, not series, are paired.
-    partners = F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("other")
-    paired = (packed.withColumn("block", block).select("*", partners)
-                    .select("series", "label", "days", "values", "block",
-                            F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj")))
-    return paired.groupBy("bi", "bj").applyInPandas(_block_pair, _SCHEMA)
+    # Each row joins one group per block: blocks, not series, are paired.
+    placed = observed.drop("label").join(about.select("series", "m"), "series").select(
+        "series", "day", (F.col("v") - F.col("m")).alias("v"), block.alias("block"),
+        F.floor(F.col("day") / days_per_chunk).cast("int").alias("chunk"),
+        F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("other"))
+    paired = placed.select("series", "day", "v", "block", "chunk", F.least("block", "other").alias("bi"),
+                           F.greatest("block", "other").alias("bj"))
+    sums = paired.groupBy("bi", "bj", "chunk").applyInPandas(_moments, _SCHEMA).groupBy("a", "b").agg(
+        *[F.sum(c).alias(c) for c in _SUMS])
+    n, sx, sy, sxx, syy, sxy = map(F.col, _SUMS)
+    vx, vy = sxx - sx * sx / n, syy - sy * sy / n
+    rounding = F.lit(4 * sys.float_info.epsilon) * n
+    defined = sums.filter((n > 1) & (vx > rounding * sxx) & (vy > rounding * syy)).select(
+        "a", "b", ((sxy - sx * sy / n) / F.sqrt(vx * vy)).alias("correlation"), n.cast("bigint").alias("observation_count"))
+    named = about.select("series", "label")
+    left = named.select(F.col("series").alias("a"), F.col("label").alias("a_label"))
+    right = named.select(F.col("series").alias("b"), F.col("label").alias("b_label"))
+    labelled = defined.join(left, "a").join(right, "b").select(
+        "a", "a_label", "b", "b_label", "correlation", "observation_count")
+    # Pairs of one block appear both ways round already.
+    across = F.pmod(F.xxhash64("a"), n_blocks) != F.pmod(F.xxhash64("b"), n_blocks)
+    turned = F.struct(F.col("b").alias("a"), F.col("b_label").alias("a_label"), F.col("a").alias("b"),
+                      F.col("a_label").alias("b_label"), "correlation", "observation_count")
+    own = F.struct("a", "a_label", "b", "b_label", "correlation", "observation_count")
+    return labelled.select(F.inline(F.when(across, F.array(own, turned)).otherwise(F.array(own))))

@@ -12,9 +12,13 @@ _BUCKETS_PER_EFOLD = 256
 
 
 def _bucket(value):
-    """An integer that never decreases as ``value`` grows."""
-    size = F.floor(F.log(F.abs(value)) * _BUCKETS_PER_EFOLD).cast("bigint") + 200_000
-    return F.when(value == 0, F.lit(0).cast("bigint")).otherwise(F.signum(value).cast("bigint") * size)
+    """An integer that never decreases as ``value`` grows; infinities and NaN, which sorts last, have their own."""
+    infinity = F.lit(float("inf"))
+    finite = F.when(F.abs(value) < infinity, value)
+    size = F.floor(F.log(F.abs(finite)) * _BUCKETS_PER_EFOLD).cast("bigint") + 200_000
+    edge = (F.when(F.isnan(value), F.lit(2**61)).when(value == infinity, F.lit(2**60)).when(value == -infinity, F.lit(-(2**60)))
+             .when(value == 0, F.lit(0).cast("bigint")))
+    return F.coalesce(edge, F.signum(finite).cast("bigint") * size)
 
 
 def rank_descending(df: DataFrame, value: str, within: tuple[str, ...] = (), name: str = "rank") -> DataFrame:
@@ -39,6 +43,7 @@ def rank_descending(df: DataFrame, value: str, within: tuple[str, ...] = (), nam
     inner = F.coalesce(F.sum("_n").over(
         Window.partitionBy(*within, "_b").orderBy(F.desc("_v")).rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0))
+    # The null bucket lies below all of them.
     ranks = (bucketed.withColumn("_inner", inner)
              .join(totals, [*within, "_b"])
              .select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(within)], "_v",

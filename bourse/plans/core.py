@@ -20,8 +20,15 @@ PRICE_COLUMNS = {
 }
 
 
+def utc_text(instant: str) -> Column:
+    """An instant as ISO text in UTC, whatever the session zone."""
+    return F.expr(f"""date_format(to_utc_timestamp({instant}, current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")""")
+
+
 def _conform(df: DataFrame) -> DataFrame:
     present = set(df.columns)
+    if dict(df.dtypes).get("__ingested_at") == "timestamp":
+        df = df.withColumn("__ingested_at", utc_text("__ingested_at"))
     return df.selectExpr(*[
         f"cast({f'`{c}`' if c in present else 'null'} as {t}) as `{c}`" for c, t in PRICE_COLUMNS.items()])
 
@@ -49,7 +56,7 @@ def unified_prices(series: DataFrame, bars: DataFrame | None = None, rates: Data
 
     ``series`` holds one row per (asset, day), as staging leaves it.
     """
-    stamp = F.current_timestamp() if cash_ingested_at is None else cash_ingested_at
+    stamp = utc_text("current_timestamp()") if cash_ingested_at is None else cash_ingested_at
     parts = [_with_cash(_conform(series), benchmark, stamp)]
     parts += [_conform(p) for p in (bars, rates) if p is not None]
     return reduce(DataFrame.unionByName, parts)
@@ -64,8 +71,12 @@ def dim_assets(prices: DataFrame) -> DataFrame:
     return prices.select("asset_id", "asset_name", "asset_type").distinct()
 
 
+def asset_order() -> list[Column]:
+    return [class_position(), F.col("asset_id")]
+
+
 def sorted_assets(assets: DataFrame) -> DataFrame:
-    return assets.orderBy(class_position(), "asset_id")
+    return assets.orderBy(*asset_order())
 
 
 def _closed_days(holidays: DataFrame) -> DataFrame:

@@ -90,16 +90,20 @@ def data_gaps(prices: DataFrame, dates: DataFrame) -> DataFrame:
          .otherwise(F.col("is_us_trading_day"))
     )
     names = ["is_trading_day", "is_us_trading_day", "is_uk_trading_day", "is_eu_trading_day"]
-    # One row per calendar day, so the broadcast is bounded by the calendar.
-    flags = dates.groupBy(F.col("date").alias("missing_date")).agg(*[F.first(n).alias(n) for n in names])
+    # The dimension has one row per calendar day, so the broadcast is bounded by the calendar.
+    flags = dates.select(F.col("date").alias("missing_date"), *names)
     absent = missing_days(prices, "asset_id", "data_date", ["asset_type"])
     return (absent.withColumnRenamed("data_date", "missing_date").join(F.broadcast(flags), "missing_date")
                   .filter(expected == 1)
                   .select("asset_id", "asset_type", "missing_date", "is_trading_day"))
 
 
-def critical_gaps(gaps: DataFrame, show: int = 100) -> DataFrame:
-    """The first gaps that fail the build: crypto and forex always, equities on trading days."""
+def failing_gaps(gaps: DataFrame) -> DataFrame:
+    """All gaps that fail the build: crypto and forex always, equities on trading days."""
     kind = F.col("asset_type")
-    critical = kind.isin("crypto", "forex") | (kind.isin("stock", "index") & (F.col("is_trading_day") == 1))
-    return gaps.filter(critical).orderBy("asset_id", "missing_date").limit(show)
+    return gaps.filter(kind.isin("crypto", "forex") | (kind.isin("stock", "index") & (F.col("is_trading_day") == 1)))
+
+
+def critical_gaps(gaps: DataFrame, show: int = 100) -> DataFrame:
+    """The first of the failing gaps, for display."""
+    return failing_gaps(gaps).orderBy("asset_id", "missing_date").limit(show)

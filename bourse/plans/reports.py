@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bourse import fixed_values as fv
@@ -15,7 +15,7 @@ from bourse.operators.ranking import rank_descending
 def _filled_at(names, anchors) -> list[Column]:
     """Forward-filled price at each anchor day, under the given names."""
     price, date = F.col("close_price"), F.col("data_date")
-    return [filled_on(price, date, F.lit(day).cast("date")).alias(name) for name, day in zip(names, anchors)]
+    return [filled_on(price, date, day).alias(name) for name, day in zip(names, anchors)]
 
 
 def performance_summary(prices: DataFrame, periods: dict[str, int | None] | None = None,
@@ -54,9 +54,30 @@ def performance_summary(prices: DataFrame, periods: dict[str, int | None] | None
     return rank_descending(judged, "return_pct", ("period",), "rank_by_return")
 
 
-def sorted_performance(summary: DataFrame) -> DataFrame:
-    position = lookup(F.col("period"), {p: i for i, p in enumerate(fv.REPORT_PERIODS)}, F.lit(99))
-    return summary.orderBy(position, "rank_by_return")
+def performance_order() -> list[Column]:
+    """Periods from short to long, best return first."""
+    return [lookup(F.col("period"), {p: i for i, p in enumerate(fv.REPORT_PERIODS)}, F.lit(99)), F.col("rank_by_return"),
+            F.col("asset_id")]
+
+
+def investment_order(benchmark: str = fv.BENCHMARK_ID) -> list[Column]:
+    """Cash before the benchmark before others, lump sum before monthly purchases."""
+    return [lookup(F.col("asset"), {fv.CASH_ID: 1, benchmark: 2}, F.lit(3)), F.col("asset"),
+            lookup(F.col("strategy"), {"Lump Sum": 1, "DCA": 2}, F.lit(3))]
+
+
+def volatility_order() -> list[Column]:
+    return [F.col("volatility_rank"), F.col("asset_id")]
+
+
+def correlation_order() -> list[Column]:
+    """By first asset, closest companion first."""
+    return [F.col("asset_a"), F.desc("correlation"), F.col("asset_b")]
+
+
+def with_position(report: DataFrame, order: list[Column]) -> DataFrame:
+    """A report's rows numbered in the order in which they are shown. Reports have a row an asset, period or pair."""
+    return report.withColumn("position", F.row_number().over(Window.orderBy(*order)))
 
 
 def investment_comparison(prices: DataFrame, benchmark: str | None = None,

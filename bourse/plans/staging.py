@@ -12,7 +12,8 @@ LINEAGE = ("__batch_id", "__ingested_at")
 
 
 def _valid(df: DataFrame) -> DataFrame:
-    return df.filter("data_date is not null and close_price > 0 and asset_id is not null")
+    # NaN compares above every number, so it is named.
+    return df.filter("data_date is not null and close_price > 0 and not isnan(close_price) and asset_id is not null")
 
 
 def benchmark_series(raw: DataFrame, asset_id: Column | None = None, asset_name: Column | None = None,

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from bourse.contracts import Contract
 
 KEYS = ("source", "ingestion_date", "batch_id")
+UNREADABLE = "unreadable"
 
 
 def write_landing(responses: DataFrame, root: str, payload: str = "payload", parameters: tuple[str, ...] = ()) -> None:
@@ -34,6 +35,10 @@ def write_landing(responses: DataFrame, root: str, payload: str = "payload", par
         .partitionBy(*KEYS).text(root))
 
 
+# A number is a number: "NaN" and "Infinity" in a response are no prices.
+_JSON_OPTIONS = {"allowNonNumericNumbers": "false", "columnNameOfCorruptRecord": UNREADABLE}
+
+
 def read_landing(spark: SparkSession, root: str, contract: Contract, multi_line: bool = False,
                  parameters: dict[str, str] | None = None, with_file: bool = False) -> DataFrame:
     """Responses of a contract as a ``payload`` struct plus the key columns.
@@ -41,22 +46,31 @@ def read_landing(spark: SparkSession, root: str, contract: Contract, multi_line:
     Only what the contract's paths mention is parsed. ``multi_line`` reads one
     pretty-printed object per file instead of one per line. ``parameters``
     names the request parameters stored with the response and their types;
-    ``with_file`` adds the file each response came from.
+    ``with_file`` adds the file each response came from. ``unreadable`` holds
+    the text of a response that is no JSON or has a value that does not fit its
+    type, else null. Key columns are text as they stand in the folder names.
     """
     schema = contract.payload_schema
     if parameters:
         request = ", ".join(f"{name} {data_type}" for name, data_type in parameters.items())
         schema = T.StructType([*schema.fields]).add("_param", T.StructType.fromDDL(request))
-    rows = spark.read.schema(schema).option("multiLine", multi_line).json(root)
+    schema = T.StructType([*schema.fields]).add(UNREADABLE, "string")
+    for key in KEYS:
+        schema = schema.add(key, "string")
+    rows = spark.read.schema(schema).options(**_JSON_OPTIONS).option("multiLine", multi_line).json(root)
     fields = [f.name for f in contract.payload_schema.fields]
-    keep = [c for c in rows.columns if c in KEYS]
     extra = [F.col(f"_param.{p}").alias(p) for p in (parameters or {})]
     if with_file:
         extra.append(F.col("_metadata.file_path").alias("landing_file"))
-    return rows.select(F.struct(*[F.col(f"`{f}`") for f in fields]).alias("payload"), *extra,
-                       *[F.col(k).cast("string").alias(k) for k in keep])
+    return rows.select(F.struct(*[F.col(f"`{f}`") for f in fields]).alias("payload"), *extra, *KEYS, UNREADABLE)
 
 
 def parse_responses(df: DataFrame, column: str, contract: Contract) -> DataFrame:
-    """JSON text in a column to the contract's ``payload`` struct."""
-    return df.withColumn("payload", F.from_json(column, contract.payload_schema))
+    """JSON text in a column to the contract's ``payload`` struct, and ``unreadable`` as in `read_landing`."""
+    fields = contract.payload_schema.fields
+    schema = T.StructType([*fields]).add(UNREADABLE, "string")
+    parsed = df.withColumn("payload", F.from_json(column, schema, _JSON_OPTIONS))
+    lost = F.col("payload").isNull() & F.col(column).isNotNull()
+    unreadable = F.when(lost, F.col(column)).otherwise(F.col(f"payload.{UNREADABLE}"))
+    payload = F.when(F.col("payload").isNotNull(), F.struct(*[F.col(f"payload.`{f.name}`") for f in fields]))
+    return parsed.withColumns({UNREADABLE: unreadable, "payload": payload})

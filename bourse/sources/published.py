@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bourse.contracts import AUDIT_COLUMNS, Contract
@@ -14,9 +14,15 @@ def typed(df: DataFrame, contract: Contract) -> DataFrame:
     Types are never inferred: files of one table must agree, and Spark cannot
     merge integer with double files afterwards.
     """
-    return df.select(*[F.col(c).cast(t).alias(c) for c, t in contract.record_types.items()])
+    return df.select(*typed_columns(contract))
 
 
+def typed_columns(contract: Contract) -> list[Column]:
+    return [F.col(c).cast(t).alias(c) for c, t in contract.record_types.items()]
+
+
+# File moves go through Hadoop's file system, which a classic session reaches and Spark Connect does not.
+
 def _delete(spark: SparkSession, path: str) -> None:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
@@ -32,6 +38,19 @@ def staging_path(root: str, batch: str) -> str:
     return f"{root.rstrip('/')}/_staging/{batch}"
 
 
+def failed_path(root: str, batch: str) -> str:
+    """Where a batch that failed its audit is kept as evidence."""
+    return staging_path(root, f"failed/{batch}")
+
+
+def rejected_path(root: str, contract: Contract, batch: str) -> str:
+    return f"{root.rstrip('/')}/_rejected/source={contract.source}/resource={contract.resource}/{batch}"
+
+
+def unreadable_path(root: str, contract: Contract, batch: str) -> str:
+    return f"{root.rstrip('/')}/_unreadable/source={contract.source}/resource={contract.resource}/{batch}"
+
+
 def table_path(root: str, contract: Contract) -> str:
     return f"{root.rstrip('/')}/bronze/source={contract.source}/resource={contract.resource}"
 
@@ -40,17 +59,19 @@ class EmptyBatch(ValueError):
     """There is nothing to stage."""
 
 
-def stage(records: DataFrame, root: str, batch: str, contract: Contract, allow_empty: bool = False) -> DataFrame:
-    """Write the batch aside and return it as read back.
+def stage(records: DataFrame, root: str, batch: str, contract: Contract, allow_empty: bool = False,
+          also: tuple[str, ...] = ()) -> DataFrame:
+    """Write the batch aside and return it as read back, with the columns ``also`` beside the contract's.
 
     Audit and publication read the staged files, so the batch is computed once
     and survives lost executors. A failed write leaves nothing behind.
     """
     spark = records.sparkSession
     path = staging_path(root, batch)
+    shaped = records.select(*typed_columns(contract), *also)
     try:
-        typed(records, contract).write.mode("overwrite").parquet(path)
-        staged = spark.read.schema(typed(records, contract).schema).parquet(path)
+        shaped.write.mode("overwrite").parquet(path)
+        staged = spark.read.schema(shaped.schema).parquet(path)
         if not allow_empty and staged.isEmpty():
             raise EmptyBatch(f"no records to write for {batch}")
         return staged
@@ -63,6 +84,17 @@ def drop_staged(spark: SparkSession, root: str, batch: str) -> None:
     _delete(spark, staging_path(root, batch))
 
 
+def keep_failed(spark: SparkSession, root: str, batch: str) -> str:
+    """Move a staged batch aside; an older failure of the same batch gives way."""
+    target = failed_path(root, batch)
+    _delete(spark, target)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path(target).getParent())
+    system.rename(path(staging_path(root, batch)), path(target))
+    return target
+
+
 def publish(records: DataFrame, root: str, contract: Contract) -> None:
     """Replace exactly the partitions present in ``records``.
 
@@ -93,6 +125,13 @@ def read_published(spark: SparkSession, root: str, contract: Contract, discover:
     return spark.read.schema(schema).parquet(table_path(root, contract)).select(*types)
 
 
+def _folder_value(key: str) -> Column:
+    """The text of a partition key in a file's path: values are never guessed to be numbers."""
+    raw = F.regexp_extract("path", f"/{key}=([^/]*)/", 1)
+    value = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+    return F.when(~raw.isin("", "__HIVE_DEFAULT_PARTITION__"), value)
+
+
 def existing_dates(spark: SparkSession, root: str, contract: Contract, ticker: str | None = None) -> DataFrame:
     """Days already published, per ticker where the contract has one.
 
@@ -103,8 +142,9 @@ def existing_dates(spark: SparkSession, root: str, contract: Contract, ticker: s
     types = contract.record_types
     if not _exists(spark, table_path(root, contract)):
         return spark.createDataFrame([], ", ".join(f"{k} {types[k]}" for k in keys))
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(table_path(root, contract)))
-    found = files.select(*[F.col(k).cast("string").try_cast(types[k]).alias(k) for k in keys])
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+             .load(table_path(root, contract)))
+    found = files.select(*[_folder_value(k).try_cast(types[k]).alias(k) for k in keys])
     if ticker is not None and "ticker" in keys:
         found = found.filter(F.col("ticker") == ticker)
     # A directory whose name is no date gives a null key and is skipped.
@@ -132,5 +172,5 @@ def write_model(df: DataFrame, root: str, layer: str, name: str, sort_within: tu
     return spark.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["AUDIT_COLUMNS", "EmptyBatch", "drop_staged", "existing_dates", "publish", "read_published", "stage",
-           "staging_path", "table_path", "typed", "write_model"]
+__all__ = ["AUDIT_COLUMNS", "EmptyBatch", "drop_staged", "existing_dates", "failed_path", "keep_failed", "publish",
+           "read_published", "rejected_path", "stage", "staging_path", "table_path", "typed", "unreadable_path", "write_model"]

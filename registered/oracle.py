@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from registered.inputs import CASH_STAMP, COINS, EQUITIES, HOLIDAYS, PAIRS, VALID_UP_TO
 
+# Fixed value of the audited types.
+CLOSE_LIMIT = 250
+
 
 def _case(column: str, table: dict[str, str], default: str) -> str:
     whens = " ".join("WHEN '{}' THEN '{}'".format(k, v.replace("'", "''")) for k, v in table.items())
@@ -156,8 +159,8 @@ def _r(expression: str, digits: int, name: str) -> str:
 
 
 _ROLL = ",\n".join(
-    f"{_r(f'avg(daily_return) OVER w{n}', 6, f'avg_return_{n}d')},"
-    f"{_r(f'stddev_samp(daily_return) OVER w{n}', 6, f'volatility_{n}d')},"
+    f"{_r(f'avg(daily_return) OVER w{n}', 8, f'avg_return_{n}d')},"
+    f"{_r(f'stddev_samp(daily_return) OVER w{n}', 8, f'volatility_{n}d')},"
     f"count(daily_return) OVER w{n} AS obs_count_{n}d" for n in (7, 14, 30))
 _ROLL_WINDOWS = ", ".join(
     f"w{n} AS (PARTITION BY asset_id ORDER BY n ROWS {n - 1} PRECEDING)" for n in (7, 14, 30))
@@ -222,15 +225,36 @@ _DCA = """,
 _VOL = """
     SELECT asset_id, stddev_samp(daily_return) * sqrt(252) * 100 AS v FROM returns GROUP BY asset_id"""
 
-_DAILY_EVENTS = """
-    SELECT 'C:' || upper(event_type) || 'USD' AS ticker, CAST(ts AS DATE) AS data_date,
+_TICKERS = """(
+        SELECT *, unnest(['C:' || upper(event_type) || 'USD', lpad(CAST(user_id % 7 AS VARCHAR), 4, '0')]) AS ticker
+        FROM events)"""
+
+_DAILY_EVENTS = f"""
+    SELECT ticker, CAST(ts AS DATE) AS data_date,
            arg_min(value + 1, event_id) AS open, max(value + 1) AS high, min(value + 1) AS low,
            arg_max(value + 1, event_id) AS close,
            CAST(count(*) AS DOUBLE) AS volume,
-           'massive_forex_' || strftime(date_trunc('month', min(ts)), '%Y%m%d') || '_C_' || upper(event_type) || 'USD'
+           'massive_forex_' || strftime(date_trunc('month', min(ts)), '%Y%m%d') || '_' || replace(ticker, ':', '_')
                AS __batch_id
+    FROM {_TICKERS} GROUP BY ticker, CAST(ts AS DATE)"""
+
+# One bar an event type and day, as responses of which some are cut short and some have no ticker.
+_TYPE_DAYS = """
+    SELECT event_type, CAST(ts AS DATE) AS d, arg_max(value + 1, event_id) AS close,
+           day(CAST(ts AS DATE)) % 7 = 0 AS cut, day(CAST(ts AS DATE)) % 5 = 0 AS unnamed
     FROM events GROUP BY event_type, CAST(ts AS DATE)"""
 
+_VERDICTS = f"""
+    verdicts AS (
+        SELECT event_type, 'whole' AS kind, count(*) AS n, max(close) AS worst, 0 AS lost FROM ({_TYPE_DAYS}) GROUP BY event_type
+        UNION ALL
+        SELECT event_type, 'cut', count(*) FILTER (NOT cut AND NOT unnamed), max(close) FILTER (NOT cut AND NOT unnamed),
+               count(*) FILTER (cut)
+        FROM ({_TYPE_DAYS}) GROUP BY event_type),
+    judged AS (
+        SELECT *, CASE WHEN worst <= {CLOSE_LIMIT} THEN 0 ELSE 1 END AS dear, CASE WHEN lost > 0 THEN 1 ELSE 0 END AS torn
+        FROM verdicts)"""
+
 ORACLE = {
     "stg_benchmark_series": _sql("series", f"""
         SELECT * REPLACE ({_day("data_date")}, strftime(data_timestamp, '%Y-%m-%d %H:%M:%S') AS data_timestamp)
@@ -239,7 +263,10 @@ ORACLE = {
     "stg_rates": _sql("rates", f"SELECT * REPLACE ({_day('data_date')}) FROM rates"),
     "stg_holidays": _sql("holidays", f"SELECT * REPLACE ({_day('holiday_date')}) FROM holidays"),
     "unified_prices": _sql("prices", f"SELECT * REPLACE ({_day('data_date')}) FROM prices"),
-    "dim_assets": _sql("prices", "SELECT asset_id, asset_name, asset_type FROM prices GROUP BY ALL"),
+    "dim_assets": _sql("prices", """
+        SELECT *, row_number() OVER (ORDER BY CASE asset_type WHEN 'crypto' THEN 1 WHEN 'fiat' THEN 2 WHEN 'stock' THEN 3
+                                              WHEN 'index' THEN 4 ELSE 5 END, asset_id) AS position
+        FROM (SELECT asset_id, asset_name, asset_type FROM prices GROUP BY ALL)"""),
     "dim_dates": _sql("dates", f"""
         SELECT {_day("date")}, year(date) AS year, month(date) AS month, day(date) AS day,
                isodow(date) % 7 AS day_of_week, quarter(date) AS quarter, dayofyear(date) AS day_of_year,
@@ -249,8 +276,10 @@ ORACLE = {
                year(date) || '-Q' || quarter(date) AS year_quarter
         FROM dates"""),
     "daily_prices_locf": _sql("filled", f"SELECT * REPLACE ({_day('data_date')}) FROM filled"),
+    "daily_prices_named": _sql("filled", f"SELECT * REPLACE ({_day('data_date')}) FROM filled"),
     "daily_returns": _sql("returns", f"""
-        SELECT * EXCLUDE (n) REPLACE ({_day("data_date")}, CAST(days_gap AS DOUBLE) AS days_gap) FROM returns"""),
+        SELECT * EXCLUDE (n) REPLACE ({_day("data_date")}, coalesce(CAST(days_gap AS VARCHAR), 'none') AS days_gap)
+        FROM returns"""),
     "fct_daily_returns": _sql("returns", f"""
         SELECT * EXCLUDE (n, prev_close_price, days_gap) REPLACE ({_day("data_date")}) FROM returns"""),
     "benchmark_relative": _sql("returns", """
@@ -274,21 +303,37 @@ ORACLE = {
             SELECT f.asset_id, f.asset_name, f.asset_type, p.period,
                    arg_min(f.close_price, f.data_date) AS start_price, arg_max(f.close_price, f.data_date) AS current_price
             FROM filled f JOIN periods p ON f.data_date >= p.start_day GROUP BY ALL),
-        rated AS (SELECT *, current_price / start_price - 1 AS return_pct FROM starts WHERE start_price > 0)
+        rated AS (SELECT *, current_price / start_price - 1 AS return_pct FROM starts WHERE start_price > 0),
+        report AS (
         SELECT r.*, b.return_pct AS btc_return_pct, r.return_pct - b.return_pct AS return_vs_btc,
                CASE WHEN r.return_pct > b.return_pct THEN 'Outperformed' WHEN r.return_pct = b.return_pct THEN 'Matched'
                     ELSE 'Underperformed' END AS vs_btc_status,
                1 + (SELECT count(*) FROM rated o WHERE o.period = r.period AND o.return_pct > r.return_pct)
                    AS rank_by_return
-        FROM rated r LEFT JOIN rated b ON b.asset_id = 'BTC' AND b.period = r.period"""),
+        FROM rated r LEFT JOIN rated b ON b.asset_id = 'BTC' AND b.period = r.period)
+        SELECT *, row_number() OVER (ORDER BY list_position(['7D', '1M', '3M', '6M', 'YTD', '1Y'], period),
+                                              rank_by_return, asset_id) AS position
+        FROM report"""),
     "investment_comparison": _sql("filled", _INVEST),
-    "investment_benchmark_and_cash": _sql("filled", _INVEST + """
-        WHERE asset_id = 'BTC' OR (asset_id = 'USD' AND strategy = 'Lump Sum')"""),
+    "investment_benchmark_and_cash": "SELECT *, row_number() OVER (ORDER BY asset = 'BTC', strategy = 'DCA') AS position FROM ("
+        + _sql("filled", _INVEST + """
+        WHERE asset_id = 'BTC' OR (asset_id = 'USD' AND strategy = 'Lump Sum')""") + ")",
+    "rank_extremes": """
+        WITH v AS (
+            SELECT o_orderkey, o_orderpriority,
+                   CASE o_orderkey % 50 WHEN 0 THEN 'NaN'::DOUBLE WHEN 1 THEN 'inf'::DOUBLE WHEN 2 THEN '-inf'::DOUBLE
+                        WHEN 3 THEN NULL ELSE round(o_totalprice, -3) END AS v
+            FROM orders)
+        SELECT o_orderkey, o_orderpriority,
+               rank() OVER (PARTITION BY o_orderpriority ORDER BY v DESC NULLS LAST) AS rank_in_class,
+               rank() OVER (ORDER BY v DESC NULLS LAST) AS rank_overall
+        FROM v""",
     "volatility_comparison": _sql("returns", """,
         stats AS (
             SELECT asset_id, asset_name, asset_type, count(*) AS num_observations, avg(daily_return) AS m,
                    stddev_samp(daily_return) AS s, min(daily_return) AS lo, max(daily_return) AS hi
             FROM returns WHERE daily_return IS NOT NULL GROUP BY ALL)
+        SELECT *, row_number() OVER (ORDER BY volatility_rank, asset_id) AS position FROM (
         SELECT asset_id, asset_name, asset_type,
                CASE asset_type WHEN 'fiat' THEN 'Fiat Currencies' WHEN 'crypto' THEN 'Cryptocurrency'
                     WHEN 'stock' THEN 'Stocks' WHEN 'index' THEN 'Market Index' ELSE 'Other' END AS category,
@@ -298,9 +343,10 @@ ORACLE = {
                round(lo * 100, 2) + 0.0 AS min_daily_return_pct, round(hi * 100, 2) + 0.0 AS max_daily_return_pct,
                1 + (SELECT count(*) FROM stats o WHERE o.s > stats.s OR (stats.s IS NULL AND o.s IS NOT NULL))
                    AS volatility_rank
-        FROM stats"""),
+        FROM stats)"""),
     "return_correlation": _sql("returns", """
-        SELECT asset_a, asset_a_name, asset_b, asset_b_name, round(c, 6) + 0.0 AS correlation, observation_count
+        SELECT asset_a, asset_a_name, asset_b, asset_b_name, round(c, 8) + 0.0 AS correlation, observation_count,
+               row_number() OVER (ORDER BY asset_a, round(c, 8) DESC, asset_b) AS position
         FROM (SELECT a.asset_id AS asset_a, a.asset_name AS asset_a_name, b.asset_id AS asset_b,
                      b.asset_name AS asset_b_name, corr(a.daily_return, b.daily_return) AS c,
                      count(*) AS observation_count
@@ -345,13 +391,14 @@ ORACLE = {
                {_r("abs((d - 1200) / 1200 * 100 - (l - 1200) / 1200 * 100)", 6, "margin")}
         FROM fin"""),
     "annualised_volatility": _sql("returns", f"""
-        SELECT asset_id, {_r("v", 6, "annualized_volatility_pct")} FROM ({_VOL})"""),
+        SELECT asset_id, {_r("v", 8, "annualized_volatility_pct")} FROM ({_VOL})"""),
     "volatility_ratio": _sql("returns", f"""
-        SELECT {_r("b", 6, "benchmark_volatility")}, {_r("f", 6, "compared_mean")}, {_r("b / f", 6, "ratio")}
+        SELECT {_r("b", 8, "benchmark_volatility")}, {_r("f", 8, "compared_mean")}, {_r("b / f", 8, "ratio")}
         FROM (SELECT max(v) FILTER (asset_id = 'BTC') AS b, avg(v) FILTER (asset_id IN ('EUR', 'GBP')) AS f
               FROM ({_VOL}))"""),
     "flattened_series": """
         SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) + CAST(k AS INTEGER) AS VARCHAR) AS data_date,
+               epoch_ms(CAST(CAST(o_orderdate AS DATE) + CAST(k AS INTEGER) AS TIMESTAMP)) AS data_timestamp,
                o_totalprice + k AS price_usd, CASE WHEN k < 2 THEN o_totalprice * 1000 END AS market_cap_usd,
                CAST(o_custkey AS DOUBLE) + k AS volume_24h_usd,
                'coingecko_market_chart_' || strftime(o_orderdate, '%Y%m%d') AS __batch_id,
@@ -382,17 +429,48 @@ ORACLE = {
         FROM (SELECT DISTINCT coin FROM points) c,
              (SELECT unnest(generate_series(min(l_shipdate), max(l_shipdate), INTERVAL 1 DAY)) AS day FROM lineitem) s
         WHERE NOT EXISTS (SELECT 1 FROM points p WHERE p.coin = c.coin AND p.data_date = CAST(s.day AS DATE))"""),
-    "landing_round_trip": """
+    "landing_round_trip": f"""
         SELECT 'massive' AS source, CAST(CAST(date_trunc('month', ts) AS DATE) AS VARCHAR) AS ingestion_date,
-               'massive_forex_' || strftime(date_trunc('month', ts), '%Y%m%d') || '_C_' || upper(event_type) || 'USD'
+               'massive_forex_' || strftime(date_trunc('month', ts), '%Y%m%d') || '_' || replace(ticker, ':', '_')
                    AS batch_id,
-               'C:' || upper(event_type) || 'USD' AS ticker, count(DISTINCT CAST(ts AS DATE)) AS n_bars
-        FROM events GROUP BY ALL""",
+               ticker, count(DISTINCT CAST(ts AS DATE)) AS n_bars
+        FROM {_TICKERS} GROUP BY ALL""",
+    "landing_ids": """
+        SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS ingestion_date, lpad(CAST(user_id % 9 AS VARCHAR), 5, '0') AS batch_id,
+               event_id + 9007199254740992 AS id
+        FROM events""",
     "published_bronze": f"""
         SELECT ticker, {_day("data_date")}, open, high, low, close, volume, __batch_id, 'massive' AS __source_name,
+               strftime(date_trunc('month', data_date), '%Y-%m-%d') || ' 00:00:00' AS __ingested_at,
                '{{rates_version}}' AS __schema_version
         FROM ({_DAILY_EVENTS})""",
     "published_dates": f"SELECT ticker, {_day('data_date')} FROM ({_DAILY_EVENTS})",
+    "ingest_outcomes": f"""
+        SELECT event_type AS source, count(*) FILTER (NOT cut AND NOT unnamed) AS published,
+               count(*) FILTER (NOT cut AND NOT unnamed) AS in_table, count(*) FILTER (NOT cut AND unnamed) AS rejected,
+               count(*) FILTER (NOT cut AND unnamed) AS rejects_kept, count(*) FILTER (cut) AS unreadable,
+               count(*) FILTER (cut) AS unreadable_kept
+        FROM ({_TYPE_DAYS}) GROUP BY event_type""",
+    "gate_verdicts": f"""
+        WITH {_VERDICTS}
+        SELECT event_type || '_' || kind AS batch_id, event_type AS resource, dear + torn = 0 AS is_valid,
+               CAST(12 - dear - torn AS BIGINT) AS checks_passed, CAST(dear + torn AS BIGINT) AS checks_failed,
+               concat_ws('; ',
+                   CASE WHEN dear = 1 THEN 'close <= {CLOSE_LIMIT}: fail: value ' || CAST(worst AS VARCHAR) || ' violates <= {CLOSE_LIMIT}' END,
+                   CASE WHEN torn = 1 THEN 'unreadable_responses <= 0: fail: value ' || lost || ' violates <= 0' END) AS failed_checks,
+               CASE WHEN dear + torn = 0 THEN 'SUCCESS' ELSE 'FAILED' END AS status
+        FROM judged""",
+    "ingested_pass_rate": f"""
+        WITH {_VERDICTS}
+        SELECT 'events' AS source, event_type AS resource, count(*) AS total_runs,
+               count(*) FILTER (dear + torn = 0) AS passed, count(*) FILTER (dear + torn > 0) AS failed,
+               round(100.0::DOUBLE * count(*) FILTER (dear + torn = 0) / count(*), 1) AS pass_rate_pct
+        FROM judged GROUP BY event_type""",
+    "empty_batch_policy": """
+        SELECT event_type, strict AS fail_on_empty, NOT strict AS is_valid, CAST(0 AS BIGINT) AS checks_passed,
+               CAST(strict AS BIGINT) AS checks_failed,
+               CASE WHEN strict THEN 'fail_on_empty_data: fail: the batch holds no rows' ELSE '' END AS failed_checks
+        FROM (SELECT DISTINCT event_type FROM events), (VALUES (false), (true)) AS p(strict)""",
     "materialised_rates": _sql("rates", f"SELECT * REPLACE ({_day('data_date')}) FROM rates"),
     "selected_assets": """
         SELECT p_partkey AS ticker, p_name AS name, lower(p_type) AS asset_type
@@ -400,25 +478,43 @@ ORACLE = {
     "audit_report_bars": """
         WITH t AS (SELECT l_returnflag AS ticker, CAST(l_shipdate AS DATE) AS d, l_quantity AS low,
                           l_extendedprice AS high, l_discount AS disc, l_tax AS tax FROM lineitem),
-        m(name, metric, held) AS (
-            SELECT 'row_count > 0', count(*), count(*) > 0 FROM t
-            UNION ALL SELECT 'missing_count(data_date) = 0', count(*), count(*) = 0 FROM t WHERE d IS NULL
-            UNION ALL SELECT 'missing_count(tax) = 0', count(*), count(*) = 0 FROM t WHERE NOT tax > 0 OR tax IS NULL
-            UNION ALL SELECT 'low > 0', min(low), bool_and(low > 0) FROM t
-            UNION ALL SELECT 'discount > 0', min(disc), bool_and(disc > 0) FROM t
-            UNION ALL SELECT 'discount < 0.5', max(disc), bool_and(disc < 0.5) FROM t
-            UNION ALL SELECT 'low <= 10', max(low), bool_and(low <= 10) FROM t
-            UNION ALL SELECT 'high_lt_low = 0', count(*), count(*) = 0 FROM t WHERE high < low
-            UNION ALL SELECT 'no_duplicate_dates = 0', count(*), count(*) = 0
+        m(name, rule, metric, held) AS (
+            SELECT 'row_count > 0', '> 0', count(*), count(*) > 0 FROM t
+            UNION ALL SELECT 'missing_count(data_date) = 0', '= 0', count(*), count(*) = 0 FROM t WHERE d IS NULL
+            UNION ALL SELECT 'missing_count(tax) = 0', '= 0', count(*), count(*) = 0 FROM t WHERE NOT tax > 0 OR tax IS NULL
+            UNION ALL SELECT 'low > 0', '> 0', min(low), bool_and(low > 0) FROM t
+            UNION ALL SELECT 'discount > 0', '> 0', min(disc), bool_and(disc > 0) FROM t
+            UNION ALL SELECT 'discount < 0.5', '< 0.5', max(disc), bool_and(disc < 0.5) FROM t
+            UNION ALL SELECT 'low <= 10', '<= 10', max(low), bool_and(low <= 10) FROM t
+            UNION ALL SELECT 'high_lt_low = 0', '= 0', count(*), count(*) = 0 FROM t WHERE high < low
+            UNION ALL SELECT 'no_duplicate_dates = 0', '= 0', count(*), count(*) = 0
                       FROM (SELECT 1 FROM t GROUP BY ticker, d HAVING count(*) > 1)
-            UNION ALL SELECT 'days > 10', count(DISTINCT d), count(DISTINCT d) > 10 FROM t)
-        SELECT name, CAST(metric AS DOUBLE) AS metric, CASE WHEN held THEN 'pass' ELSE 'fail' END AS outcome FROM m""",
+            UNION ALL SELECT 'days > 10', '> 10', count(DISTINCT d), count(DISTINCT d) > 10 FROM t)
+        SELECT name, CAST(metric AS DOUBLE) AS metric, CASE WHEN held THEN 'pass' ELSE 'fail' END AS outcome,
+               CASE WHEN held THEN '' ELSE 'value ' || CAST(CAST(metric AS DOUBLE) AS VARCHAR) || ' violates ' || rule END
+                   AS diagnostic
+        FROM m""",
     "audit_summary_series": """
+        WITH n AS (
+            SELECT count(*) AS a, count(o_orderdate) AS d, count(o_totalprice) AS p, count(o_custkey) AS c,
+                   min(o_totalprice) AS lp, min(o_custkey) AS lc FROM orders),
+        m(name, rule, metric, held) AS (
+            SELECT unnest([
+                {'n': 'row_count > 0', 'r': '> 0', 'm': a::DOUBLE, 'h': a > 0},
+                {'n': 'missing_count(data_timestamp) = 0', 'r': '= 0', 'm': (a - d)::DOUBLE, 'h': a = d},
+                {'n': 'missing_count(data_date) = 0', 'r': '= 0', 'm': (a - d)::DOUBLE, 'h': a = d},
+                {'n': 'missing_count(price_usd) = 0', 'r': '= 0', 'm': (a - p)::DOUBLE, 'h': a = p},
+                {'n': 'missing_count(market_cap_usd) = 0', 'r': '= 0', 'm': (a - p)::DOUBLE, 'h': a = p},
+                {'n': 'missing_count(volume_24h_usd) = 0', 'r': '= 0', 'm': (a - c)::DOUBLE, 'h': a = c},
+                {'n': 'price_usd > 0', 'r': '> 0', 'm': lp::DOUBLE, 'h': lp > 0},
+                {'n': 'market_cap_usd > 0', 'r': '> 0', 'm': (lp * 1000)::DOUBLE, 'h': lp > 0},
+                {'n': 'volume_24h_usd > 0', 'r': '> 0', 'm': lc::DOUBLE, 'h': lc > 0}], recursive := true)
+            FROM n)
         SELECT count(*) FILTER (NOT held) = 0 AS is_valid, count(*) FILTER (held) AS checks_passed,
-               count(*) FILTER (NOT held) AS checks_failed, count(*) FILTER (NOT held) AS failed_checks
-        FROM (SELECT unnest([count(*) > 0, count(*) = count(o_orderdate), count(*) = count(o_orderdate),
-                             count(*) = count(o_totalprice), count(*) = count(o_totalprice), count(*) = count(o_custkey),
-                             min(o_totalprice) > 0, min(o_totalprice) > 0, min(o_custkey) > 0]) AS held FROM orders)""",
+               count(*) FILTER (NOT held) AS checks_failed,
+               coalesce(string_agg(name || ': fail: value ' || CAST(metric AS VARCHAR) || ' violates ' || rule, '; ' ORDER BY name)
+                        FILTER (NOT held), '') AS failed_checks
+        FROM m""",
     "duplicate_observations": _sql("points", f"""
         SELECT coin, {_day("data_date")}, count(*) AS n_rows FROM points GROUP BY coin, points.data_date HAVING count(*) > 1"""),
     "null_violations": _sql("numbered", f"SELECT asset_id, {_day('data_date')}, close_price FROM numbered WHERE n = 1"),
@@ -428,10 +524,10 @@ ORACLE = {
     "accepted_value_violations": _sql("prices", """
         SELECT asset_type, count(*) AS n_rows FROM prices WHERE asset_type = 'unknown' GROUP BY asset_type"""),
     "relationship_violations": """
-        SELECT l_orderkey, l_partkey FROM lineitem
-        WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')""",
+        SELECT event_id, user_id FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer)""",
     "source_freshness": _sql("points", """
-        SELECT coin, epoch(TIMESTAMP '2001-08-04 12:00:00')::BIGINT - epoch(CAST(max(data_date) AS TIMESTAMP))::BIGINT
+        SELECT coin, strftime(CAST(max(data_date) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS max_loaded_at,
+               epoch(TIMESTAMP '2001-08-04 12:00:00')::BIGINT - epoch(CAST(max(data_date) AS TIMESTAMP))::BIGINT
                    AS age_seconds,
                CASE WHEN max(data_date) < TIMESTAMP '2001-08-01 12:00:00' THEN 'error'
                     WHEN max(data_date) < TIMESTAMP '2001-08-02 12:00:00' THEN 'warn' ELSE 'pass' END AS status
@@ -443,14 +539,17 @@ ORACLE = {
         FROM audits GROUP BY event_type"""),
     "recent_failures": _sql("audits", f"""
         SELECT 'events_' || event_type || '_' || {_YMD.format("day")} AS batch_id, 'events' AS source,
-               event_type AS resource, 'max ' || CAST(worst AS VARCHAR) AS failed_checks
+               event_type AS resource, 'value_bound: fail: max ' || CAST(worst AS VARCHAR) AS failed_checks
         FROM (SELECT * FROM audits WHERE NOT ok ORDER BY t1 DESC LIMIT 5)"""),
     "ledger_upsert": _sql("audits", f"""
         SELECT 'events_' || event_type || '_' || {_YMD.format("day")} AS batch_id, 'events' AS source,
                event_type AS resource, fine AS is_valid, CAST(1 + fine::INT AS BIGINT) AS checks_passed,
                CAST(1 - fine::INT AS BIGINT) AS checks_failed,
                strftime(CASE WHEN day >= DATE '2024-01-16' THEN t1 + INTERVAL 1 DAY ELSE t1 END, '%Y-%m-%d %H:%M:%S')
-                   AS created_at
+                   AS created_at,
+               strftime(day, '%Y-%m-%d 00:00:00') AS data_interval_start,
+               strftime(day + 1, '%Y-%m-%d 00:00:00') AS data_interval_end,
+               CASE WHEN fine THEN '' ELSE 'value_bound: fail: max ' || CAST(worst AS VARCHAR) END AS failed_checks
         FROM (SELECT *, CASE WHEN day >= DATE '2024-01-16' THEN worst <= 100 ELSE ok END AS fine FROM audits)"""),
     "run_state": _sql("audits", f"""
         SELECT 'run_' || event_type || '_' || {_YMD.format("day")} AS run_id,
@@ -465,11 +564,13 @@ ORACLE = {
                CASE WHEN step = 'extract' THEN 'SUCCESS' WHEN worst > 300 THEN 'RUNNING' WHEN ok THEN 'SUCCESS'
                     ELSE 'FAILED' END AS status,
                strftime(CASE step WHEN 'extract' THEN t0 ELSE t1 END, '%Y-%m-%d %H:%M:%S') AS start_time,
-               CASE WHEN step = 'extract' OR worst <= 300 THEN strftime(t1, '%Y-%m-%d %H:%M:%S') END AS end_time
+               CASE WHEN step = 'extract' OR worst <= 300 THEN strftime(t1, '%Y-%m-%d %H:%M:%S') END AS end_time,
+               '' AS metadata
         FROM audits, (VALUES ('extract'), ('validate')) AS s(step)"""),
     "lineage_trace": _sql("rates", f"""
-        SELECT asset_id, {_day("data_date")}, close_price, __batch_id, 'run-' || __batch_id AS run_id,
-               CASE WHEN volume > 100 THEN 'SUCCESS' ELSE 'FAILED' END AS status
+        SELECT asset_id, {_day("data_date")}, close_price, __batch_id, 'second-' || __batch_id AS run_id,
+               CASE WHEN volume > 100 THEN 'SUCCESS' ELSE 'FAILED' END AS status,
+               CAST(rates.data_date + 2 AS VARCHAR) AS start_time
         FROM rates"""),
     "landing_lineage": f"""
         SELECT ticker, {_day("data_date")}, __batch_id, 'SUCCESS' AS status,
@@ -479,7 +580,8 @@ ORACLE = {
         SELECT event_id, CAST(round(value * 1000000) AS DOUBLE) / 1e6 AS amount0_in,
                CAST(user_id || '000000000000007' AS DOUBLE) / 1e18 AS amount1_in,
                CAST(event_id AS DOUBLE) / 1e6 AS amount0_out,
-               CAST(event_id || repeat('0', 60) AS DOUBLE) / 1e18 AS amount1_out, event_type
+               CAST(event_id || repeat('0', 60) AS DOUBLE) / 1e18 AS amount1_out, event_type,
+               user_id AS taker, user_id % 100 AS tx_from
         FROM events""",
     "unique_takers": """
         SELECT event_type, count(DISTINCT user_id) AS unique_takers_direct,

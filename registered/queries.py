@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,14 +11,16 @@ from bourse import contracts
 from bourse.functions import paths
 from bourse.functions.convert import ms_to_date, text_to_date
 from bourse.operators import checks as c
-from bourse.operators import ledger as books
+from bourse.operators import ledger as ledgers
 from bourse.operators.flatten import batch_key, flatten, route
 from bourse.operators.loadplan import missing_loads
+from bourse.operators.ranking import rank_descending
 from bourse.plans import core, figures, market, reports, swaps
-from bourse.plans.ingest import ingest
+from bourse.plans.ingest import Books, ingest
 from bourse.session import shared_folder
 from bourse.sources import landing, published, reference_data
 from registered import inputs
+from registered.oracle import CLOSE_LIMIT
 
 QUERIES = {}
 
@@ -33,6 +37,11 @@ def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def _listed(entries: str) -> F.Column:
+    """Failed checks as text."""
+    return F.concat_ws("; ", F.transform(entries, lambda e: F.concat_ws(": ", e["name"], e["outcome"], e["diagnostic"])))
+
+
 def query(fn):
     QUERIES[fn.__name__] = lambda spark, sf_dir: _shown(fn(spark, sf_dir))
     return fn
@@ -74,7 +83,7 @@ def unified_prices(spark, sf):
 
 @query
 def dim_assets(spark, sf):
-    return core.sorted_assets(core.dim_assets(inputs.prices(spark, sf)))
+    return reports.with_position(core.dim_assets(inputs.prices(spark, sf)), core.asset_order())
 
 
 @query
@@ -88,13 +97,20 @@ def daily_prices_locf(spark, sf):
     return core.daily_prices(priced, inputs.dates(spark, sf, priced))
 
 
+@query
+def daily_prices_named(spark, sf):
+    """Filled prices that take their names from the asset dimension."""
+    priced = inputs.prices(spark, sf)
+    return core.daily_prices(priced, inputs.dates(spark, sf, priced), core.dim_assets(priced))
+
+
 def _returns(spark, sf):
     return market.daily_returns(inputs.prices(spark, sf))
 
 
 @query
 def daily_returns(spark, sf):
-    return _returns(spark, sf).withColumn("days_gap", F.col("days_gap").cast("double"))
+    return _returns(spark, sf).withColumn("days_gap", F.coalesce(F.col("days_gap").cast("string"), F.lit("none")))
 
 
 @query
@@ -114,13 +130,13 @@ _ROLLING = [f"{m}_{n}d" for m in ("avg_return", "volatility") for n in market.RO
 
 @query
 def rolling_metrics(spark, sf):
-    return _rounded(market.rolling_metrics(_returns(spark, sf)), 6, *_ROLLING)
+    return _rounded(market.rolling_metrics(_returns(spark, sf)), 8, *_ROLLING)
 
 
 @query
 def fct_rolling_metrics(spark, sf):
     rolling = market.fct_rolling_metrics(market.rolling_metrics(_returns(spark, sf)))
-    return _rounded(rolling, 6, *_ROLLING).orderBy("asset_id", "data_date")
+    return _rounded(rolling, 8, *_ROLLING).orderBy("asset_id", "data_date")
 
 
 def _gaps(spark, sf):
@@ -142,7 +158,7 @@ def critical_gaps(spark, sf):
 
 @query
 def performance_summary(spark, sf):
-    return reports.performance_summary(inputs.prices(spark, sf))
+    return reports.with_position(reports.performance_summary(inputs.prices(spark, sf)), reports.performance_order())
 
 
 @query
@@ -152,17 +168,31 @@ def investment_comparison(spark, sf):
 
 @query
 def investment_benchmark_and_cash(spark, sf):
-    return reports.investment_comparison(inputs.prices(spark, sf), benchmark="BTC")
+    report = reports.investment_comparison(inputs.prices(spark, sf), benchmark="BTC")
+    return reports.with_position(report, reports.investment_order())
 
 
 @query
 def volatility_comparison(spark, sf):
-    return reports.volatility_comparison(core.fct_daily_returns(_returns(spark, sf)))
+    report = reports.volatility_comparison(core.fct_daily_returns(_returns(spark, sf)))
+    return reports.with_position(report, reports.volatility_order())
+
+
+@query
+def rank_extremes(spark, sf):
+    """Ranks of prices among which are NaN, infinities and nulls."""
+    k, price = F.col("o_orderkey") % 50, F.col("o_totalprice")
+    value = (F.when(k == 0, F.lit(float("nan"))).when(k == 1, F.lit(float("inf"))).when(k == 2, F.lit(float("-inf")))
+             .when(k != 3, F.round(price, -3)))
+    orders = inputs.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", value.alias("v"))
+    ranked = rank_descending(rank_descending(orders, "v", ("o_orderpriority",), "rank_in_class"), "v", (), "rank_overall")
+    return ranked.drop("v")
 
 
 @query
 def return_correlation(spark, sf):
-    return _rounded(reports.return_correlation(_returns(spark, sf)), 6, "correlation")
+    report = _rounded(reports.return_correlation(_returns(spark, sf)), 8, "correlation")
+    return reports.with_position(report, reports.correlation_order())
 
 
 @query
@@ -205,12 +235,12 @@ def dca_value_summary(spark, sf):
 
 @query
 def annualised_volatility(spark, sf):
-    return _rounded(figures.annualised_volatility(_returns(spark, sf)), 6, "annualized_volatility_pct")
+    return _rounded(figures.annualised_volatility(_returns(spark, sf)), 8, "annualized_volatility_pct")
 
 
 @query
 def volatility_ratio(spark, sf):
-    return _rounded(figures.volatility_ratio(_returns(spark, sf)), 6, "benchmark_volatility", "compared_mean", "ratio")
+    return _rounded(figures.volatility_ratio(_returns(spark, sf)), 8, "benchmark_volatility", "compared_mean", "ratio")
 
 
 # --- ingestion -----------------------------------------------------------------
@@ -240,7 +270,7 @@ def flattened_series(spark, sf):
     key = batch_key("coingecko", "market_chart", F.to_date("o_orderdate"))
     flat = flatten(parsed, contracts.CRYPTO_SERIES, batch_id=key, ingested_at=F.col("o_orderdate"),
                    keep=("o_orderkey", "o_orderdate"))
-    return flat.drop("o_orderdate", "data_timestamp")
+    return flat.drop("o_orderdate").withColumn("data_timestamp", F.unix_millis("data_timestamp"))
 
 
 @query
@@ -309,35 +339,44 @@ def load_plan(spark, sf):
     return missing_loads(requested, existing, ["ticker", "data_date"])
 
 
-def _event_responses(spark, sf):
-    """Events as daily rate bars, one response per type and month (at most 31 bars).
+def _tickers():
+    """Every event counts for a pair named by its type and for a code that looks like a number."""
+    return F.explode(F.array(F.concat(F.lit("C:"), F.upper("event_type"), F.lit("USD")),
+                             F.lpad((F.col("user_id") % 7).cast("string"), 4, "0"))).alias("ticker")
+
 
-    Event values may be zero and prices may not, so a price is one plus the value.
-    """
-    daily = inputs.table(spark, sf, "events").withColumn("price", F.col("value") + 1).groupBy(
-        "event_type", F.to_date("ts").alias("day")).agg(
+def _daily_bars(events, *keys):
+    """Events as daily bars. Event values may be zero and prices may not, so a price is one plus the value."""
+    return events.withColumn("price", F.col("value") + 1).groupBy(*keys, F.to_date("ts").alias("day")).agg(
         F.min_by("price", "event_id").alias("o"), F.max("price").alias("h"), F.min("price").alias("l"),
         F.max_by("price", "event_id").alias("c"), F.count(F.lit(1)).cast("double").alias("v"))
-    bar = F.struct((F.unix_date("day").cast("bigint") * 86_400_000).alias("t"), "o", "h", "l", "c", "v")
-    return (daily.groupBy(F.concat(F.lit("C:"), F.upper("event_type"), F.lit("USD")).alias("ticker"),
-                          F.trunc("day", "month").alias("month"))
-            .agg(F.collect_list(bar).alias("results"))
+
+
+def _bar():
+    return F.struct((F.unix_date("day").cast("bigint") * 86_400_000).alias("t"), "o", "h", "l", "c", "v")
+
+
+def _event_responses(spark, sf):
+    """Events as daily rate bars, one response per ticker and month (at most 31 bars)."""
+    daily = _daily_bars(inputs.table(spark, sf, "events").select("*", _tickers()), "ticker")
+    return (daily.groupBy("ticker", F.trunc("day", "month").alias("month"))
+            .agg(F.collect_list(_bar()).alias("results"))
             .select("ticker", F.struct("results").alias("payload"), F.lit("massive").alias("source"),
                     F.col("month").alias("ingestion_date"),
                     batch_key("massive", "forex", F.col("month"), F.col("ticker")).alias("batch_id")))
 
 
-def _landed(spark, sf):
+def _landed(spark, sf, with_file=False):
     root = shared_folder(spark, "landing")
     landing.write_landing(_event_responses(spark, sf), root, parameters=("ticker",))
-    return landing.read_landing(spark, root, contracts.RATE_BARS, parameters={"ticker": "string"})
+    return landing.read_landing(spark, root, contracts.RATE_BARS, parameters={"ticker": "string"}, with_file=with_file)
 
 
-def _publish_events(spark, sf):
-    responses = _landed(spark, sf)
+def _publish_events(spark, sf, responses=None):
+    responses = _landed(spark, sf) if responses is None else responses
     root = shared_folder(spark, "lake")
     ingest(responses, root, contracts.RATE_BARS, "massive_forex_all", parameters={"ticker": F.col("ticker")},
-           row_batch_id=F.col("batch_id"))
+           ingested_at=F.to_timestamp("ingestion_date"), row_batch_id=F.col("batch_id"))
     return root
 
 
@@ -349,11 +388,26 @@ def landing_round_trip(spark, sf):
                        F.size("payload.results").cast("bigint").alias("n_bars"))
 
 
+_IDS = contracts.Contract("events", "ids", (contracts.Field("id", "id", "integer"),))
+
+
+@query
+def landing_ids(spark, sf):
+    """Batch names that look like numbers, and ids beyond what a double holds, written and scanned back."""
+    big = F.col("event_id") + 9_007_199_254_740_992
+    rows = inputs.table(spark, sf, "events").select(
+        F.lit("events").alias("source"), F.to_date("ts").alias("ingestion_date"),
+        F.lpad((F.col("user_id") % 9).cast("string"), 5, "0").alias("batch_id"), F.struct(big.alias("id")).alias("payload"))
+    root = shared_folder(spark, "landing")
+    landing.write_landing(rows, root)
+    back = landing.read_landing(spark, root, _IDS)
+    return back.select("ingestion_date", "batch_id", F.col("payload.id").cast("bigint").alias("id"))
+
+
 @query
 def published_bronze(spark, sf):
     """Landing JSON through flattening, audit and partition publish, scanned back."""
-    table = published.read_published(spark, _publish_events(spark, sf), contracts.RATE_BARS)
-    return table.drop("__ingested_at")
+    return published.read_published(spark, _publish_events(spark, sf), contracts.RATE_BARS)
 
 
 @query
@@ -362,6 +416,86 @@ def published_dates(spark, sf):
     return published.existing_dates(spark, _publish_events(spark, sf), contracts.RATE_BARS)
 
 
+def _type_batches(spark, sf, broken):
+    """Per event type, one JSON response a day; with ``broken`` every seventh day is cut short and every fifth has no ticker."""
+    daily = _daily_bars(inputs.table(spark, sf, "events"), "event_type")
+    text = F.to_json(F.struct(F.array(_bar()).alias("results")))
+    day = F.dayofmonth("day")
+    texts = daily.select(
+        "event_type", F.when(F.lit(broken) & (day % 7 == 0), F.substring(text, 1, 40)).otherwise(text).alias("text"),
+        F.when(F.lit(broken) & (day % 5 == 0), F.lit("")).otherwise(F.concat(F.lit("C:"), "event_type")).alias("ticker"))
+    parsed = landing.parse_responses(texts, "text", contracts.RATE_BARS)
+    types = sorted(r.event_type for r in daily.select("event_type").distinct().collect())
+    return [(t, parsed.filter(F.col("event_type") == t)) for t in types]
+
+
+@query
+def ingest_outcomes(spark, sf):
+    """What ingestion published, rejected and could not read, per event type as a source."""
+    root = shared_folder(spark, "lake")
+    rows = []
+    for kind, responses in _type_batches(spark, sf, broken=True):
+        contract = replace(contracts.RATE_BARS, source=kind)
+        done = ingest(responses, root, contract, f"all_{kind}", {"ticker": F.col("ticker")}, most_unreadable=None)
+        table = published.read_published(spark, root, contract)
+        rows.append((kind, done.published, table.count(), done.rejected, done.rejects.count() if done.rejects else 0, done.unreadable,
+                     done.unreadable_responses.count() if done.unreadable_responses else 0))
+    return spark.createDataFrame(rows, "source string, published long, in_table long, rejected long, rejects_kept long, "
+                                       "unreadable long, unreadable_kept long")
+
+
+def _audited_types(spark, sf):
+    """Books of an ingestion in which types with a dear closing price fail their audit, cut responses fail others, and a
+    second call finds everything loaded."""
+    root = shared_folder(spark, "lake")
+    books = Books(shared_folder(spark, "books"))
+    for broken in (False, True):
+        for kind, responses in _type_batches(spark, sf, broken):
+            contract = replace(contracts.RATE_BARS, source="events", resource=kind,
+                               checks=(*contracts.RATE_BARS.checks, c.bound("close", "<=", CLOSE_LIMIT)))
+            try:
+                ingest(responses, root, contract, f"{kind}_{'cut' if broken else 'whole'}", {"ticker": F.col("ticker")}, books=books)
+            except c.AuditFailed:
+                pass
+    return books
+
+
+@query
+def gate_verdicts(spark, sf):
+    """Audit results and run states that ingestion itself wrote."""
+    books = _audited_types(spark, sf)
+    results = _ledger_at(spark, books.results).select(
+        "batch_id", "resource", "is_valid", F.col("checks_passed").cast("bigint").alias("checks_passed"),
+        F.col("checks_failed").cast("bigint").alias("checks_failed"), _listed("failed_checks").alias("failed_checks"))
+    states = ledgers.run_state(spark.read.parquet(books.events)).select("batch_id", "status")
+    return results.join(states, "batch_id")
+
+
+@query
+def ingested_pass_rate(spark, sf):
+    """The pass rate over a ledger written by ingestion, failed batches included."""
+    return ledgers.pass_rate(_ledger_at(spark, _audited_types(spark, sf).results)).drop("last_run")
+
+
+def _ledger_at(spark, path):
+    return ledgers.current_results(spark.read.parquet(path))
+
+
+@query
+def empty_batch_policy(spark, sf):
+    """Audits of a batch without rows, as the policy allows or forbids it, per event type."""
+    events = inputs.table(spark, sf, "events")
+    rows = []
+    for kind in sorted(r.event_type for r in events.select("event_type").distinct().collect()):
+        none = events.filter((F.col("event_type") == kind) & (F.col("value") < 0))
+        for strict in (False, True):
+            result = c.audit(none, [c.row_count(">", 0)], fail_on_empty=strict)
+            rows.append((kind, strict, result.is_valid, result.checks_passed, result.checks_failed,
+                         "; ".join(f"{e['name']}: {e['outcome']}: {e['diagnostic']}" for e in result.failed_checks)))
+    return spark.createDataFrame(rows, "event_type string, fail_on_empty boolean, is_valid boolean, checks_passed long, "
+                                       "checks_failed long, failed_checks string")
+
+
 @query
 def materialised_rates(spark, sf):
     """A model written to its layer and read back."""
@@ -396,7 +530,7 @@ def audit_report_bars(spark, sf):
         c.count_where("high_lt_low", "high < low"), c.duplicates("no_duplicate_dates", ("ticker", "data_date")),
         c.sql_metric("days", "SELECT count(DISTINCT data_date) FROM {table}", ">", 10),
     ])
-    return report.select("name", "metric", "outcome")
+    return report.withColumn("diagnostic", F.coalesce("diagnostic", F.lit("")))
 
 
 @query
@@ -404,7 +538,7 @@ def audit_summary_series(spark, sf):
     """The crypto contract's audit folded to one row."""
     raw = inputs.raw_series(spark, sf)
     folded = c.summarise(c.check_report(raw, contracts.CRYPTO_SERIES.checks))
-    return folded.withColumn("failed_checks", F.size("failed_checks"))
+    return folded.withColumn("failed_checks", _listed("failed_checks"))
 
 
 @query
@@ -430,32 +564,27 @@ def accepted_value_violations(spark, sf):
 
 @query
 def relationship_violations(spark, sf):
-    """Trades whose order is missing."""
-    lines = inputs.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
-    orders = inputs.table(spark, sf, "orders").filter(F.col("o_orderstatus") != "F")
-    return c.relationship_violations(lines, "l_orderkey", orders, "o_orderkey")
+    """Events whose user is no customer."""
+    events = inputs.table(spark, sf, "events").select("event_id", "user_id")
+    return c.relationship_violations(events, "user_id", inputs.table(spark, sf, "customer"), "c_custkey")
 
 
 @query
 def source_freshness(spark, sf):
     """Age of the newest point of each coin against limits of 2 and 3 days."""
     raw = inputs.raw_series(spark, sf).withColumn("loaded", F.col("data_date").cast("timestamp"))
-    return c.freshness(raw, "loaded", 2, 3, F.lit("2001-08-04 12:00:00"), by=("coin",)).drop("max_loaded_at")
-
-
-def _flat_ledger(df):
-    return df.withColumn("failed_checks", F.to_json("failed_checks"))
+    return c.freshness(raw, "loaded", 2, 3, F.lit("2001-08-04 12:00:00"), by=("coin",))
 
 
 @query
 def quality_pass_rate(spark, sf):
-    return books.pass_rate(inputs.ledger(spark, sf))
+    return ledgers.pass_rate(inputs.ledger(spark, sf))
 
 
 @query
 def recent_failures(spark, sf):
-    failures = books.recent_failures(inputs.ledger(spark, sf))
-    return failures.withColumn("failed_checks", F.element_at("failed_checks", 1)["diagnostic"])
+    failures = ledgers.recent_failures(inputs.ledger(spark, sf))
+    return failures.withColumn("failed_checks", _listed("failed_checks"))
 
 
 @query
@@ -464,43 +593,43 @@ def ledger_upsert(spark, sf):
     first = inputs.ledger(spark, sf)
     again = inputs.ledger(spark, sf, limit=100.0).filter(F.col("data_interval_start") >= "2024-01-16")
     again = again.withColumn("source", F.lit("retry")).withColumn("created_at", F.col("created_at") + F.expr("INTERVAL 1 DAY"))
-    merged = books.upsert_results(first, again)
-    return merged.drop("failed_checks", "data_interval_start", "data_interval_end")
+    merged = ledgers.upsert_results(first, again)
+    return merged.withColumn("failed_checks", _listed("failed_checks"))
 
 
 @query
 def run_state(spark, sf):
-    return books.run_state(inputs.state_events(spark, sf))
+    return ledgers.run_state(inputs.state_events(spark, sf))
 
 
 @query
 def step_state(spark, sf):
-    return books.step_state(inputs.state_events(spark, sf)).drop("metadata")
+    return ledgers.step_state(inputs.state_events(spark, sf)).withColumn("metadata", F.coalesce("metadata", F.lit("")))
 
 
 @query
 def lineage_trace(spark, sf):
-    """Priced rate rows with the state of the batch they came from."""
+    """Priced rate rows with the last of the two runs of the batch they came from."""
     facts = inputs.rates(spark, sf).select("asset_id", "data_date", "close_price", "__batch_id")
-    runs = inputs.raw_rates(spark, sf).select(
-        F.col("__batch_id").alias("batch_id"), F.concat(F.lit("run-"), F.col("__batch_id")).alias("run_id"),
-        F.when(F.col("volume") > 100, "SUCCESS").otherwise("FAILED").alias("status"))
-    return books.trace(facts, runs)
+    batch = F.col("__batch_id")
+    final = F.when(F.col("volume") > 100, "SUCCESS").otherwise("FAILED")
+    runs = inputs.raw_rates(spark, sf).select(batch.alias("batch_id"), F.inline(F.array(
+        F.struct(F.concat(F.lit("second-"), batch).alias("run_id"), final.alias("status"),
+                 F.date_add("data_date", 2).alias("start_time")),
+        F.struct(F.concat(F.lit("z-first-"), batch).alias("run_id"), F.lit("FAILED").alias("status"),
+                 F.date_add("data_date", 1).alias("start_time")))))
+    return ledgers.trace(facts, runs)
 
 
 @query
 def landing_lineage(spark, sf):
     """Published rows with the landing file their batch came from."""
-    root = shared_folder(spark, "landing")
-    landing.write_landing(_event_responses(spark, sf), root, parameters=("ticker",))
-    landed = landing.read_landing(spark, root, contracts.RATE_BARS, parameters={"ticker": "string"}, with_file=True)
-    lake = shared_folder(spark, "lake")
-    ingest(landed, lake, contracts.RATE_BARS, "massive_forex_all", parameters={"ticker": F.col("ticker")},
-           row_batch_id=F.col("batch_id"))
+    landed = _landed(spark, sf, with_file=True)
+    lake = _publish_events(spark, sf, landed)
     facts = published.read_published(spark, lake, contracts.RATE_BARS).select("ticker", "data_date", "__batch_id")
-    files = books.landing_files(landed).select("batch_id", "ingestion_date", "landing_file")
+    files = ledgers.landing_files(landed).select("batch_id", "ingestion_date", "landing_file")
     runs = landed.select("batch_id", F.lit("SUCCESS").alias("status")).distinct()
-    return books.trace(facts, runs, files).withColumn(
+    return ledgers.trace(facts, runs, files).withColumn(
         "landing_file", F.regexp_extract("landing_file", r"batch_id=([^/]+)/", 1))
 
 
@@ -508,7 +637,7 @@ def landing_lineage(spark, sf):
 
 @query
 def swap_amounts(spark, sf):
-    return swaps.swap_amounts(inputs.swaps(spark, sf)).drop("taker", "tx_from")
+    return swaps.swap_amounts(inputs.swaps(spark, sf))
 
 
 @query

@@ -207,6 +207,81 @@ def test_rejects_are_counted(spark, tmp_path):
     assert outcome.published == 1 and outcome.rejected == 2
 
 
+def test_rejected_records_are_kept(spark, tmp_path):
+    outcome = load(spark, str(tmp_path), "b1", ("C:EURUSD", 0, 10.0), ("", 0, 11.0))
+    assert [(r.ticker, r.close) for r in outcome.rejects.collect()] == [("", 11.0)]
+    assert outcome.unreadable == 0 and outcome.unreadable_responses is None
+
+
+GOOD = json.dumps({"results": [{"t": DAY0, "o": 1.0, "h": 2.0, "l": 1.0, "c": 1.5, "v": 3}]})
+FOLDER = "source=massive/ingestion_date=2026-01-01/batch_id=00123"
+
+
+@pytest.mark.parametrize("text,lost", [
+    (GOOD + "\n" + GOOD[:30], 1), ("<html>\n<body>busy</body>\n</html>", 3), (GOOD.replace("1.5", '"1.5"'), 1),
+    (GOOD.replace("1.5", '"NaN"'), 1)])
+def test_unreadable_responses_fail_the_audit(spark, tmp_path, text, lost):
+    folder = tmp_path / "landing" / FOLDER
+    folder.mkdir(parents=True)
+    (folder / "raw.json").write_text(text)
+    rows = landing.read_landing(spark, str(tmp_path / "landing"), contracts.RATE_BARS)
+    assert {r.batch_id for r in rows.collect()} == {"00123"}
+    with pytest.raises(c.AuditFailed) as error:
+        ingest(rows, str(tmp_path), contracts.RATE_BARS, "b1", {"ticker": "C:EURUSD"})
+    failed = {x["name"]: x["diagnostic"] for x in error.value.result.failed_checks}
+    assert failed["unreadable_responses <= 0"] == f"value {lost} violates <= 0"
+    assert error.value.kept_at == published.failed_path(str(tmp_path), "b1") and os.path.exists(error.value.kept_at)
+    assert not os.path.exists(published.table_path(str(tmp_path), contracts.RATE_BARS))
+    outcome = ingest(rows, str(tmp_path), contracts.RATE_BARS, "b1", {"ticker": "C:EURUSD"}, most_unreadable=None)
+    assert outcome.unreadable == lost == outcome.unreadable_responses.count()
+    assert outcome.published == (1 if text.startswith(GOOD) else 0)
+
+
+def test_nan_fails_the_audit(spark, tmp_path):
+    bad = bars(spark, ("C:EURUSD", 0, 10.0)).withColumn("payload", F.expr(
+        "struct(transform(payload.results, b -> struct(b.t, b.o, b.h, b.l, double('NaN') as c, b.v)) as results)"))
+    with pytest.raises(c.AuditFailed) as error:
+        ingest(bad, str(tmp_path), contracts.RATE_BARS, "b1", {"ticker": F.col("ticker")})
+    assert {x["name"] for x in error.value.result.failed_checks} == {"missing_count(close) = 0", "close > 0"}
+
+
+def test_tickers_like_numbers_are_found_again(spark, tmp_path, rows):
+    root = str(tmp_path)
+    load(spark, root, "b1", ("0005", 0, 10.0), ("0700", 1, 11.0), ("A B+C", 0, 3.0))
+    assert rows(published.existing_dates(spark, root, contracts.RATE_BARS), "ticker") == [("0005",), ("0700",), ("A B+C",)]
+    assert published.existing_dates(spark, root, contracts.RATE_BARS, "0700").count() == 1
+
+
+def test_whole_numbers_keep_their_digits(spark):
+    contract = Contract("s", "r", (Field("id", "id", "integer"), Field("at", "meta.ts", "timestamp_ms_to_datetime")))
+    row = flatten(one(spark, '{"id": 9007199254740993, "meta": {"ts": 1609459200001}}', contract), contract, batch_id="b").first()
+    assert row.id == 9007199254740993
+    assert contracts.CRYPTO_SERIES.payload_schema["prices"].dataType.simpleString() == "array<array<double>>"
+
+
+def test_ingestion_keeps_its_books(spark, tmp_path, rows):
+    from bourse.operators import ledger
+    from bourse.plans.ingest import Books
+
+    root, books = str(tmp_path), Books(str(tmp_path / "books"))
+    days = window_request(spark, dt.date(2026, 1, 1), dt.date(2026, 1, 1), ["C:EURUSD"])
+
+    def run(name, price, **options):
+        return ingest(bars(spark, ("C:EURUSD", 0, price)), root, contracts.RATE_BARS, name, {"ticker": F.col("ticker")},
+                      books=books, run_id=f"run-{name}", **options)
+
+    assert run("b1", 10.0, requested=days).published == 1
+    assert run("b2", 11.0, requested=days).skipped
+    assert run("b3", 12.0, requested=days, force=True).published == 1
+    with pytest.raises(c.AuditFailed):
+        run("b4", -1.0)
+    assert rows(ledger.run_state(spark.read.parquet(books.events)), "run_id", "status", "batch_id") == [
+        ("run-b1", "SUCCESS", "b1"), ("run-b2", "SKIPPED", "b2"), ("run-b3", "SUCCESS", "b3"), ("run-b4", "FAILED", "b4")]
+    rate = ledger.pass_rate(ledger.current_results(spark.read.parquet(books.results))).first()
+    assert (rate.total_runs, rate.passed, rate.failed) == (3, 2, 1)
+    assert published_rows(spark, root) == [("C:EURUSD", 1, 12.0)]
+
+
 def test_staging_an_empty_batch_is_an_error(spark, tmp_path):
     empty = flatten(bars(spark, ("A", 0, 1.0)), contracts.RATE_BARS, {"ticker": "A"}, "b").filter("false")
     with pytest.raises(published.EmptyBatch):

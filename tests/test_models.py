@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from bourse import fixed_values as fv
 from bourse.operators.ranking import rank_descending
 from bourse.plans import core, figures, market, reports, staging, swaps
-from bourse.plans.build import LAYERS, build_models
+from bourse.plans.build import LAYERS, PUBLISHED_NAMES, build_models, data_tests
 from bourse.sources import reference_data
 
 D = dt.date
@@ -259,6 +259,23 @@ def test_rank_against_a_plain_window(spark, rows):
     assert rows(rank_descending(df, "v", (), "r"), "id", "r") == rows(overall)
 
 
+def test_rank_of_nan_and_infinities(spark, rows):
+    values = [float("nan"), float("inf"), float("-inf"), 0.0, 1.0, None, -1e308, 1e308] * 3
+    df = spark.createDataFrame(list(enumerate(values)), "id int, v double")
+    plain = df.selectExpr("id", "cast(rank() over (order by v desc nulls last) as bigint) as r")
+    assert rows(rank_descending(df, "v", (), "r"), "id", "r") == rows(plain)
+
+
+def test_reports_survive_nan_and_infinity(priced):
+    days = [f"2026-01-{i + 1:02d}" for i in range(20)]
+    prices = priced([("A", "stock", d, 1.0 + i) for i, d in enumerate(days)] +
+                    [("N", "stock", d, float("nan") if i == 5 else 2.0) for i, d in enumerate(days)] +
+                    [("I", "stock", d, float("inf") if i == 19 else 3.0) for i, d in enumerate(days)])
+    assert reports.volatility_comparison(market.daily_returns(prices)).count() == 3
+    assert reports.performance_summary(prices).count() > 0
+    assert staging._valid(prices).filter("isnan(close_price)").count() == 0
+
+
 def test_rank_keeps_hot_values_whole(spark):
     df = spark.range(3000).selectExpr("id", "if(id % 3 = 0, 7.0D, cast(id as double)) as v")
     ranked = rank_descending(df, "v", (), "r")
@@ -304,6 +321,19 @@ def test_correlation_against_brute_force(spark, block_size):
         assert got[pair][1] == n and got[pair][0] == pytest.approx(value, abs=1e-6)
 
 
+def test_correlation_needs_one_row_a_day_and_little_memory_for_far_days(spark):
+    from bourse.operators.pairwise import correlation_matrix
+
+    days = [D(2026, 1, 1) + dt.timedelta(days=i) for i in range(40)]
+    data = [(f"s{k}", d, float((k + 2) * i % 7)) for k in range(34) for i, d in enumerate(days)] + [("s0", D(9999, 12, 31), 1.0)]
+    df = spark.createDataFrame(data, "k string, d date, v double")
+    assert correlation_matrix(df, "k", "d", "v").filter("a = 's0' and b = 's1'").first().observation_count == 40
+    chunks = df.selectExpr("floor(datediff(d, date'1970-01-01') / 512) as c").distinct().count()
+    assert chunks > 1  # as many groups, since 34 series are one block
+    with pytest.raises(Exception, match="one row per series and day"):
+        correlation_matrix(df.union(df.limit(1)), "k", "d", "v").collect()
+
+
 def test_correlation_is_symmetric_and_drops_constants(priced):
     rng = random.Random(5)
     days = [str(D(2026, 1, 1) + dt.timedelta(days=i)) for i in range(30)]
@@ -407,9 +437,13 @@ def test_build_writes_and_tests_every_model(spark, priced, market_year, holidays
                          prices.filter("asset_type = 'fiat'").limit(0), holidays, str(tmp_path))
     assert set(build.models) == set(LAYERS)
     for name, layer in LAYERS.items():
-        assert (tmp_path / layer / f"{name}.parquet").is_dir()
+        assert (tmp_path / layer / f"{PUBLISHED_NAMES[name]}.parquet").is_dir()
         assert build.models[name].count() > 0 or name == "stg_rates"
-    assert {k: v for k, v in build.violations.items() if v} == {"no_critical_gaps": 100}
+    gaps = build.models["data_gaps"]
+    failing = gaps.filter("asset_type in ('crypto', 'forex') or (asset_type in ('stock', 'index') and is_trading_day = 1)").count()
+    assert failing > 100 and market.critical_gaps(gaps).count() == 100
+    assert {k: v for k, v in build.violations.items() if v} == {"no_critical_gaps": failing}
+    assert set(build.violations) == set(data_tests(build.models))
     assert not build.ok
     assert build.models["investment_comparison"].count() == 3
     assert build.models["daily_prices_locf"].filter("price_source = 'IMPUTED'").count() > 0
@@ -424,7 +458,7 @@ def test_bucketed_prices_need_no_further_shuffle(spark, priced, market_year, hol
     prices = priced(market_year)
     prices = prices.filter("asset_id <> 'USD'")  # cash is added by the build
     none = prices.limit(0)
-    build = build_models(prices, none, none, holidays, str(tmp_path), run_tests=False, buckets=4, names={"dim_dates": "calendar"},
+    build = build_models(prices, none, none, holidays, str(tmp_path), run_tests=False, buckets=4,
                          cash_ingested_at=F.lit("t"))
     stored, returns = build.models["unified_prices"], build.models["daily_returns"]
     assert exchanges(market.daily_returns(stored)) == 0
@@ -433,4 +467,3 @@ def test_bucketed_prices_need_no_further_shuffle(spark, priced, market_year, hol
     assert exchanges(figures.annualised_volatility(returns)) == 0
     direct = market.daily_returns(core.unified_prices(prices, cash_ingested_at=F.lit("t")))
     assert rows(returns) == rows(direct)
-    assert (tmp_path / "marts" / "calendar.parquet").is_dir() and not (tmp_path / "marts" / "dim_dates.parquet").exists()

@@ -33,10 +33,36 @@ def test_scans_read_only_what_is_used(spark):
     plan = plan_of(spark, "quality_pass_rate")
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>" in plan
     taken = plan_of(spark, "relationship_violations")
-    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in taken
-    assert "Not(EqualTo(o_orderstatus,F))" in taken
+    assert "ReadSchema: struct<event_id:bigint,user_id:bigint>" in taken and "ReadSchema: struct<c_custkey:bigint>" in taken
 
 
 def test_top_k_reports_do_not_sort_everything(spark):
     assert "TakeOrderedAndProject" in plan_of(spark, "recent_failures")
     assert "TakeOrderedAndProject" in plan_of(spark, "critical_gaps")
+
+
+def test_building_reports_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    from bourse.plans import reports
+    from registered import inputs
+
+    prices = inputs.prices(spark, SF_DIR)
+    spark.sparkContext.setJobGroup("plan-building", "")
+    reports.performance_summary(prices), reports.investment_comparison(prices)
+    assert not tracker.getJobIdsForGroup("plan-building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_run_state_is_one_aggregation(spark):
+    plan = plan_of(spark, "run_state")
+    assert "Join" not in plan
+
+
+def test_correlation_spreads_over_groups(spark):
+    from pyspark.sql import functions as F
+
+    from registered import inputs
+
+    days = inputs.prices(spark, SF_DIR).select(F.floor(F.datediff("data_date", F.lit("1970-01-01").cast("date")) / 512)).distinct()
+    assert days.count() > 1
+    assert "FlatMapGroupsInPandas [bi" in plan_of(spark, "return_correlation")

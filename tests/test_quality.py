@@ -133,3 +133,12 @@ def test_run_and_step_state(spark, rows):
     assert rows(ledger.run_state(events), "run_id", "status", "batch_id", F.col("end_time").isNull()) == [
         ("r1", "FAILED", "b", False), ("r2", "RUNNING", "b2", True)]
     assert rows(ledger.step_state(events), "step_name", "status") == [("extract", "SUCCESS"), ("load", "RUNNING")]
+
+
+def test_trace_keeps_facts_single(spark, rows):
+    facts = spark.createDataFrame([("f1", "b1"), ("f2", "b2"), ("f3", "b9")], "id string, __batch_id string")
+    runs = spark.createDataFrame([("b1", "r1", "FAILED", 1), ("b1", "r2", "SUCCESS", 2), ("b2", "r3", "SUCCESS", 1)],
+                                 "batch_id string, run_id string, status string, start_time int")
+    files = spark.createDataFrame([("b1", "2026-01-01", "x"), ("b1", "2026-01-02", "y")], "batch_id string, ingestion_date string, landing_file string")
+    assert rows(ledger.trace(facts, runs, files), "id", "run_id", "landing_file") == [
+        ("f1", "r2", "y"), ("f2", "r3", None), ("f3", None, None)]
