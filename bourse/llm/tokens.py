@@ -1,7 +1,7 @@
 """Byte-level encoding of many texts with the tokenizers library, each distinct word once.
 
-The library's pre-tokenizer never joins a character with a single space behind it, and never a single line feed with what
-is beside it. Texts are cut there, so a segment is mostly a word with its space, and its ids don't depend on its
+The library's pre-tokenizer never joins a character with a single space behind it, never a single line feed with what is
+beside it, and never a letter or digit with a sign behind it, but for the apostrophe. Texts are cut there, so a segment is mostly a word with its space, and its ids don't depend on its
 neighbours. Distinct segments of a chunk, unless met before by the same worker, are joined by line feeds and encoded in
 one call; the line feeds' own id separates the results. Segments with other white space are encoded one by one, and
 texts with white space beyond ASCII whole. Tests compare the ids with those of whole texts.
@@ -17,7 +17,7 @@ import numpy as np
 from bourse.llm.text import CHUNK_BYTES, SPACE, Batch, U
 
 # Segments a worker remembers; then it forgets all and goes on.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 21
 # Words a call of the library takes: it holds many times a text's size while it works.
 CALL_WORDS = 4096
 
@@ -168,8 +168,18 @@ def _room(values: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+_SIGNS = np.zeros(256, bool)
+_SIGNS[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")] = True
+_PLAIN = np.zeros(256, bool)
+_PLAIN[list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = True
+# Second bytes of the Latin letters U+00C0 to U+00FF, without the two signs among them.
+_LATIN = np.zeros(256, bool)
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
+
+
 def segments(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and texts of the segments: cut before single spaces, and around single line feeds."""
+    """Starts, ends and texts of the segments: cut before single spaces and signs, and around single line feeds."""
     data, space = batch.data, SPACE[batch.data]
     alone = np.zeros(len(data) + 1, bool)
     alone[1 : len(data) - 1] = space[1:-1] & ~space[:-2] & ~space[2:]
@@ -178,6 +188,9 @@ def segments(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     cut[: len(data)] &= (data == 32) | (data == 10)
     feed = np.flatnonzero(cut[: len(data)] & (data == 10))
     cut[feed + 1] = True
+    word = _PLAIN[data]
+    word[1:] |= (data[:-1] == 0xC3) & _LATIN[data[1:]]
+    cut[1 : len(data)] |= _SIGNS[data[1:]] & word[:-1]
     cut[batch.bounds] = True
     starts = np.flatnonzero(cut)
     starts = starts[starts < len(data)]

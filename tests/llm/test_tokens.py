@@ -21,7 +21,7 @@ def plain():
 
 CASES = ["", " ", "\n", "a", " a", "a ", "a\n", "\na", "a\nb", "a \nb", "a\n b", "a\n\nb", "a  b", "a   b", " \n ", "\t", "a\tb c", "a\r\nb",
          "it's we'll 's 't", "x 's", "12 34\n56", "!? ...\n---", "é à\nü", "a b c", "a b", "　a b", "a   b", "<|endoftext|> x",
-         "漢字 仮名\n交じり", "🙂 🙂\n🙂", "a\x1cb c\x85d", "a\x0bb \x0c c", "end. \n", "  lead", "trail  ", "a\n \nb"]
+         "漢字 仮名\n交じり", "🙂 🙂\n🙂", "a\x1cb c\x85d", "a\x0bb \x0c c", "end. \n", "  lead", "trail  ", "a\n \nb", "end.,x é. ×, it's. 3.5% a-b a'b c'.d <x>|y", "é'l ç!? À.b ÷.c"]
 
 
 def test_cases(plain):
@@ -35,7 +35,7 @@ def test_random_texts(plain, monkeypatch):
     monkeypatch.setattr(tokens, "CHUNK_BYTES", 300)
     monkeypatch.setattr(tokens, "REMEMBERED", 60)
     rng = random.Random(1)
-    parts = [" ", " ", " ", "\n", "\t", "the", "Haus", "é", "'s", "12", "...", " ", "漢", "a", "\r\n", "un-", "🙂", "_", "#"]
+    parts = [" ", " ", " ", "\n", "\t", "the", "Haus", "é", "'s", "12", "...", " ", "漢", "a", "\r\n", "un-", "🙂", "_", "#", ",", ".", "!!", "ç", "×", "÷", "'", "$", "Z"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(400)]
     assert [r.tolist() for r in tokens.Encoder(PATH).encode(texts)] == plain(texts)
 
