@@ -127,6 +127,8 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _span_rows(docs: np.ndarray, doc: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, bytes]]:
     """(rank, node, spans) of each document, spans merged."""
+    if not len(doc):
+        return []
     order = np.argsort(doc, kind="stable")
     doc, starts, ends = doc[order], starts[order], ends[order]
     cuts = np.flatnonzero(np.diff(doc, prepend=-1))
