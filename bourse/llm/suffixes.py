@@ -14,6 +14,10 @@ Equal runs are met before they travel: within a task, only the earliest document
 are marked at once, so a passage in a third of all documents sends one row a task. Exact copies never take part: all
 but the first are removed whole.
 
+A phrase shorter than a match makes a different run in every document that holds it, and all with one gram. Grams that
+`HOT_DOCUMENTS` of the sampled documents hold are dealt finer: each window goes by a hash of its 50 bytes, so only equal
+windows meet, again the earliest document's of each task. Equal windows elect one gram, so none is in both ways.
+
 Defined cases: null and empty text has no bytes, and texts under 50 bytes lose none; a null doc_id is before all others;
 rows with equal ids don't remove each other's bytes; repeated rows are judged alike; an empty table gives an empty
 result; other columns are not read.
@@ -22,7 +26,7 @@ result; other columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +42,11 @@ from bourse.llm.text import Batch, U, chunks, encoded, mix
 MATCH, GRAM = 50, 24
 WINDOW = MATCH - GRAM + 1
 SAMPLE_DOCUMENTS = 2000
+HOT_DOCUMENTS = 8
 FLUSH_RUNS = 1 << 18
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 _RUN = np.dtype([("doc", "<u4"), ("start", "<u4"), ("anchor", "u1"), ("length", "u1")])
+_WINDOW = np.dtype([("key", "<u8"), ("doc", "<u4"), ("start", "<u4")])
 _DOC = np.dtype([("rank", "<i8"), ("node", "<i8")])
 
 
@@ -139,21 +145,49 @@ def _span_rows(docs: np.ndarray, doc: np.ndarray, starts: np.ndarray, ends: np.n
     return out
 
 
+def _by_rank(keys: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by key, then rank, and which of the ordered rows come after the first rank of their key."""
+    order = np.lexsort((rank, keys))
+    new = np.ones(len(order), bool)
+    new[1:] = keys[order[1:]] != keys[order[:-1]]
+    group = np.cumsum(new) - 1
+    return order, rank[order] > rank[order[np.flatnonzero(new)]][group]
+
+
+def _packed(kind: bytes, docs: np.ndarray, part: np.ndarray, text: bytes = b"") -> bytes:
+    """A blob of runs or windows with the documents they are from."""
+    used, own = np.unique(part["doc"], return_inverse=True)
+    part = part.copy()
+    part["doc"] = own
+    blob = b"".join([len(used).to_bytes(4, "little"), len(part).to_bytes(4, "little"), docs[used].tobytes(), part.tobytes(), text])
+    return kind + len(blob).to_bytes(8, "little") + pa.compress(blob, "zstd", asbytes=True)
+
+
 class _Scatter:
-    """Runs of a task on their way to the buckets."""
+    """Runs of a task on their way to the buckets, and the windows of runs with hot grams."""
 
-    def __init__(self, splitters: np.ndarray):
-        self.splitters = splitters
+    def __init__(self, splitters: np.ndarray, hot: np.ndarray):
+        self.splitters, self.hot = splitters, hot
         self.clear()
 
     def clear(self) -> None:
         self.docs: list[tuple[int, int]] = []
-        self.runs, self.text, self.grams, self.keys = [], [], [], []
+        self.runs, self.text, self.grams, self.keys, self.windows = [], [], [], [], []
         self.count = 0
 
-    def put(self, rank: list[int], node: np.ndarray, batch: Batch, owner, place, first, last) -> None:
+    def put(self, rank: list[int], node: np.ndarray, batch: Batch, owner, grams, place, first, last) -> None:
         offset = len(self.docs)
         self.docs += zip(rank, node.view(np.int64).tolist(), strict=True)
+        hot = np.isin(grams, self.hot)
+        if hot.any():
+            size = last[hot] - first[hot] + 1
+            of = np.repeat(owner[hot], size)
+            at = np.arange(size.sum()) + np.repeat(first[hot] - (np.cumsum(size) - size), size)
+            window = np.zeros(len(at), _WINDOW)
+            window["key"], window["doc"], window["start"] = batch.span_hash(at, at + MATCH), of + offset, at - batch.bounds[of]
+            self.windows.append(window)
+            self.count += len(window) // 4  # a run takes about the room of four windows
+            owner, place, first, last = owner[~hot], place[~hot], first[~hot], last[~hot]
         run = np.zeros(len(owner), _RUN)
         run["doc"], run["start"] = owner + offset, first - batch.bounds[owner]
         run["anchor"], run["length"] = place - first, last - first + MATCH
@@ -166,55 +200,62 @@ class _Scatter:
         self.count += len(owner)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
-        if not self.count:
-            return
         docs = np.array(self.docs, _DOC)
-        run, text, grams, keys = (np.concatenate(x) for x in (self.runs, self.text, self.grams, self.keys))
-        # Of equal runs only those of the earliest document travel.
-        rank = docs["rank"][run["doc"]]
-        order = np.lexsort((rank, keys))
-        new = np.ones(len(order), bool)
-        new[1:] = keys[order[1:]] != keys[order[:-1]]
-        group = np.cumsum(new) - 1
-        late = rank[order] > rank[order[np.flatnonzero(new)]][group]
-        gone, order = order[late], order[~late]
-        if len(gone):
-            start = run["start"][gone].astype(np.int64)
-            rows = _span_rows(docs, run["doc"][gone].astype(np.int64), start, start + run["length"][gone])
+        if self.windows:
+            window = np.concatenate(self.windows)
+            order, late = _by_rank(window["key"], docs["rank"][window["doc"]])
+            gone = window[order[late]]
+            yield from self._known(docs, gone["doc"], gone["start"].astype(np.int64), np.int64(MATCH))
+            window = window[order[~late]]
+            parts = len(self.splitters) + 1
+            bucket = (window["key"] % U(parts)).astype(np.int64)
+            by = np.argsort(bucket, kind="stable")
+            yield from self._sent(bucket[by] + parts, lambda lo, hi: _packed(b"w", docs, window[by[lo:hi]]))
+        if self.runs and sum(map(len, self.runs)):
+            run, text, grams, keys = (np.concatenate(x) for x in (self.runs, self.text, self.grams, self.keys))
+            # Of equal runs only those of the earliest document travel.
+            order, late = _by_rank(keys, docs["rank"][run["doc"]])
+            gone = run[order[late]]
+            yield from self._known(docs, gone["doc"], gone["start"].astype(np.int64), gone["length"])
+            order = order[~late]
+            bucket = np.searchsorted(self.splitters, grams[order], "right")
+            by = np.argsort(bucket, kind="stable")
+            order = order[by]
+
+            def pack(lo: int, hi: int) -> bytes:
+                part, rows = run[order[lo:hi]], text[order[lo:hi]]
+                return _packed(b"r", docs, part, rows[np.arange(rows.shape[1]) < part["length"][:, None]].tobytes())
+
+            yield from self._sent(bucket[by], pack)
+        self.clear()
+
+    def _known(self, docs: np.ndarray, doc: np.ndarray, start: np.ndarray, length: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rows = _span_rows(docs, doc.astype(np.int64), start, start + length)
+        if rows:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.array([r[1] for r in rows]) % (len(self.splitters) + 1), pa.int32()), pa.array([None] * len(rows), pa.binary()),
                  *map(pa.array, zip(*rows, strict=True))],
                 ["bucket", "blob", "rank", "node", "spans"])
-        bucket = np.searchsorted(self.splitters, grams[order], "right").astype(np.int32)
-        by = np.argsort(bucket, kind="stable")
-        order, bucket = order[by], bucket[by]
+
+    def _sent(self, bucket: np.ndarray, pack: Callable[[int, int], bytes]) -> Iterator[pa.RecordBatch]:
         cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
         for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)], strict=True):
-            some = order[lo:hi]
-            used, own = np.unique(run["doc"][some], return_inverse=True)
-            part = run[some].copy()
-            part["doc"] = own
-            rows = text[some]
-            flat = rows[np.arange(rows.shape[1]) < part["length"][:, None]]
-            blob = b"".join([len(used).to_bytes(4, "little"), len(part).to_bytes(4, "little"), docs[used].tobytes(), part.tobytes(), flat.tobytes()])
-            packed = len(blob).to_bytes(8, "little") + pa.compress(blob, "zstd", asbytes=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(bucket[lo])], pa.int32()), pa.array([packed], pa.binary()), pa.array([None], pa.int64()),
+                [pa.array([int(bucket[lo])], pa.int32()), pa.array([pack(lo, hi)], pa.binary()), pa.array([None], pa.int64()),
                  pa.array([None], pa.int64()), pa.array([None], pa.binary())], ["bucket", "blob", "rank", "node", "spans"])
-        self.clear()
 
 
-def _open(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _open(blobs: list[bytes], kind: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     docs, runs, text, offset = [], [], [], 0
     for packed in blobs:
-        blob = pa.decompress(memoryview(packed)[8:], int.from_bytes(packed[:8], "little"), "zstd", asbytes=True)
+        blob = pa.decompress(memoryview(packed)[9:], int.from_bytes(packed[1:9], "little"), "zstd", asbytes=True)
         n, m = int.from_bytes(blob[:4], "little"), int.from_bytes(blob[4:8], "little")
         docs.append(np.frombuffer(blob, _DOC, n, 8))
-        run = np.frombuffer(blob, _RUN, m, 8 + n * _DOC.itemsize).copy()
+        run = np.frombuffer(blob, kind, m, 8 + n * _DOC.itemsize).copy()
         run["doc"] += offset
         offset += n
         runs.append(run)
-        text.append(np.frombuffer(blob, np.uint8, -1, 8 + n * _DOC.itemsize + m * _RUN.itemsize))
+        text.append(np.frombuffer(blob, np.uint8, -1, 8 + n * _DOC.itemsize + m * kind.itemsize))
     return np.concatenate(docs), np.concatenate(runs), np.concatenate(text)
 
 
@@ -224,7 +265,14 @@ def _bucket(table: pa.Table) -> pa.Table:
     table = table.filter(pc.is_valid(table.column("blob")))
     if not len(table):
         return known
-    docs, run, text = _open(table.column("blob").to_pylist())
+    blobs = table.column("blob").to_pylist()
+    if blobs[0][:1] == b"w":
+        docs, window, _ = _open(blobs, _WINDOW)
+        order, late = _by_rank(window["key"], docs["rank"][window["doc"]])
+        gone = window[order[late]]
+        start = gone["start"].astype(np.int64)
+        return _with_found(known, _span_rows(docs, gone["doc"].astype(np.int64), start, start + MATCH))
+    docs, run, text = _open(blobs, _RUN)
     batch = Batch([text.tobytes()])
     ends = np.cumsum(run["length"].astype(np.int64)) + 1
     starts = ends - run["length"]
@@ -270,7 +318,10 @@ def _bucket(table: pa.Table) -> pa.Table:
             out_to.append(np.full(len(own), offset[l] + MATCH))
     chosen = np.concatenate(out_run)
     begin = run["start"][chosen].astype(np.int64)
-    rows = _span_rows(docs, run["doc"][chosen].astype(np.int64), begin + np.concatenate(out_from), begin + np.concatenate(out_to))
+    return _with_found(known, _span_rows(docs, run["doc"][chosen].astype(np.int64), begin + np.concatenate(out_from), begin + np.concatenate(out_to)))
+
+
+def _with_found(known: pa.Table, rows: list[tuple[int, int, bytes]]) -> pa.Table:
     ranks, nodes, spans = zip(*rows, strict=True) if rows else ((), (), ())
     found = pa.table({"rank": pa.array(ranks, pa.int64()), "node": pa.array(nodes, pa.int64()), "spans": pa.array(spans, pa.binary())})
     return pa.concat_tables([known, found.cast(known.schema)])
@@ -289,8 +340,8 @@ def _slices(gram: np.ndarray, windows: np.ndarray, most: int = 1 << 19) -> Itera
             begin = end
 
 
-def _splitters(docs: DataFrame, count: int) -> np.ndarray:
-    """Leading bytes that cut the grams of a bounded sample of documents into equal parts."""
+def _splitters(some: DataFrame, count: int) -> np.ndarray:
+    """Leading bytes that cut the grams of the sampled documents into equal parts."""
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches):
@@ -300,20 +351,33 @@ def _splitters(docs: DataFrame, count: int) -> np.ndarray:
             grams = _gather(batch.data, place, GRAM)
             yield pa.RecordBatch.from_arrays([pa.array([g.tobytes() for g in grams], pa.binary())], ["gram"])
 
-    some = docs.where("text is not null").orderBy(F.xxhash64("rank")).limit(SAMPLE_DOCUMENTS)
-    grams = np.sort(np.array(some.select("text").mapInArrow(sample, "gram binary").toArrow().column("gram").to_pylist() or [b""], f"S{GRAM}"))
+    grams = np.sort(np.array(some.mapInArrow(sample, "gram binary").toArrow().column("gram").to_pylist() or [b""], f"S{GRAM}"))
     return np.unique(grams[np.arange(1, count) * len(grams) // count]) if count > 1 else grams[:0]
 
 
+def _hot_grams(some: DataFrame) -> np.ndarray:
+    """Hashes of the grams that many of the sampled documents hold; copies count once."""
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches):
+            _, _, _, grams = gram_sets(encoded(part.column("text")))
+            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64))], ["gram"])
+
+    counted = some.dropDuplicates(["text"]).mapInArrow(held, "gram long").groupBy("gram").count()
+    return np.sort(counted.where(F.col("count") >= HOT_DOCUMENTS).select("gram").toArrow().column("gram").to_numpy().view(np.uint64))
+
+
 def spans_to_remove(docs: DataFrame, first: DataFrame) -> DataFrame:
     """(rank, node, spans) of the first document of each text. ``docs`` has rank and text, ``first`` node and first_rank."""
     parts = spread(docs.sparkSession)
     shared = shared_elements(docs, gram_sets)
     asked = shared.join(first, "node").select(F.col("first_rank").alias("r"), "node", "elements")
-    splitters = _splitters(docs, 2 * parts)
+    some = docs.where("text is not null").orderBy(F.xxhash64("rank")).limit(SAMPLE_DOCUMENTS).select("text")
+    some = stored(some, "suffix-sample")
+    splitters, hot = _splitters(some, 2 * parts), _hot_grams(some)
 
     def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = _Scatter(splitters)
+        out = _Scatter(splitters, hot)
         for part in chunks(batches):
             batch = Batch(encoded(part.column("text")))
             node = nodes_of(batch)
@@ -324,7 +388,7 @@ def spans_to_remove(docs: DataFrame, first: DataFrame) -> DataFrame:
             wanted_of = np.repeat(np.arange(len(blobs)), [len(b) // 8 for b in blobs])
             salt = mix(np.arange(len(blobs), dtype=np.uint64) + U(1))
             hit = mine[owner] & np.isin(mix(element_ids(grams, parts) ^ salt[owner]), mix(wanted ^ salt[wanted_of]))
-            out.put(part.column("rank").to_pylist(), node, batch, owner[hit], place[hit], start[hit], last[hit])
+            out.put(part.column("rank").to_pylist(), node, batch, owner[hit], grams[hit], place[hit], start[hit], last[hit])
             if out.count >= FLUSH_RUNS:
                 yield from out.flush()
         yield from out.flush()

@@ -83,3 +83,28 @@ def test_no_match_crosses_a_bucket_boundary():
 
 def test_empty_table(documents, rows):
     assert rows(suffixes.deduplicated(documents([]))) == []
+
+
+def test_a_hot_gram_is_dealt_by_whole_windows(documents, rows, monkeypatch):
+    """A phrase shorter than a match with other text around it in every document: no bucket gets all its runs."""
+    rng = random.Random(6)
+    other = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    phrase, passage = "(c) all rights reserved by the owner of it", other(30)
+    table = [(k, other(60) + phrase + other(60), "s") for k in range(300)]
+    table += [(300 + k, other(20) + passage + phrase + other(3) + "x" * (k % 2) + other(30), "s") for k in range(30)]
+    loads = []
+    pack = suffixes._packed
+    docs = documents(table).selectExpr("doc_id rank", "text")
+    batch = Batch([t.encode() for _, t, _ in table])
+    owner, grams, place, first, last = suffixes.runs_of(batch)
+    hot = suffixes._hot_grams(docs.select("text"))
+    assert len(hot) and np.isin(hot, grams).all()
+    out = suffixes._Scatter(np.sort(np.array([b"b", b"f", b"m"], f"S{suffixes.GRAM}")), hot)
+    monkeypatch.setattr(suffixes, "_packed", lambda kind, d, part, text=b"": loads.append((kind, len(part))) or pack(kind, d, part, text))
+    some = np.isin(grams, hot)
+    out.put([i for i, _, _ in table], suffixes.nodes_of(batch), batch, owner[some], grams[some], place[some], first[some], last[some])
+    list(out.flush())
+    assert [kind for kind, _ in loads] == [b"w"] * 4 and max(n for _, n in loads) < 0.3 * sum(n for _, n in loads)
+    monkeypatch.undo()
+    found = rows(suffixes.deduplicated(documents(table)))
+    assert found == brute(table) and sum(r[2] for r in found) > 1000
