@@ -2,7 +2,9 @@
 
 A text is the pieces of one path through the lattice of all vocabulary pieces that occur in it. Forward Viterbi gives
 the best score up to every position. These scores are exact heuristics for a search from the end backwards: the A* queue
-pops complete paths in order of score and expands nothing that is not on one of them.
+pops complete paths in order of score and expands nothing that is not on one of them. Equal totals go on where least is
+left, and a position is popped at most N times, since further paths through it are no better than those N: a long run of
+one character, with its very many equal segmentations, keeps the queue within N times the pieces of the lattice.
 
 No piece holds a space mark behind another character, and none holds a line feed, so every path passes the cuts before
 spaces and around line feeds: the lattice is a chain of segments, mostly words. Distinct segments of a chunk are solved
@@ -121,38 +123,47 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def edges_of(segment: bytes, vocab: Vocabulary) -> list[list[tuple[int, int, float]]]:
-    """For every end position the pieces (start, id, score) that end there."""
-    n = len(segment)
-    ends: list[list[tuple[int, int, float]]] = [[] for _ in range(n + 1)]
-    for start in range(n):
-        if segment[start] & 0xC0 == 0x80:
-            continue
-        width = next((w for w in range(1, 4) if start + w >= n or segment[start + w] & 0xC0 != 0x80), 4)
-        for end in range(start + 1, min(n, start + vocab.longest) + 1):
+def ending_at(segment: bytes, end: int, vocab: Vocabulary) -> list[tuple[int, int, float]]:
+    """The pieces (start, id, score) that end at a position."""
+    out = []
+    for start in range(max(0, end - vocab.longest), end):
+        if segment[start] & 0xC0 != 0x80:
             i = vocab.ids.get(segment[start:end])
             if i is not None:
-                ends[end].append((start, i, float(vocab.score[i])))
-        if segment[start : start + width] not in vocab.ids:
-            for at in range(start, start + width):
-                ends[at + 1].append((at, int(vocab.byte_ids[segment[at]]), vocab.fallback))
-    return ends
+                out.append((start, i, float(vocab.score[i])))
+    lead = end - 1  # the byte of a character that is no piece
+    while lead > 0 and segment[lead] & 0xC0 == 0x80:
+        lead -= 1
+    width = next((w for w in range(1, 4) if lead + w >= len(segment) or segment[lead + w] & 0xC0 != 0x80), 4)
+    if end <= lead + width and segment[lead : lead + width] not in vocab.ids:
+        out.append((end - 1, int(vocab.byte_ids[segment[end - 1]]), vocab.fallback))
+    return out
+
+
+def edges_of(segment: bytes, vocab: Vocabulary) -> list[list[tuple[int, int, float]]]:
+    """For every end position the pieces (start, id, score) that end there."""
+    return [ending_at(segment, end, vocab) for end in range(len(segment) + 1)]
 
 
 def n_best(segment: bytes, n: int, vocab: Vocabulary) -> list[tuple[float, list[int]]]:
     """The n best paths (score, piece ids) of a segment, best first."""
-    ends = edges_of(segment, vocab)
     size = len(segment)
+    # Of a long segment the pieces are looked up where they are needed instead of held.
+    ends = edges_of(segment, vocab).__getitem__ if size <= _WIDTHS[-1] else lambda end: ending_at(segment, end, vocab)
     forward = [0.0] + [-math.inf] * size
     for end in range(1, size + 1):
-        for start, _, score in ends[end]:
+        for start, _, score in ends(end):
             forward[end] = max(forward[end], forward[start] + score)
     out: list[tuple[float, list[int]]] = []
-    # An entry: what the whole path scores at best, a running number, position, score behind it, pieces as a chain.
-    queue: list[tuple] = [(-forward[size], 0, size, 0.0, None)]
+    # An entry: what the whole path scores at best, position, a running number, score behind it, pieces as a chain.
+    queue: list[tuple] = [(-forward[size], size, 0, 0.0, None)]
     made = 1
+    popped = [0] * (size + 1)
     while queue and len(out) < n:
-        _, _, at, behind, chain = heapq.heappop(queue)
+        _, at, _, behind, chain = heapq.heappop(queue)
+        if popped[at] == n:
+            continue
+        popped[at] += 1
         if at == 0:
             path = []
             while chain:
@@ -160,9 +171,10 @@ def n_best(segment: bytes, n: int, vocab: Vocabulary) -> list[tuple[float, list[
                 chain = chain[1]
             out.append((behind, path))
             continue
-        for start, i, score in ends[at]:
-            heapq.heappush(queue, (-(forward[start] + score + behind), made, start, behind + score, (i, chain)))
-            made += 1
+        for start, i, score in ends(at):
+            if popped[start] < n:
+                heapq.heappush(queue, (-(forward[start] + score + behind), start, made, behind + score, (i, chain)))
+                made += 1
     return out
 
 

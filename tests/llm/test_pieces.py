@@ -90,3 +90,24 @@ def test_documents(documents, edge_rows, vocab):
 
 def test_empty_table(documents, rows):
     assert rows(pieces.encoded_documents(documents([]), PATH)) == []
+
+
+@pytest.mark.parametrize("char", ["x", "=", "-", "漢"])
+def test_a_long_run_of_one_character_is_searched_in_bounds(vocab, char, monkeypatch):
+    raw = (char * 3001).encode()
+    pushed = []
+    push = pieces.heapq.heappush
+
+    def counted(queue, entry):
+        pushed.append(len(queue))
+        assert len(pushed) <= bound, "the queue grows beyond n times the pieces"
+        push(queue, entry)
+
+    bound = 3 * sum(map(len, pieces.edges_of(raw, vocab)))
+    monkeypatch.setattr(pieces.heapq, "heappush", counted)
+    found = pieces.n_best(raw, 3, vocab)
+    best = [[0.0]]  # the three best scores up to every position
+    for ends in pieces.edges_of(raw, vocab)[1:]:
+        best.append(sorted((s + score for start, _, score in ends for s in best[start]), reverse=True)[:3])
+    assert np.allclose([s for s, _ in found], best[-1]) and len({tuple(p) for _, p in found}) == len(found)
+    assert all(b"".join(vocab.text[i] for i in p) == raw for _, p in found)
