@@ -5,6 +5,9 @@ beside it, and never a letter or digit with a sign behind it, but for the apostr
 neighbours. Distinct segments of a chunk, unless met before by the same worker, are joined by line feeds and encoded in
 one call; the line feeds' own id separates the results. Segments with other white space are encoded one by one, and
 texts with white space beyond ASCII whole. Tests compare the ids with those of whole texts.
+
+An added token of the vocabulary that stands in a text, such as ``<|endoftext|>``, has its own id, as with the library's
+default; texts that hold one are encoded whole. ``Encoder(path)`` alone reads such a token as plain text.
 """
 
 from __future__ import annotations
@@ -25,12 +28,17 @@ CALL_WORDS = 4096
 class Encoder:
     """A vocabulary and the segments met so far."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # a document's text is text
+        self.tokenizer.encode_special_tokens = added_as_text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        # The flag makes text of special tokens only; the library finds the others in any case.
+        self.added = [t.content.encode() for t in added if t.content and not (added_as_text and t.special)]
+        # Normalised tokens are found in the text as the normaliser leaves it.
+        self.normalised = any(t.normalized for t in added) and self.tokenizer.normalizer is not None
         self.largest = self.tokenizer.get_vocab_size() - 1
         feed = self._whole(["\n"])[0]
         pair = self._whole(["ab\n cd\nef"])[0]
@@ -50,7 +58,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of every text."""
-        if self.feed is None:
+        if self.feed is None or self.normalised:
             return self._whole(texts)
         out: list[np.ndarray] = []
         held: list[bytes] = []
@@ -66,7 +74,11 @@ class Encoder:
 
     def _chunk(self, texts: list[bytes]) -> list[np.ndarray]:
         batch = Batch(texts)
+        raw = batch.data.tobytes() if self.added else b""
         wide = _wide_space(batch)
+        for token in self.added:
+            if token in raw:
+                wide |= np.fromiter((token in t for t in texts), bool, len(texts))
         starts, ends, owner = segments(batch)
         cut = ~wide[owner]
         starts, ends, owner = starts[cut], ends[cut], owner[cut]
@@ -215,4 +227,4 @@ def _wide_space(batch: Batch) -> np.ndarray:
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return Encoder(path, added_as_text=False)

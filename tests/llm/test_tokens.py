@@ -54,3 +54,13 @@ def test_index():
     index.add(keys[200:])
     assert (index.find(keys) == np.arange(len(keys))).all()
     assert (index.find(np.arange(1000, 1100, dtype=np.uint64)) == -1).all()
+
+
+def test_added_tokens_have_their_own_id_as_in_the_library():
+    library = Tokenizer.from_file(PATH)
+    texts = [*CASES, "<|endoftext|>", "a<|endoftext|>b c", "end <|endoftext|>\n<|endoftext|> x", "<|endoftext", "<| endoftext |>"]
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    encoder = tokens.encoder(PATH)
+    for _ in range(2):
+        assert [r.tolist() for r in encoder.encode(texts)] == expected
+    assert expected[len(CASES)] == [library.token_to_id("<|endoftext|>")]
