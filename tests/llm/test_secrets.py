@@ -74,3 +74,29 @@ def test_redaction(documents, rows):
 
 def test_empty_table(documents, rows):
     assert rows(secrets.scan(documents([]))) == []
+
+
+@pytest.mark.parametrize("text,left", [
+    ("password=Tr0ub4dor&3xyz!!kQ end", "password=[SECRET] end"), ("token: abcdefgh1!Zq#9Lw2v", "token: [SECRET]"),
+    ('secret = "hJ7kLm2pQx@9$vT" x', 'secret = "[SECRET]" x'), ("password=abcdefgh1 end", "password=[SECRET] end")])
+def test_values_that_run_on_behind_a_base_span_go_whole(documents, rows, text, left):
+    assert secrets.redact(text) == left
+    assert rows(secrets.redacted(documents([(1, text, "a")])), "text") == [(left,)]
+
+
+def test_matches_are_offered_from_every_start():
+    cost = secrets.guess_cost
+    assert cost("1920121999") <= cost("1920") + cost("121999") + 0.31  # the leftmost date is not the cheapest cut
+    assert cost("20120111999") <= cost("2") + cost("01201") + cost("11999") + 0.61
+    assert cost("xq7Kp!m2Z" * 2) <= cost("xq7Kp!m2Z") + 0.31 and cost("password1" * 3) <= cost("password1") + 0.48
+    assert cost("aabaab") <= cost("aab") + 0.31
+    assert cost("aaabcdefgh") <= cost("aa") + cost("abcdefgh") + 0.31
+
+
+def test_the_corpus_gives_the_dictionary(documents, rows):
+    prose = [(k, "mountain railway timetable", "a") for k in range(50)]
+    known = [(90, "pwd: mountainrailway", "a"), (91, "pwd: zvqkxwjqmountain", "a")]
+    assert secrets.redact(known[0][1]) == "pwd: [SECRET]"
+    assert rows(secrets.redacted(documents(prose + known)).where("doc_id >= 90"), "doc_id", "text") == [(90, "pwd: mountainrailway"), (91, "pwd: [SECRET]")]
+    often = [(k, "pwd: zvqkxwjqpfgh", "a") for k in range(50)]
+    assert {r for r, in rows(secrets.redacted(documents(often)), "text")} == {"pwd: [SECRET]"}
