@@ -3,8 +3,10 @@
 Disguised words are read as the output of a noisy channel: a letter may have been written as a look-alike digit or sign,
 with a separator behind it, or several times over. The possible letters of a disguised stretch form a lattice, and
 Viterbi decoding under a character trigram model finds the likeliest word; it takes the stretch's place in the text.
-A word that has only one reading is left as it is, so only stretches with look-alikes inside letters, with a letter three
-times in a row, or spelled out with blanks or signs between single letters are decoded.
+A word that has only one reading is left as it is, so only words that mix letters with look-alikes or separators or hold
+a letter three times in a row are decoded, and stretches of three and more single letters or look-alikes with separators
+between, whatever follows: look-alikes, spacing and repetition are one lattice. Signs at the ends of a word may be
+letters or punctuation (`PUNCTUATION`), so the lattice offers their readings and nothing.
 
 The trigram model counts the letters of all documents. The score is a logistic regression over the restored words and
 their beginnings (4 to 8 bytes): per selected feature its logarithmic count and its rate. Labels are learned from at
@@ -44,6 +46,9 @@ LOOK_ALIKES = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "{": "c", "<": "c",
 }
 SEPARATORS = ".-_*~^ "
+# Logarithmic probability that a sign at the start or end of a word is punctuation.
+PUNCTUATION = ({"(": -0.1, "{": -0.1, "<": -0.1, "+": -2.0, "@": -3.0, "!": -7.0, "|": -7.0, "$": -7.0},
+               {"(": -0.1, "{": -0.1, "<": -0.1, "+": -0.1, "|": -0.1, "!": -0.1, "@": -3.0, "$": -5.0})
 
 # Letters a-z, one class for all bytes of other letters, one for everything else.
 OTHER, EDGE, CLASSES = 26, 27, 28
@@ -96,9 +101,12 @@ def lattice(stretch: str) -> list[list[tuple[str, float]]]:
             size += 1
         at += size
         signs = LOOK_ALIKES.get(c)
+        side = 0 if at == size else 1 if at == len(joined) else None
         options = [(s, -math.log(len(signs)) - 0.5) for s in signs] if signs else [(c, 0.0)]
         copies = (size,) if size < 3 and not signs else (1, 2) if size > 1 else (1,)
         out.append([(letter * k, p - 0.7 * (k != size)) for letter, p in options for k in copies])
+        if side is not None and c in PUNCTUATION[side]:
+            out[-1].append(("", PUNCTUATION[side][c]))
     return out
 
 
@@ -141,12 +149,16 @@ class Restorer:
         letter, sign, joint = _LETTER[data], _SIGN[data], _JOINT[data]
         triple = np.zeros(len(data), bool)
         triple[2:] = letter[2:] & (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2]) & (data[2:] < 128)
-        # A sign or separator with letters on both sides, or a sign before letters at the start of a word.
+        # A separator between letters; look-alikes count wherever they stand.
         between = np.zeros(len(data), bool)
-        between[1:-1] = (sign | joint)[1:-1] & letter[2:] & (letter[:-2] | (sign[1:-1] & batch.space[:-2]))
-        sums = np.zeros(len(data) + 1, np.int32)
-        np.cumsum(triple | between, out=sums[1:])
-        odd = np.flatnonzero(sums[batch.ends] > sums[batch.starts])
+        between[1:-1] = joint[1:-1] & letter[2:] & letter[:-2]
+
+        def holds(mask: np.ndarray) -> np.ndarray:
+            sums = np.zeros(len(data) + 1, np.int32)
+            np.cumsum(mask, out=sums[1:])
+            return sums[batch.ends] > sums[batch.starts]
+
+        odd = np.flatnonzero(holds(triple | between) | (holds(letter) & holds(sign)))
         if not len(odd):
             return texts
         raw, pieces, at = data.tobytes(), [], 0
@@ -161,7 +173,7 @@ class Restorer:
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "ignore")
-        core = text.strip(".,;:?\"'()[]{}#*$%&|<>~^-_")
+        core = text.strip(".,;:?\"')[]}#*%&>~^-_")
         if not core or len(core) > 64 or not any(c.isalpha() for c in core):
             return word
         return self.read(core).encode()

@@ -90,3 +90,18 @@ def test_edge_cases(documents, edge_rows, spark, rows):
     assert len(found) == len(edge_rows) and all(0 <= r["score"] <= 1 for r in found)
     assert not any(r["held_out"] for r in found if r["doc_id"] is None)
     assert rows(toxicity.toxicity(documents([]), some)) == []
+
+
+@pytest.fixture(scope="module")
+def wide_model(spark):
+    rng = random.Random(2)
+    words = [*BAD, "fool", "pussy", "dude", "loser", "shit", "kill", "ass", "hello", "glass", "class", "pool", "food", "door", "kiss", "hill", "asshole", "stop", "tool"]
+    texts = [" ".join(rng.choice(words) for _ in range(60)) + " " + prose(rng, 20) for _ in range(300)]
+    return toxicity.letter_model(spark.createDataFrame([(t,) for t in texts], "text string"))
+
+
+@pytest.mark.parametrize("hidden,word", [
+    ("f00l", "fool"), ("l00ser", "loser"), ("pu55y", "pussy"), ("a55hole", "asshole"), ("ki11", "kill"), ("shi7", "shit"), ("a$$", "ass"),
+    ("$tupid", "stupid"), ("|diot", "idiot"), ("stop!", "stop"), ("(hello", "hello"), ("(1d10t)", "idiot")])
+def test_look_alikes_anywhere_in_a_word(wide_model, hidden, word):
+    assert toxicity.Restorer(wide_model).restore([f"you {hidden} there".encode()]) == [f"you {word} there".encode()]
