@@ -61,7 +61,9 @@ _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in LOOK_ALIKES]] = True
 _JOINT = np.zeros(256, bool)
 _JOINT[[ord(c) for c in SEPARATORS.strip()]] = True
-_SPELLED = re.compile(rb"(?<![^\s])(?:[^\W\d_](?:[ .\-_*~]{1,2})){3,}[^\W\d_](?![^\s])")
+_ONE = rb"(?:[a-z0-9@$!|+({<]|[\xc3-\xdf][\x80-\xbf])"
+_SPELLED = re.compile(rb"(?<![a-z0-9@$!|+\x80-\xff])(?:" + _ONE + rb"[ .\-_*~^]+){2,}" + _ONE + rb"(?![a-z0-9\x80-\xff])")
+_KEPT = 64  # longer readings are not remembered
 
 
 def trigram_counts(data: np.ndarray) -> np.ndarray:
@@ -174,12 +176,16 @@ class Restorer:
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "ignore")
         core = text.strip(".,;:?\"')[]}#*%&>~^-_")
-        if not core or len(core) > 64 or not any(c.isalpha() for c in core):
+        if not any(c.isalpha() for c in core):
             return word
-        return self.read(core).encode()
+        return self._read(core)
 
     def _spelled(self, match: re.Match) -> bytes:
-        return self.read(match[0].decode("utf-8", "ignore")).encode()
+        text = match[0].decode("utf-8", "ignore")
+        return self._read(text) if any(c.isalpha() for c in text) else match[0]
+
+    def _read(self, stretch: str) -> bytes:
+        return (self.read if len(stretch) <= _KEPT else self.read.__wrapped__)(stretch).encode()
 
 
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

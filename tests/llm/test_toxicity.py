@@ -105,3 +105,16 @@ def wide_model(spark):
     ("$tupid", "stupid"), ("|diot", "idiot"), ("stop!", "stop"), ("(hello", "hello"), ("(1d10t)", "idiot")])
 def test_look_alikes_anywhere_in_a_word(wide_model, hidden, word):
     assert toxicity.Restorer(wide_model).restore([f"you {hidden} there".encode()]) == [f"you {word} there".encode()]
+
+
+@pytest.mark.parametrize("hidden,left", [
+    ("i d 1 0 t", "idiot"), ("s t u p 1 d", "stupid"), ("s t u p i d, man", "stupid, man"), ("f o o l!", "fool!"), ("f   o   o   l", "fool"),
+    ("a s s", "ass"), ("f-0.0-l man", "fool man"), ("1 2 3 4", "1 2 3 4"), ("the f o o l man", "the fool man")])
+def test_spelled_words_with_look_alikes(wide_model, hidden, left):
+    found, = toxicity.Restorer(wide_model).restore([hidden.encode()])
+    assert found.rstrip(b"!") == left.encode().rstrip(b"!")
+
+
+def test_long_words_are_decoded(wide_model):
+    word = "1d10t" * 30
+    assert b"1" not in toxicity.Restorer(wide_model).restore([word.encode()])[0]
