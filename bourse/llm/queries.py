@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bourse.llm import jaccard, mixing, multiset, pieces, quality, secrets, suffixes, toxicity, urls, wavelet
+from bourse.llm import jaccard, mixing, multiset, pieces, quality, secrets, simhash, suffixes, toxicity, urls, wavelet
 
 REPOSITORY = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -69,8 +69,14 @@ def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded_documents(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four-word shingles, links at four or fewer differing bits."""
+    return simhash.near_duplicates(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_wavelet_token_files, op2_ngram_jaccard_join, op3_secret_scans, op4_source_mixing, op5_document_fingerprints,
-        op6_url_filters, op7_suffix_dedup, op8_toxicity, op9_quality_rules, op10_piece_encoding)
+        op6_url_filters, op7_suffix_dedup, op8_toxicity, op9_quality_rules, op10_piece_encoding,
+        op13_simhash_near_dedup)
 }
