@@ -6,7 +6,7 @@ coverage, piece lattices) are compared with brute-force versions in the tests.
 
 from __future__ import annotations
 
-from bourse.llm import mixing, urls
+from bourse.llm import mixing, negatives, urls
 
 _RULES = sorted(urls.RULES, key=lambda r: (-len(r[1] + r[2]), -len(r[1])))
 
@@ -98,4 +98,5 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-ORACLE: dict[str, str] = {"op4_source_mixing": SOURCE_MIXING, "op6_url_filters": URL_FILTERS}
+ORACLE: dict[str, str] = {"op4_source_mixing": SOURCE_MIXING, "op6_url_filters": URL_FILTERS,
+                          "op12_hard_negatives": negatives.ORACLE}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bourse.llm import jaccard, mixing, multiset, pieces, quality, secrets, simhash, suffixes, toxicity, urls, wavelet
+from bourse.llm import dialogue, jaccard, mixing, multiset, negatives, pieces, quality, secrets, simhash, suffixes, toxicity, urls, wavelet
 
 REPOSITORY = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -69,6 +69,15 @@ def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded_documents(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.repair(_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the rows whose vec_id is divisible by 50, against all rows."""
+    return negatives.mine(_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four-word shingles, links at four or fewer differing bits."""
     return simhash.near_duplicates(_documents(spark, sf_dir))
@@ -78,5 +87,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_wavelet_token_files, op2_ngram_jaccard_join, op3_secret_scans, op4_source_mixing, op5_document_fingerprints,
         op6_url_filters, op7_suffix_dedup, op8_toxicity, op9_quality_rules, op10_piece_encoding,
-        op13_simhash_near_dedup)
+        op11_conversation_repair, op12_hard_negatives, op13_simhash_near_dedup)
 }

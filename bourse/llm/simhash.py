@@ -1,7 +1,8 @@
 """SimHash near-dedup (operator 13): 64-bit SimHash fingerprints, joined by Golay-code fuzzy keys.
 
-A fingerprint is the bitwise majority of the XXH64 hashes (seed 42, Spark's ``xxhash64``) of a text's 4-word shingles,
-repeats included. Two fingerprints link when at most ``MOST_BITS`` = 4 bits differ.
+A fingerprint is the bitwise majority of the XXH64 hashes (seed 42) of a text's 4-word shingles, repeats included,
+counted per text in an Arrow-batched pandas UDF (in the JVM, a lambda per shingle cost ten times as much). Two
+fingerprints link when at most ``MOST_BITS`` = 4 bits differ.
 
 Candidates come from the perfect binary Golay code [23, 12, 7]: the 64 bits are cut into three segments of 23, 23 and
 18 bits (the last padded with zeros). If two fingerprints differ in at most 4 bits, one segment differs in at most one
@@ -28,13 +29,18 @@ matter.
 from __future__ import annotations
 
 import itertools
+import re
 
+import numpy as np
+import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from bourse.llm.components import components
 
-# Fixed values of the operator: word pattern, shingle size, hash seed (Spark's xxhash64 uses 42), linking distance.
+# Fixed values of the operator: word pattern, shingle size, hash seed (below), linking distance.
 WORD = r"[^\x20\x09-\x0D]+"
 SHINGLE = 4
 MOST_BITS = 4
@@ -43,7 +49,10 @@ GOLAY_POLY = 0b110001110101
 CODE_BITS, CHECK_BITS = 23, 11
 SEGMENTS = ((0, 23), (23, 23), (46, 18))  # (first bit, width) of the three segments of a fingerprint
 
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SEED = 42
+_WORD = re.compile(WORD.encode())  # on UTF-8 bytes: the separators are ASCII, so words are the same
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+_BATCH = 1 << 16  # shingles hashed at a time: a very long text is counted in bounded pieces
 
 
 def _syndrome(word: int) -> int:
@@ -78,26 +87,36 @@ def _syndrome_column(segment: Column) -> Column:
     return sum((F.bit_count(segment.bitwiseAND(F.lit(mask))) % 2).cast("long") * (1 << j) for j, mask in enumerate(_CHECK_MASKS))
 
 
+def fingerprint(text: str | None) -> int:
+    """The signed 64-bit fingerprint of one text.
+
+    The words are joined by single spaces once; a shingle is then a slice of that buffer, from its first word's start
+    to its last word's end."""
+    words = _WORD.findall((text or "").encode("utf-8", "surrogatepass").translate(_LOWER))
+    joined = b" ".join(words)
+    ends = list(itertools.accumulate(len(w) + 1 for w in words))
+    starts = [0, *ends[:-1]]
+    ends = [e - 1 for e in ends]
+    if len(words) >= SHINGLE:
+        spans = zip(starts, ends[SHINGLE - 1 :])
+    else:
+        spans = iter([(0, len(joined))] if words else [])
+    counts, n = np.zeros(64, np.int64), 0
+    while batch := list(itertools.islice(spans, _BATCH)):
+        hashes = np.fromiter((xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in batch), np.uint64, len(batch))
+        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        n += len(batch)
+    bits = np.flatnonzero(2 * counts > n)
+    return int(sum(1 << int(b) for b in bits)) - ((1 << 64) if 63 in bits else 0)
+
+
+def _fingerprints(texts: pd.Series) -> pd.Series:
+    return pd.Series([fingerprint(t) for t in texts], dtype="int64")
+
+
 def fingerprinted(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint long) of every row: the majority of each bit over its shingles' hashes."""
-    lower = F.translate(F.coalesce(F.col("text"), F.lit("")), _UPPER, _UPPER.lower())
-    words = F.regexp_extract_all(lower, F.lit(WORD), 0)
-    n = F.size(words)
-    hashes = (
-        F.when(n >= SHINGLE, F.transform(F.sequence(F.lit(1), n - (SHINGLE - 1)),
-                                         lambda i: F.xxhash64(F.array_join(F.slice(words, i, SHINGLE), " "))))
-        .when(n > 0, F.array(F.xxhash64(F.array_join(words, " "))))
-        .otherwise(F.array().cast("array<long>")))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").alias("doc_id"), hashes.alias("hashes"))
-    h = F.col("h")
-    counted = rows.select("row", "doc_id", F.explode_outer("hashes").alias("h")).groupBy("row", "doc_id").agg(
-        F.count(h).alias("n"), *[F.sum(F.shiftright(h, b).bitwiseAND(1)).alias(f"b{b}") for b in range(64)])
-    bits = [F.when(2 * F.col(f"b{b}") > F.col("n"), F.shiftleft(F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long"))
-            for b in range(64)]
-    fingerprint = bits[0]
-    for bit in bits[1:]:
-        fingerprint = fingerprint.bitwiseOR(bit)
-    return counted.select("doc_id", fingerprint.alias("fingerprint"))
+    return docs.select("doc_id", F.pandas_udf(_fingerprints, LongType())("text").alias("fingerprint"))
 
 
 def links(fingerprints: DataFrame) -> DataFrame:

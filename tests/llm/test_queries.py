@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("sf_dir", [SF, "/root/testdata/sf0.01"])
 def test_sql(spark, name, sf_dir):
     db = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     result = db.execute(ORACLE[name])
     columns = sorted(c[0] for c in result.description)
@@ -27,7 +27,7 @@ def test_sql(spark, name, sf_dir):
 
 
 def test_each_operator_has_one_query():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_only_the_entry_point_swallows_import_errors():
