@@ -143,22 +143,23 @@ def _searches(shard: pd.DataFrame, anchors: pd.DataFrame) -> pd.DataFrame:
         labels = shard["label"].to_numpy()
         tree = CoverTree(_matrix(shard["vector"]))
         width = tree.points.shape[1]
-        for anchor in anchors.itertuples(index=False):
+        for anchor_id, label, vector, positives in zip(
+                anchors["anchor_id"], anchors["anchor_label"], anchors["anchor_vector"], anchors["positives"], strict=True):
             query = np.zeros(width)
-            given = np.asarray(anchor.vector[:width], dtype=np.float64)
+            given = np.asarray(vector[:width], dtype=np.float64)
             query[: len(given)] = given  # components beyond the shard's width meet zeros
-            same = (labels == anchor.label) & (ids != anchor.anchor_id)
-            if anchor.positives is None:
+            same = (labels == label) & (ids != anchor_id)
+            if positives is None:
                 for score, row in tree.search(query, POSITIVES, same):
-                    out.append((anchor.anchor_id, None, None, ids[row], score))
+                    out.append((anchor_id, None, None, ids[row], score))
                 continue
-            other = labels != anchor.label
-            for positive in anchor.positives:
+            other = labels != label
+            for positive in positives:
                 p = int(positive["positive_score"])
                 least = -((-LEAST_PERCENT * p) // 100)
                 most = (MOST_PERCENT * p) // 100
                 for score, row in tree.search(query, NEGATIVES, other, least, most):
-                    out.append((anchor.anchor_id, positive["positive_id"], p, ids[row], score))
+                    out.append((anchor_id, positive["positive_id"], p, ids[row], score))
     return pd.DataFrame(out, columns=["anchor_id", "positive_id", "positive_score", "vec_id", "score"])
 
 
@@ -171,7 +172,9 @@ def mine(embeddings: DataFrame) -> DataFrame:
     """For each anchor and each of its positives, up to three hard negatives with their ranks and scores."""
     clean = stored(cleaned(embeddings), "negatives-clean")
     shards = max(1, math.ceil(clean.count() / SHARD_ROWS))
-    anchors = clean.where(F.col("vec_id") % ANCHOR_EVERY == 0).select(F.col("vec_id").alias("anchor_id"), "label", "vector")
+    # Own names on the anchors' side: both sides of the cogroup come from one table, and shared names get confused.
+    anchors = clean.where(F.col("vec_id") % ANCHOR_EVERY == 0).select(
+        F.col("vec_id").alias("anchor_id"), F.col("label").alias("anchor_label"), F.col("vector").alias("anchor_vector"))
     blocks = max(1, math.ceil(anchors.count() / ANCHOR_BLOCK))
     candidates = clean.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"),
                               F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vec_id", "label", "vector")
@@ -195,10 +198,10 @@ def mine(embeddings: DataFrame) -> DataFrame:
 ORACLE = rf"""
 WITH clean AS (
   SELECT DISTINCT vec_id, CAST(CASE WHEN vec_id % {RELABEL_EVERY} = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
-         CAST(list_transform(embedding, x -> CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS DOUBLE[]) AS v
+         CAST(list_transform(embedding, lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS DOUBLE[]) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT a.vec_id AS anchor_id, a.label AS anchor_label, c.vec_id, c.label,
          CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
