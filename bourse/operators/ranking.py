@@ -52,3 +52,22 @@ def rank_descending(df: DataFrame, value: str, within: tuple[str, ...] = (), nam
     for i, c in enumerate(within):
         same = same & (df[c] == F.col(f"_k{i}"))
     return df.join(ranks, same).drop("_v", *[f"_k{i}" for i in range(len(within))])
+
+
+def numbered(df: DataFrame, order: list, name: str = "position") -> DataFrame:
+    """``row_number()`` over the whole frame in ``order`` (which must break all ties), without gathering it in one task.
+
+    Rows are range partitioned by splitters sampled from the keys and sorted
+    inside their part; an id increasing within each part gives the local
+    number. Only the row count of each part (one row a part, bounded by the
+    partition count, not by the data) is gathered to form the offsets, which
+    join back by broadcast.
+    """
+    ids = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    part = F.shiftright(F.col("_id"), 33)
+    counts = ids.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
+    local = F.col("_id") - F.shiftleft(F.col("_part"), 33)
+    return (ids.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+            .withColumn(name, (F.col("_offset") + local + 1).cast("int")).drop("_id", "_part", "_offset"))

@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 from bourse import fixed_values as fv
 from bourse.functions.metrics import annualised, growth, lookup, period_start
-from bourse.operators.asof import calendar_anchors, filled_on
+from bourse.operators.asof import anchored, calendar_index, filled_on
 from bourse.operators.pairwise import correlation_matrix
-from bourse.operators.ranking import rank_descending
+from bourse.operators.ranking import numbered, rank_descending
 
 
-def _filled_at(names, anchors) -> list[Column]:
-    """Forward-filled price at each anchor day, under the given names."""
+def _filled_at(names: list[str]) -> list[Column]:
+    """Forward-filled price at each anchor day (the column ``day_<name>``), under the given names."""
     price, date = F.col("close_price"), F.col("data_date")
-    return [filled_on(price, date, day).alias(name) for name, day in zip(names, anchors)]
+    return [filled_on(price, date, F.col(f"day_{name}")).alias(name) for name in names]
 
 
 def performance_summary(prices: DataFrame, periods: dict[str, int | None] | None = None,
@@ -29,12 +29,11 @@ def performance_summary(prices: DataFrame, periods: dict[str, int | None] | None
     """
     periods = fv.REPORT_PERIODS if periods is None else periods
     priced = prices.filter(F.col("close_price").isNotNull())
-    anchors = calendar_anchors(priced if calendar is None else calendar, "data_date",
-                               [period_start(F.col("max_date"), days) for days in periods.values()])
-    per_asset = priced.groupBy("asset_id", "asset_name", "asset_type").agg(
-        F.max_by("close_price", "data_date").alias("current_price"),
-        *_filled_at([f"at_{p}" for p in periods], anchors),
-    )
+    names = [f"at_{p}" for p in periods]
+    index = calendar_index(priced if calendar is None else calendar, "data_date")
+    days = anchored(priced, index, [period_start(F.col("max_date"), days) for days in periods.values()], [f"day_{n}" for n in names])
+    per_asset = days.groupBy("asset_id", "asset_name", "asset_type").agg(
+        F.max_by("close_price", "data_date").alias("current_price"), *_filled_at(names))
     rows = F.array(*[F.struct(F.lit(p).alias("period"), F.col(f"at_{p}").alias("start_price")) for p in periods])
     long = per_asset.select("asset_id", "asset_name", "asset_type", "current_price", F.inline(rows))
     returns = long.filter(F.col("start_price") > 0).withColumn(
@@ -77,7 +76,7 @@ def correlation_order() -> list[Column]:
 
 def with_position(report: DataFrame, order: list[Column]) -> DataFrame:
     """A report's rows numbered in the order in which they are shown. Reports have a row an asset, period or pair."""
-    return report.withColumn("position", F.row_number().over(Window.orderBy(*order)))
+    return numbered(report, order, "position")
 
 
 def investment_comparison(prices: DataFrame, benchmark: str | None = None,
@@ -89,11 +88,12 @@ def investment_comparison(prices: DataFrame, benchmark: str | None = None,
     months = [f"buy_{k}" for k in range(fv.MONTHLY_PURCHASES)]
     targets = [F.date_sub("max_date", 365), *[F.add_months("max_date", -k) for k in range(len(months))]]
     priced = prices.filter(F.col("close_price").isNotNull())
-    anchors = calendar_anchors(priced if calendar is None else calendar, "data_date", targets)
+    index = calendar_index(priced if calendar is None else calendar, "data_date")
     if benchmark is not None:
         priced = priced.filter(F.col("asset_id").isin(benchmark, fv.CASH_ID))
-    at = priced.groupBy("asset_id").agg(
-        F.max_by("close_price", "data_date").alias("current_price"), *_filled_at(["year_ago", *months], anchors))
+    names = ["year_ago", *months]
+    at = anchored(priced, index, targets, [f"day_{n}" for n in names]).groupBy("asset_id").agg(
+        F.max_by("close_price", "data_date").alias("current_price"), *_filled_at(names))
     current = F.col("current_price")
     bought = [F.col(m) for m in months]
 

@@ -467,3 +467,18 @@ def test_bucketed_prices_need_no_further_shuffle(spark, priced, market_year, hol
     assert exchanges(figures.annualised_volatility(returns)) == 0
     direct = market.daily_returns(core.unified_prices(prices, cash_ingested_at=F.lit("t")))
     assert rows(returns) == rows(direct)
+
+
+def test_numbering_over_many_parts(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from bourse.operators.ranking import numbered
+
+    df = spark.range(5000).select(F.col("id"), (F.col("id") * 7919 % 101).alias("k"), (F.col("id") % 3).alias("g")).repartition(7)
+    order = [F.col("k"), F.desc("g"), F.col("id")]
+    mine = numbered(df, order, "n")
+    assert mine.rdd.getNumPartitions() >= 1
+    plain = df.withColumn("n", F.row_number().over(Window.orderBy(*order)))
+    assert sorted(mine.select("id", "n").collect()) == sorted(plain.select("id", "n").collect())
+    assert numbered(df.limit(0), order, "n").count() == 0

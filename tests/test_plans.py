@@ -66,3 +66,22 @@ def test_correlation_spreads_over_groups(spark):
     days = inputs.prices(spark, SF_DIR).select(F.floor(F.datediff("data_date", F.lit("1970-01-01").cast("date")) / 512)).distinct()
     assert days.count() > 1
     assert "FlatMapGroupsInPandas [bi" in plan_of(spark, "return_correlation")
+
+
+def test_positions_are_numbered_without_one_task(spark):
+    """Report rows are range partitioned; only the row counts of the parts (one row a part), global partial aggregates
+    (one row a task, such as the calendar index) and the bucket totals of ranks meet in one task."""
+    for name in ("dim_assets", "performance_summary", "investment_benchmark_and_cash", "volatility_comparison", "return_correlation"):
+        lines = plan_of(spark, name).splitlines()
+        gathered = [lines[k + 1] for k, line in enumerate(lines) if "Exchange SinglePartition" in line]
+        assert gathered and all(any(m in line for m in ("output=[_part", "HashAggregate(keys=[]", "HashAggregate(keys=[_b")) for line in gathered), name
+        assert "Exchange rangepartitioning" in "\n".join(lines), name
+
+
+def test_anchors_come_from_one_calendar_row(spark):
+    """One broadcast row of calendar days answers every anchor: no subquery, no loop join, a plan of bounded size."""
+    for name in ("performance_summary", "investment_comparison"):
+        df = QUERIES[name](spark, SF_DIR)
+        plan, optimised = plan_of(spark, name), df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Subquery" not in plan and "NestedLoop" not in plan
+    assert len(QUERIES["investment_comparison"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString().splitlines()) < 300
