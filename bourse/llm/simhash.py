@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from bourse.llm.components import components
+from bourse.llm.tables import stored
 
 # Fixed values of the operator: word pattern, shingle size, hash seed (below), linking distance.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -138,7 +139,8 @@ def links(fingerprints: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 lowercase hex digits), component_id for every row of ``docs``."""
-    prints = docs.select("doc_id", "text").transform(fingerprinted)
+    # Written once: the fingerprints feed the nodes, the components and the result, and are computed only here.
+    prints = stored(docs.select("doc_id", "text").transform(fingerprinted), "simhash-fingerprints")
     nodes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     roots = components(links(nodes.select("fingerprint")))
     rooted = nodes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
