@@ -6,6 +6,7 @@ definition, since all bytes of other characters lie above. Null texts count as e
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 20
+LONG_SPAN = 256
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -70,7 +72,13 @@ class Batch:
         if self._sums is None:
             self._sums = np.zeros(len(self.data) + 1, np.uint64)
             np.cumsum(_BYTE[self.data] * powers[: len(self.data)], out=self._sums[1:])
-        return mix((self._sums[ends] - self._sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+        out = mix((self._sums[ends] - self._sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+        # A polynomial modulo 2**64 is no hash for long spans: Thue-Morse texts of 2**q bytes collide once q(q+1)/2
+        # reaches 64. Spans of LONG_SPAN bytes or more take a cryptographic digest instead; shorter ones cannot be such.
+        for k in np.flatnonzero(np.asarray(ends - starts) >= LONG_SPAN):
+            digest = hashlib.blake2b(self.data[starts[k] : ends[k]].tobytes(), digest_size=8).digest()
+            out[k] = U(int.from_bytes(digest, "little"))
+        return out
 
     def word_hash(self) -> np.ndarray:
         return self.span_hash(self.starts, self.ends)
