@@ -112,6 +112,7 @@ def _staged_and_published(responses: DataFrame, root: str, contract: Contract, b
     staged = published.stage(records, root, batch_id, contract, allow_empty=True, also=(_REJECTED,))
     kept, rejects = staged.filter(~F.col(_REJECTED)).drop(_REJECTED), staged.filter(_REJECTED).drop(_REJECTED)
     kept_at = None
+    moving = False
     try:
         n_lost = lost.get["n"] if watched else 0
         counts = staged.agg(F.count_if(~F.col(_REJECTED)).alias("kept"), F.count_if(_REJECTED).alias("rejected")).first()
@@ -132,9 +133,12 @@ def _staged_and_published(responses: DataFrame, root: str, contract: Contract, b
         if result.is_valid and counts.kept:
             published.publish(kept, root, contract)
         if not result.is_valid:
+            moving = True
             kept_at = published.keep_failed(spark, root, batch_id)
+            moving = False
     finally:
-        published.drop_staged(spark, root, batch_id)
+        if not moving:  # a batch whose move aside failed stays staged as the evidence
+            published.drop_staged(spark, root, batch_id)
     rows = counts.kept if result.is_valid else 0
     return Outcome(batch_id, result, rows, counts.rejected, n_lost, rejected, lost_responses), kept_at
 

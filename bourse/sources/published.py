@@ -85,13 +85,15 @@ def drop_staged(spark: SparkSession, root: str, batch: str) -> None:
 
 
 def keep_failed(spark: SparkSession, root: str, batch: str) -> str:
-    """Move a staged batch aside; an older failure of the same batch gives way."""
+    """Move a staged batch aside; an older failure of the same batch gives way. Raises if the move fails."""
     target = failed_path(root, batch)
     _delete(spark, target)
     path = spark._jvm.org.apache.hadoop.fs.Path
     system = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
     system.mkdirs(path(target).getParent())
-    system.rename(path(staging_path(root, batch)), path(target))
+    if not system.rename(path(staging_path(root, batch)), path(target)):
+        # The staged files are the only evidence of the failure: a cleanup after this must not find them gone.
+        raise OSError(f"could not move the staged batch {batch} to {target}")
     return target
 
 

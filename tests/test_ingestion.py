@@ -345,3 +345,17 @@ def test_published_files_carry_contract_types(spark, tmp_path):
     load(spark, root, "b1", ("C:EURUSD", 0, 10))
     file = glob.glob(f"{published.table_path(root, contracts.RATE_BARS)}/*/*/*.parquet")[0]
     assert dict(spark.read.parquet(file).dtypes)["volume"] == "double"
+
+
+def test_a_failed_move_aside_raises(spark, tmp_path):
+    """A move that does not happen must not pass as kept, whether the file system says so by false or by an error."""
+    root = str(tmp_path)
+    staged = published.staging_path(root, "b1").removeprefix("file:")
+    os.makedirs(staged)
+    open(os.path.join(staged, "part-0.parquet"), "w").close()
+    blocked = os.path.dirname(published.failed_path(root, "b1").removeprefix("file:"))
+    os.makedirs(os.path.dirname(blocked), exist_ok=True)
+    open(blocked, "w").close()  # a file where the folder of failed batches should be
+    with pytest.raises(Exception):
+        published.keep_failed(spark, root, "b1")
+    assert os.path.exists(os.path.join(staged, "part-0.parquet"))
