@@ -8,8 +8,9 @@ grows with the table.
 In a task, the shard's vectors are augmented by one coordinate sqrt(M^2 - |x|^2) (M the largest norm of the shard), so
 that all lie on one sphere and Euclidean nearness means a large inner product (the usual reduction of inner-product
 search to nearest neighbours). A cover tree is built over them: every node has a centre among its points and a covering
-radius r, the largest distance of its points from the centre; children cover half the parent's radius, the parent's
-centre leading the first child. For an anchor q (augmented by 0), every point x under a node with centre p satisfies
+radius r, the largest distance of its points from the centre; its children are led by the parent's centre and by the
+points farthest from the centres so far, until these lie within half the radius or there are ``FANOUT`` (in 64
+dimensions halving alone makes nearly every point a child of its own). For an anchor q (augmented by 0), every point x under a node with centre p satisfies
 |q.x - q.p| <= |q| r, which bounds the scores of the whole node. The search pops nodes by their upper bound, skips nodes
 whose bounds lie wholly outside the asked score window, stops when k rows are found and no node can beat or tie the
 k-th, and scores the points of leaves exactly. It is exact: no node that could hold a qualifying row is skipped.
@@ -43,7 +44,8 @@ LEAST_PERCENT, MOST_PERCENT = 50, 95
 # Parameters of the blocks and the tree: rows a shard, anchors a block, points a leaf.
 SHARD_ROWS = 20_000
 ANCHOR_BLOCK = 2_000
-LEAF = 24
+LEAF = 256  # points a leaf, scored by one matrix product; in many dimensions bounds prune little inside small nodes
+FANOUT = 16  # children a node at most
 
 SCHEMA = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
 _FOUND = "anchor_id long, positive_id long, positive_score long, vec_id long, score long"
@@ -76,53 +78,63 @@ class CoverTree:
         radius = float(distance.max())
         self.centre.append(centre)
         self.radius.append(radius)
-        self.children.append([])
+        self.children.append(None)
         self.members.append(None)
         if len(rows) <= LEAF or radius == 0.0:
             self.members[at] = rows
             return at
-        groups, left, lead = [], rows, centre
-        while len(left):
-            near = np.linalg.norm(self.lifted[left] - self.lifted[lead], axis=1) <= radius / 2
-            groups.append((left[near], lead))
-            left = left[~near]
-            if len(left):
-                lead = left[np.argmax(np.linalg.norm(self.lifted[left] - self.lifted[centre], axis=1))]
-        self.children[at] = [self._node(members, lead) for members, lead in groups]
+        # Children: the parent's centre, then the points farthest from the centres so far, FANOUT at most; each point goes
+        # to its nearest centre, and a child's radius is the real largest distance, so the bounds stay exact.
+        leads, nearest = [centre], distance.copy()
+        while len(leads) < FANOUT and nearest.max() > radius / 2:
+            leads.append(int(rows[np.argmax(nearest)]))
+            nearest = np.minimum(nearest, np.linalg.norm(self.lifted[rows] - self.lifted[leads[-1]], axis=1))
+        owner = np.argmin(np.stack([np.linalg.norm(self.lifted[rows] - self.lifted[c], axis=1) for c in leads]), axis=0)
+        groups = [(rows[owner == k], lead) for k, lead in enumerate(leads) if (owner == k).any()]
+        if len(groups) == 1:  # equal points: no split is possible
+            self.members[at] = rows
+            return at
+        self.children[at] = np.array([self._node(members, lead) for members, lead in groups])
         return at
 
     def search(self, query: np.ndarray, k: int, allowed: np.ndarray, least: float = -math.inf, most: float = math.inf):
         """The k best (score, row) of allowed rows with least <= score <= most, by score down and row up."""
         if not len(self.centre) or least > most:
             return []
+        if not isinstance(self.radius, np.ndarray):
+            self.radius, self.centre = np.asarray(self.radius), np.asarray(self.centre)
         q = query.astype(np.float64)
         size = float(np.linalg.norm(q))
         found: list[tuple[float, int]] = []
 
-        def bounds(node: int) -> tuple[float, float]:
-            middle = float(self.points[self.centre[node]] @ q)
-            slack = size * self.radius[node] + 1.0  # scores are integers; one more absorbs rounding
+        def bounds(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            middle = self.points[self.centre[nodes]] @ q
+            slack = size * self.radius[nodes] + 1.0  # scores are integers; one more absorbs rounding
             return middle - slack, middle + slack
 
-        low, high = bounds(0)
-        queue = [(-high, 0, low)]
+        low, high = bounds(np.array([0]))
+        queue = [(-float(high[0]), 0, float(low[0]))]
         while queue:
             negative_high, node, low = heapq.heappop(queue)
             if len(found) == k and -negative_high < -found[-1][0]:
                 break
             if low > most or -negative_high < least:
+                continue  # the node's scores lie wholly outside the window
+            children = self.children[node]
+            if children is not None:
+                lows, highs = bounds(children)
+                for child, lo, hi in zip(children.tolist(), lows.tolist(), highs.tolist(), strict=True):
+                    if lo <= most and hi >= least:
+                        heapq.heappush(queue, (-hi, child, lo))
                 continue
             rows = self.members[node]
-            if rows is None:
-                for child in self.children[node]:
-                    low, high = bounds(child)
-                    heapq.heappush(queue, (-high, child, low))
-                continue
             rows = rows[allowed[rows]]
             scores = np.rint(self.points[rows] @ q)
             inside = (scores >= least) & (scores <= most)
-            found = sorted(found + [(-s, int(r)) for s, r in zip(scores[inside], rows[inside], strict=True)])[:k]
-        return [(int(-s), r) for s, r in found]
+            scores, rows = scores[inside], rows[inside]
+            best = np.lexsort((rows, -scores))[:k]  # the leaf's k best by score down, row up, before any Python tuple
+            found = sorted(found + list(zip((-scores[best]).tolist(), rows[best].tolist(), strict=True)))[:k]
+        return [(int(-s), int(r)) for s, r in found]
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
