@@ -16,8 +16,8 @@ block anew from its stored end vector, so that at every row the least initial th
 (equal costs are resolved on exact values, never on a rounded guess).
 
 Spark deals the rows: damage, null handling and the collapse of whole repeated rows run in the JVM; each conversation
-is one group of ``applyInPandas``, bounded by its own length, which the audit and the digest of the repaired text
-(one sequential sha256) need in order anyway.
+is one group, gathered into one array and bounded by its own length, which the audit and the digest of the repaired
+text (one sequential sha256) need in order anyway; Arrow batches of such arrays are repaired in one pandas UDF.
 
 Defined cases: nulls in conv_id, turn, role or text read as one space where a text is needed; a null conv_id is a
 conversation of its own; rows with one turn are ordered by role, then text (code points), so repeated rows are adjacent
@@ -196,16 +196,27 @@ def repaired(rows: list[tuple[object, str, str]]) -> dict:
     return out | {"cost": cost, "audit": audit, "repaired_sha256": digest}
 
 
-def _repair(frame: pd.DataFrame) -> pd.DataFrame:
-    rows = []
-    for turn, role, text, copies in zip(frame["turn"], frame["role"], frame["text"], frame["copies"], strict=True):
-        rows += [(None if pd.isna(turn) else int(turn), role, text)] * int(copies)
-    conv_id = frame["conv_id"].iloc[0]
-    result = {"conv_id": None if pd.isna(conv_id) else int(conv_id)} | repaired(rows)
-    return pd.DataFrame({k: pd.Series([v], dtype=object) for k, v in result.items()})
+_RESULT = "struct<gaps:long,blank:long,duplicate:long,truncated:long,illegal:long,cost:long,audit:string,repaired_sha256:string>"
+
+
+def _repair_all(conversations: pd.Series) -> pd.DataFrame:
+    """A batch of conversations, each an array of its (turn, role, text, copies) rows."""
+    out = []
+    for rows in conversations:
+        expanded = []
+        for row in rows:
+            turn = row["turn"]
+            expanded += [(None if turn is None or pd.isna(turn) else int(turn), row["role"], row["text"])] * int(row["copies"])
+        out.append(repaired(expanded))
+    return pd.DataFrame(out, columns=["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"])
 
 
 def repair(conversations: DataFrame) -> DataFrame:
-    """One row per conv_id of the table: faults of the damaged conversation, least repair cost, audit and digest."""
+    """One row per conv_id of the table: faults of the damaged conversation, least repair cost, audit and digest.
+
+    Whole repeated rows are collapsed, then each conversation's rows are gathered into one array (the group of one
+    conversation) and Arrow batches of conversations are repaired in one pandas UDF."""
     rows = damaged(conversations).groupBy("conv_id", "turn", "role", "text").agg(F.sum("copies").alias("copies"))
-    return rows.groupBy("conv_id").applyInPandas(_repair, SCHEMA)
+    gathered = rows.groupBy("conv_id").agg(F.collect_list(F.struct("turn", "role", "text", "copies")).alias("rows"))
+    repaired_rows = F.pandas_udf(_repair_all, _RESULT)("rows")
+    return gathered.select("conv_id", repaired_rows.alias("r")).select("conv_id", "r.*")
