@@ -5,46 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets per e-fold of magnitude. Doubles span about 1490 e-folds, so a group
-# has at most some 380,000 buckets of each sign; values met in practice fill a
-# few thousand.
-_BUCKETS_PER_EFOLD = 256
+def _ranged(counted: DataFrame, within: list[str]) -> DataFrame:
+    """Distinct values in parts of about equal size, numbered ``_b`` in rank order within each group.
 
-
-def _bucket(value):
-    """An integer that never decreases as ``value`` grows; infinities and NaN, which sorts last, have their own."""
-    infinity = F.lit(float("inf"))
-    finite = F.when(F.abs(value) < infinity, value)
-    size = F.floor(F.log(F.abs(finite)) * _BUCKETS_PER_EFOLD).cast("bigint") + 200_000
-    edge = (F.when(F.isnan(value), F.lit(2**61)).when(value == infinity, F.lit(2**60)).when(value == -infinity, F.lit(-(2**60)))
-             .when(value == 0, F.lit(0).cast("bigint")))
-    return F.coalesce(edge, F.signum(finite).cast("bigint") * size)
+    The parts come from range partitioning, whose splitters Spark samples from
+    the values and samples again where a part came out too large, so dense
+    values (millions within a tiny interval) spread over tasks as well as sparse
+    ones do. A part is a set of rows of one shuffle output, so every branch that
+    reads the exchange sees the same number for a row. The part count is given
+    (the session's shuffle partitions), so adaptive execution does not coalesce
+    the reads of the branches differently.
+    """
+    parts = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (counted.repartitionByRange(parts, *within, F.col("_v").desc_nulls_last())
+            .withColumn("_b", F.spark_partition_id()))
 
 
 def rank_descending(df: DataFrame, value: str, within: tuple[str, ...] = (), name: str = "rank") -> DataFrame:
-    """``rank()`` by ``value`` descending, nulls last, per ``within`` group.
+    """``rank()`` by ``value`` descending, nulls last (NaN first, as Spark orders it), per ``within`` group.
 
     Equal values are counted before any shuffle, so a hot value is one row.
-    Distinct values are ranked inside magnitude buckets, and bucket totals
-    (bounded in number) are accumulated to offset them. The ranks join back on
-    the value, where the planner can split a hot value over tasks.
+    Distinct values are range partitioned on sampled splitters and ranked inside
+    their part; part totals (one row per part and group) are accumulated to
+    offset them. The ranks join back on the value, where the planner can split a
+    hot value over tasks. Empty input gives empty output.
     """
     within = list(within)
     counted = df.groupBy(*within, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    # Null sorts after every number: it takes the lowest bucket of all.
-    bucketed = counted.withColumn(
-        "_b", F.when(F.col("_v").isNull(), F.lit(-(2**62))).otherwise(_bucket(F.col("_v"))))
+    ranged = _ranged(counted, within)
     group = [F.lit(0)] if not within else [F.col(c) for c in within]
-    totals = bucketed.groupBy(*within, "_b").agg(F.sum("_n").alias("_n")).select(
+    totals = ranged.groupBy(*within, "_b").agg(F.sum("_n").alias("_n")).select(
         *within, "_b",
         F.coalesce(F.sum("_n").over(
-            Window.partitionBy(*group).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)),
+            Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0)).alias("_offset"))
     inner = F.coalesce(F.sum("_n").over(
-        Window.partitionBy(*within, "_b").orderBy(F.desc("_v")).rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0))
-    # The null bucket lies below all of them.
-    ranks = (bucketed.withColumn("_inner", inner)
+        Window.partitionBy(*within, "_b").orderBy(F.col("_v").desc_nulls_last())
+        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranks = (ranged.withColumn("_inner", inner)
              .join(totals, [*within, "_b"])
              .select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(within)], "_v",
                      (F.col("_offset") + F.col("_inner") + 1).alias(name)))

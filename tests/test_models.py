@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bourse import fixed_values as fv
-from bourse.operators.ranking import rank_descending
+from bourse.operators.ranking import _ranged, rank_descending
 from bourse.plans import core, figures, market, reports, staging, swaps
 from bourse.plans.build import LAYERS, PUBLISHED_NAMES, build_models, data_tests
 from bourse.sources import reference_data
@@ -276,6 +276,18 @@ def test_reports_survive_nan_and_infinity(priced):
     assert staging._valid(prices).filter("isnan(close_price)").count() == 0
 
 
+def test_rank_spreads_dense_values_over_parts(spark, rows):
+    # 20,000 distinct values inside one part in 10**8: one magnitude bucket would hold them all.
+    df = spark.range(20000).selectExpr("id", "1.0D + (id * 7919 % 20000) * 1e-12D as v")
+
+    counted = df.groupBy(F.col("v").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = [r.n for r in _ranged(counted, []).groupBy("_b").agg(F.count(F.lit(1)).alias("n")).collect()]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(sizes) == 20000 and max(sizes) <= 3 * 20000 / parts
+    plain = df.selectExpr("id", "cast(rank() over (order by v desc nulls last) as bigint) as r")
+    assert rows(rank_descending(df, "v", (), "r"), "id", "r") == rows(plain)
+
+
 def test_rank_keeps_hot_values_whole(spark):
     df = spark.range(3000).selectExpr("id", "if(id % 3 = 0, 7.0D, cast(id as double)) as v")
     ranked = rank_descending(df, "v", (), "r")
