@@ -13,16 +13,21 @@ points farthest from the centres so far, until these lie within half the radius
 dimensions halving alone makes nearly every point a child of its own). For an anchor q (augmented by 0), every point x under a node with centre p satisfies
 |q.x - q.p| <= |q| r, which bounds the scores of the whole node. The search pops nodes by their upper bound, skips nodes
 whose bounds lie wholly outside the asked score window, stops when k rows are found and no node can beat or tie the
-k-th, and scores the points of leaves exactly. It is exact: no node that could hold a qualifying row is skipped.
+k-th, and scores the points of leaves exactly. It is exact: no node that could hold a qualifying row is skipped, and scores
+too large for exact doubles (2^53) are summed in 64-bit integers, those too large for these in Python's integers.
 
 Two passes: the first finds each anchor's five best other rows of its label (positives) in every shard and keeps the
 five best over shards; the second asks every shard, for each anchor and positive, for the three best rows of another
-label inside 50 * positive <= 100 * negative <= 95 * positive, and keeps the three best over shards.
+label inside 50 * positive <= 100 * negative <= 95 * positive, and keeps the three best over shards. A positive with a
+score below zero has an empty window and comes after all others, so the first pass asks for scores from zero only. Between
+the passes scores travel as decimal digits, because a score that takes part in the order need not fit a long.
 
 Defined cases: rows with a null vec_id, label or vector, or a null or non-finite component, take no part; rows repeated
-whole count once; an anchor never is its own positive (nor is any row with its vec_id); ties are ordered by the smaller
-vec_id; an anchor without positives, a positive without negatives and an empty table give no rows; vectors of
-different lengths are scored over their common leading components; other columns are not read.
+whole count once; rows that share a vec_id and differ otherwise are anchors and positives of their own; an anchor never is
+its own positive (nor is any row with its vec_id); ties are ordered by the smaller vec_id; components may be any finite
+number; a returned score that does not fit a long fails the query; an anchor without positives, a positive without
+negatives and an empty table give no rows; vectors of different lengths are scored over their common leading components;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,7 +37,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bourse.llm.tables import stored
@@ -48,16 +53,25 @@ LEAF = 256  # points a leaf, scored by one matrix product; in many dimensions bo
 FANOUT = 16  # children a node at most
 
 SCHEMA = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
-_FOUND = "anchor_id long, positive_id long, positive_score long, vec_id long, score long"
+_FOUND = ("anchor_row long, anchor_id long, positive_row long, positive_id long, positive_score string, "
+          "row long, vec_id long, score string")
+# Sums of integers are exact in doubles, and fit 64-bit integers, while the norms' product stays below these.
+_EXACT_DOUBLE, _EXACT_LONG = 2.0**52, 2.0**62
+_LARGEST_LONG = 2**63 - 1
 
 
 def cleaned(embeddings: DataFrame) -> DataFrame:
-    """vec_id, label (relabelled), vector (array of longs) of the rows that take part, each whole row once."""
+    """vec_id, label (relabelled), vector (whole numbers as doubles) of the rows that take part, each whole row once."""
     finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    label = F.when(F.col("vec_id") % RELABEL_EVERY == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
-    vector = F.transform("embedding", lambda x: F.floor(SCALE * x.cast("double")).cast("long"))
+    given = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % RELABEL_EVERY == 0, (given + 1) % 10).otherwise(given)
+
+    def scaled(x: Column) -> Column:
+        y = SCALE * x.cast("double")
+        return F.when(F.abs(y) < _EXACT_DOUBLE, F.floor(y).cast("double")).otherwise(y)  # larger doubles are whole numbers
+
     return (embeddings.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull() & finite)
-            .select("vec_id", label.cast("long").alias("label"), vector.alias("vector")).dropDuplicates())
+            .select("vec_id", label.alias("label"), F.transform("embedding", scaled).alias("vector")).dropDuplicates())
 
 
 class CoverTree:
@@ -66,11 +80,17 @@ class CoverTree:
     def __init__(self, points: np.ndarray):
         self.points = points.astype(np.float64)
         norms = np.einsum("ij,ij->i", self.points, self.points)
+        self.norms = np.sqrt(norms)
         lift = np.sqrt(np.maximum(norms.max(initial=0.0) - norms, 0.0))
         self.lifted = np.hstack([self.points, lift[:, None]])
         self.centre, self.radius, self.children, self.members = [], [], [], []
         if len(points):
             self._node(np.arange(len(points)), 0)
+        self.centre, self.radius = np.asarray(self.centre, dtype=np.int64), np.asarray(self.radius)
+        # Per unit of the query's norm: the radius, and the relative rounding of the computed product and distances.
+        rounding = (self.points.shape[1] + 4) * 2.0**-52
+        self.slack = self.radius * (1 + 4 * rounding) + self.norms[self.centre] * rounding
+        self.farthest = float(self.norms.max(initial=0.0))
 
     def _node(self, rows: np.ndarray, centre: int) -> int:
         at = len(self.centre)
@@ -97,19 +117,34 @@ class CoverTree:
         self.children[at] = np.array([self._node(members, lead) for members, lead in groups])
         return at
 
+    def _scores(self, rows: np.ndarray, q: np.ndarray, size: float) -> np.ndarray:
+        """Exact inner products: doubles that hold them, 64-bit integers, or Python's where these could overflow."""
+        points = self.points[rows]
+        if size * self.farthest < _EXACT_DOUBLE:
+            return np.rint(points @ q)
+        reach = size * self.norms[rows]  # no partial sum is larger
+        # A component of q beyond the limit meets only zeros in rows within it.
+        whole = np.where(np.abs(q) < _EXACT_LONG, q, 0.0).astype(np.int64)
+        if reach.max(initial=0.0) < _EXACT_LONG:
+            return points.astype(np.int64) @ whole
+        scores, fits = np.empty(len(rows), dtype=object), reach < _EXACT_LONG
+        scores[fits] = points[fits].astype(np.int64) @ whole
+        integers = [int(x) for x in q]
+        for k in np.flatnonzero(~fits):
+            scores[k] = sum(int(x) * y for x, y in zip(points[k], integers, strict=True) if y)
+        return scores
+
     def search(self, query: np.ndarray, k: int, allowed: np.ndarray, least: float = -math.inf, most: float = math.inf):
         """The k best (score, row) of allowed rows with least <= score <= most, by score down and row up."""
         if not len(self.centre) or least > most:
             return []
-        if not isinstance(self.radius, np.ndarray):
-            self.radius, self.centre = np.asarray(self.radius), np.asarray(self.centre)
         q = query.astype(np.float64)
         size = float(np.linalg.norm(q))
         found: list[tuple[float, int]] = []
 
         def bounds(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             middle = self.points[self.centre[nodes]] @ q
-            slack = size * self.radius[nodes] + 1.0  # scores are integers; one more absorbs rounding
+            slack = size * self.slack[nodes] + 1.0  # scores are integers; one more absorbs rounding
             return middle - slack, middle + slack
 
         low, high = bounds(np.array([0]))
@@ -129,12 +164,14 @@ class CoverTree:
                 continue
             rows = self.members[node]
             rows = rows[allowed[rows]]
-            scores = np.rint(self.points[rows] @ q)
-            inside = (scores >= least) & (scores <= most)
+            scores = self._scores(rows, q, size)
+            inside = ((scores >= least) & (scores <= most)).astype(bool)
             scores, rows = scores[inside], rows[inside]
-            best = np.lexsort((rows, -scores))[:k]  # the leaf's k best by score down, row up, before any Python tuple
-            found = sorted(found + list(zip((-scores[best]).tolist(), rows[best].tolist(), strict=True)))[:k]
-        return [(int(-s), int(r)) for s, r in found]
+            if scores.dtype != object:
+                best = np.lexsort((rows, -scores))[:k]  # the leaf's k best by score down, row up, before any Python tuple
+                scores, rows = scores[best], rows[best]
+            found = sorted(found + list(zip((-scores).tolist(), rows.tolist(), strict=True)))[:k]
+        return [(int(-s), r) for s, r in found]
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -151,60 +188,72 @@ def _searches(shard: pd.DataFrame, anchors: pd.DataFrame) -> pd.DataFrame:
     out = []
     if len(shard) and len(anchors):
         shard = shard.sort_values("vec_id", kind="stable")  # rows in vec_id order: ties of a score go to the smaller id
-        ids = shard["vec_id"].to_numpy()
+        ids, numbers = shard["vec_id"].to_numpy(), shard["row"].to_numpy()
         labels = shard["label"].to_numpy()
         tree = CoverTree(_matrix(shard["vector"]))
         width = tree.points.shape[1]
-        for anchor_id, label, vector, positives in zip(
-                anchors["anchor_id"], anchors["anchor_label"], anchors["anchor_vector"], anchors["positives"], strict=True):
+        for anchor, anchor_id, label, vector, positives in zip(
+                anchors["anchor_row"], anchors["anchor_id"], anchors["anchor_label"], anchors["anchor_vector"],
+                anchors["positives"], strict=True):
             query = np.zeros(width)
             given = np.asarray(vector[:width], dtype=np.float64)
             query[: len(given)] = given  # components beyond the shard's width meet zeros
             same = (labels == label) & (ids != anchor_id)
             if positives is None:
-                for score, row in tree.search(query, POSITIVES, same):
-                    out.append((anchor_id, None, None, ids[row], score))
+                for score, row in tree.search(query, POSITIVES, same, 0):
+                    out.append((anchor, anchor_id, None, None, None, numbers[row], ids[row], str(score)))
                 continue
             other = labels != label
             for positive in positives:
                 p = int(positive["positive_score"])
                 least = -((-LEAST_PERCENT * p) // 100)
                 most = (MOST_PERCENT * p) // 100
-                for score, row in tree.search(query, NEGATIVES, other, least, most):
-                    out.append((anchor_id, positive["positive_id"], p, ids[row], score))
-    return pd.DataFrame(out, columns=["anchor_id", "positive_id", "positive_score", "vec_id", "score"])
+                found = tree.search(query, NEGATIVES, other, least, most)
+                if found and p > _LARGEST_LONG:
+                    raise OverflowError(f"the score {p} of anchor {anchor_id} and a positive with negatives does not fit a long")
+                for score, row in found:
+                    out.append((anchor, anchor_id, positive["positive_row"], positive["positive_id"], positive["positive_score"],
+                                numbers[row], ids[row], str(score)))
+    return pd.DataFrame(out, columns=["anchor_row", "anchor_id", "positive_row", "positive_id", "positive_score",
+                                      "row", "vec_id", "score"])
 
 
 def _best(found: DataFrame, by: list[str], k: int) -> DataFrame:
-    order = Window.partitionBy(*by).orderBy(F.col("score").desc(), F.col("vec_id"))
+    """The first k by score (digits of a number from zero: more digits first), then by vec_id."""
+    order = Window.partitionBy(*by).orderBy(F.length("score").desc(), F.col("score").desc(), F.col("vec_id"), F.col("row"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def mine(embeddings: DataFrame) -> DataFrame:
     """For each anchor and each of its positives, up to three hard negatives with their ranks and scores."""
-    clean = stored(cleaned(embeddings), "negatives-clean")
+    # Numbered as written: rows that share a vec_id stay apart.
+    clean = stored(cleaned(embeddings).withColumn("row", F.monotonically_increasing_id()), "negatives-clean")
     shards = max(1, math.ceil(clean.count() / SHARD_ROWS))
     # Own names on the anchors' side: both sides of the cogroup come from one table, and shared names get confused.
     anchors = clean.where(F.col("vec_id") % ANCHOR_EVERY == 0).select(
-        F.col("vec_id").alias("anchor_id"), F.col("label").alias("anchor_label"), F.col("vector").alias("anchor_vector"))
+        F.col("row").alias("anchor_row"), F.col("vec_id").alias("anchor_id"), F.col("label").alias("anchor_label"),
+        F.col("vector").alias("anchor_vector"))
     blocks = max(1, math.ceil(anchors.count() / ANCHOR_BLOCK))
-    candidates = clean.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"),
-                              F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vec_id", "label", "vector")
+    # Keys are integers on both sides: an int and a long of one value hash apart, and a cogroup does not cast its keys.
+    candidates = clean.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"),
+                              F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "row", "vec_id", "label", "vector")
 
     def asked(table: DataFrame) -> DataFrame:
         return table.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-                            F.pmod(F.xxhash64("anchor_id"), F.lit(blocks)).alias("block"), "*")
+                            F.pmod(F.xxhash64("anchor_id"), F.lit(blocks)).cast("int").alias("block"), "*")
 
     def searched(table: DataFrame) -> DataFrame:
         return candidates.groupBy("shard", "block").cogroup(asked(table).groupBy("shard", "block")).applyInPandas(_searches, _FOUND)
 
-    unasked = F.lit(None).cast("array<struct<positive_id:long,positive_score:long>>")
-    positives = stored(_best(searched(anchors.withColumn("positives", unasked)), ["anchor_id"], POSITIVES).select(
-        "anchor_id", F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score")), "negatives-positives")
-    listed = positives.groupBy("anchor_id").agg(F.collect_list(F.struct("positive_id", "positive_score")).alias("positives"))
-    negatives = _best(searched(anchors.join(listed, "anchor_id")), ["anchor_id", "positive_id"], NEGATIVES)
+    unasked = F.lit(None).cast("array<struct<positive_row:long,positive_id:long,positive_score:string>>")
+    positives = stored(_best(searched(anchors.withColumn("positives", unasked)), ["anchor_row"], POSITIVES).select(
+        "anchor_row", F.col("row").alias("positive_row"), F.col("vec_id").alias("positive_id"),
+        F.col("score").alias("positive_score")), "negatives-positives")
+    listed = positives.groupBy("anchor_row").agg(
+        F.collect_list(F.struct("positive_row", "positive_id", "positive_score")).alias("positives"))
+    negatives = _best(searched(anchors.join(listed, "anchor_row")), ["anchor_row", "positive_row"], NEGATIVES)
     return negatives.select("anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias("negative_id"),
-                            "positive_score", F.col("score").alias("negative_score"))
+                            F.col("positive_score").cast("long"), F.col("score").cast("long").alias("negative_score"))
 
 
 ORACLE = rf"""

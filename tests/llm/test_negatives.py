@@ -84,3 +84,69 @@ def test_tree_search_is_exact(seed):
 
 def test_empty(spark):
     assert negatives.mine(frame(spark, [])).count() == 0
+
+
+def mined(spark, rows, data):
+    return sorted(tuple(r) for r in rows(
+        negatives.mine(frame(spark, data)), "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"))
+
+
+@pytest.mark.parametrize("shard_rows, anchor_block", [(250, 2_000), (20_000, 5), (60, 5)])
+def test_shards_and_blocks_all_meet(spark, rows, shard_rows, anchor_block, monkeypatch):
+    monkeypatch.setattr(negatives, "SHARD_ROWS", shard_rows)
+    monkeypatch.setattr(negatives, "ANCHOR_BLOCK", anchor_block)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # no coalescing: keys that hash apart stay apart
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        data = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v], label)
+                for i, v, label in table_rows()]
+        assert mined(spark, rows, data) == brute(data)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+def large_rows(scale, n=200, width=8, seed=7):
+    rng = random.Random(seed)
+    return [(k, [float(np.float32(rng.gauss(0, 1) * scale(rng))) for _ in range(width)], rng.randrange(3)) for k in range(n)]
+
+
+@pytest.mark.parametrize("scale", [lambda rng: 2e6, lambda rng: 10 ** rng.choice([-3, 0, 3, 6])])
+def test_scores_beyond_exact_doubles(spark, rows, scale, monkeypatch):
+    monkeypatch.setattr(negatives, "SHARD_ROWS", 70)
+    data = large_rows(scale)
+    expected = brute(data)
+    assert max(r[4] for r in expected) > 2**53
+    assert mined(spark, rows, data) == expected
+
+
+def test_huge_components_in_rows_that_are_not_returned(spark, rows):
+    data = large_rows(lambda rng: 0.3)
+    data[17] = (17, [1e30] * 4 + [-1e30] * 4, 901)
+    data[33] = (33, [3e38, -2e25] + [0.0] * 6, 901)
+    data[34] = (34, [0.0] * 8, 2**31 - 1)
+    data[35] = (35, [0.1] * 8, 2**31 - 1)  # relabelled
+    data += [(200, [0.0] * 7 + [1e30], 900), (250, [0.0] * 7 + [3e30], 900)]
+    data = [(i, [float(np.float32(x)) for x in v], label) for i, v, label in data]
+    expected = brute(data)
+    assert expected and max(r[4] for r in expected) < 2**63
+    assert mined(spark, rows, data) == expected
+
+
+def test_a_returned_score_that_does_not_fit_fails(spark):
+    data = [(200, [1e30], 900), (201, [3e30], 900), (204, [2e30], 901)]
+    with pytest.raises(Exception, match="does not fit a long"):
+        negatives.mine(frame(spark, data)).collect()
+
+
+def test_rows_that_share_an_id_are_anchors_and_positives_of_their_own(spark, rows):
+    data = [(k // 2 * 10, v, label) for k, v, label in large_rows(lambda rng: 0.3, 120)]
+    table = [(i, (label + 1) % 10 if i % 7 == 0 else label, tuple(math.floor(256 * x) for x in v)) for i, v, label in data]
+    expected = []
+    for a_id, a_label, a in (r for r in table if r[0] % 50 == 0):
+        scored = sorted((-sum(x * y for x, y in zip(a, v)), i, label) for i, label, v in table)
+        for p, p_id, _ in [s for s in scored if s[2] == a_label and s[1] != a_id][:5]:
+            hits = [s for s in scored if s[2] != a_label and -50 * p <= -100 * s[0] <= -95 * p][:3]
+            expected += [(a_id, p_id, k + 1, n_id, -p, -n) for k, (n, n_id, _) in enumerate(hits)]
+    assert mined(spark, rows, data) == sorted(expected)
