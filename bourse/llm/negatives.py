@@ -13,8 +13,10 @@ points farthest from the centres so far, until these lie within half the radius
 dimensions halving alone makes nearly every point a child of its own). For an anchor q (augmented by 0), every point x under a node with centre p satisfies
 |q.x - q.p| <= |q| r, which bounds the scores of the whole node. The search pops nodes by their upper bound, skips nodes
 whose bounds lie wholly outside the asked score window, stops when k rows are found and no node can beat or tie the
-k-th, and scores the points of leaves exactly. It is exact: no node that could hold a qualifying row is skipped, and scores
-too large for exact doubles (2^53) are summed in 64-bit integers, those too large for these in Python's integers.
+k-th, and scores the points of leaves exactly. Many queries go down the tree together: each scores its ``FIRST`` most
+promising leaves, then every leaf is scored once, in one matrix product, for the queries whose bounds still reach it. It
+is exact: no node that could hold a qualifying row is skipped, and scores too large for exact doubles (2^53) are summed
+in 64-bit integers, those too large for these in Python's integers, one query at a time.
 
 Two passes: the first finds each anchor's five best other rows of its label (positives) in every shard and keeps the
 five best over shards; the second asks every shard, for each anchor and positive, for the three best rows of another
@@ -51,6 +53,9 @@ SHARD_ROWS = 20_000
 ANCHOR_BLOCK = 2_000
 LEAF = 256  # points a leaf, scored by one matrix product; in many dimensions bounds prune little inside small nodes
 FANOUT = 16  # children a node at most
+TOGETHER = 512  # queries that go down the tree together
+FIRST = 4  # leaves a query scores before all leaves are gone through once
+CELLS = 500_000  # scores held at a time
 
 SCHEMA = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
 _FOUND = ("anchor_row long, anchor_id long, positive_row long, positive_id long, positive_score string, "
@@ -173,6 +178,83 @@ class CoverTree:
             found = sorted(found + list(zip((-scores).tolist(), rows.tolist(), strict=True)))[:k]
         return [(int(-s), r) for s, r in found]
 
+    def search_all(self, queries: np.ndarray, k: int, admits, least: list, most: list) -> list[list[tuple[int, int]]]:
+        """``search`` for every query; ``admits(columns, rows)`` says which rows are allowed (queries down, rows across)."""
+        out: list[list[tuple[int, int]]] = [[] for _ in queries]
+        if not len(self.centre):
+            return out
+        exact = np.linalg.norm(queries, axis=1) * self.farthest < _EXACT_DOUBLE
+        for j in np.flatnonzero(~exact).tolist():
+            allowed = admits(np.array([j]), np.arange(len(self.points)))[0]
+            out[j] = self.search(queries[j], k, allowed, least[j], most[j])
+        low, high = np.array(least, dtype=np.float64), np.array(most, dtype=np.float64)
+        usual = np.flatnonzero(exact & (low <= high))
+        for start in range(0, len(usual), TOGETHER):
+            columns = usual[start : start + TOGETHER]
+            scores, rows = self._together(queries[columns], k, lambda at, r, c=columns: admits(c[at], r), low[columns], high[columns])
+            for j, s, r in zip(columns.tolist(), scores.tolist(), rows.tolist(), strict=True):
+                out[j] = [(int(x), y) for x, y in zip(s, r, strict=True) if x != -math.inf]
+        return out
+
+    def _leaves(self, q: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[list[int], np.ndarray]:
+        """Leaves that a query's window reaches, and their upper bounds by query (-inf: not reached)."""
+        size = np.linalg.norm(q, axis=1)
+        leaves, bounds = [], []
+        nodes, reached = np.array([0]), np.ones((1, len(q)), dtype=bool)
+        while len(nodes):
+            middle = self.points[self.centre[nodes]] @ q.T
+            slack = np.outer(self.slack[nodes], size) + 1.0
+            reached = reached & (middle - slack <= high) & (middle + slack >= low)
+            below, passed = [], []
+            for k in np.flatnonzero(reached.any(axis=1)).tolist():
+                children = self.children[nodes[k]]
+                if children is None:
+                    leaves.append(int(nodes[k]))
+                    bounds.append(np.where(reached[k], middle[k] + slack[k], -math.inf))
+                else:
+                    below.append(children)
+                    passed.append(np.broadcast_to(reached[k], (len(children), len(q))))
+            nodes, reached = (np.concatenate(below), np.concatenate(passed)) if below else (np.array([], dtype=np.int64), reached)
+        return leaves, np.array(bounds).reshape(len(leaves), len(q))
+
+    def _together(self, q: np.ndarray, k: int, admits, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores (-inf: none) and rows of the k best of each query, whose scores are exact in doubles."""
+        best, held = np.full((len(q), k), -math.inf), np.zeros((len(q), k), dtype=np.int64)
+        leaves, bounds = self._leaves(q, low, high)
+
+        def score(leaf: int, wanted: np.ndarray) -> None:
+            rows = self.members[leaves[leaf]]  # ascending: argmax takes the smaller row of a tie
+            points, step = self.points[rows].T, max(1, CELLS // len(rows))
+            for start in range(0, len(wanted), step):
+                at = wanted[start : start + step]
+                each = np.arange(len(at))
+                scores = np.rint(q[at] @ points)
+                scores[~(admits(at, rows) & (scores >= low[at, None]) & (scores <= high[at, None]))] = -math.inf
+                found, where = [best[at]], [held[at]]
+                for _ in range(min(k, len(rows))):
+                    top = scores.argmax(axis=1)
+                    found.append(scores[each, top][:, None])
+                    where.append(rows[top][:, None])
+                    scores[each, top] = -math.inf
+                found, where = np.hstack(found), np.hstack(where)
+                order = np.lexsort((where, -found), axis=1)[:, :k]
+                best[at], held[at] = np.take_along_axis(found, order, 1), np.take_along_axis(where, order, 1)
+            bounds[leaf, wanted] = -math.inf
+
+        def reaching(reach: np.ndarray, at: np.ndarray) -> np.ndarray:
+            return at[(reach > -math.inf) & (reach >= best[at, k - 1])]
+
+        everyone = np.arange(len(q))
+        for choice in np.argsort(-bounds, axis=0)[:FIRST]:
+            for leaf in np.unique(choice).tolist():
+                at = everyone[choice == leaf]
+                if len(at := reaching(bounds[leaf, at], at)):
+                    score(leaf, at)
+        for leaf in np.argsort(-bounds.max(axis=1, initial=-math.inf)).tolist():
+            if len(at := reaching(bounds[leaf], everyone)):
+                score(leaf, at)
+        return best, held
+
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
     """The vectors as rows of one matrix, shorter ones padded with zeros (which add nothing to a score)."""
@@ -192,28 +274,37 @@ def _searches(shard: pd.DataFrame, anchors: pd.DataFrame) -> pd.DataFrame:
         labels = shard["label"].to_numpy()
         tree = CoverTree(_matrix(shard["vector"]))
         width = tree.points.shape[1]
+        # One query an anchor (positives not yet known), or one an anchor and positive.
+        asked, queries, least, most = [], [], [], []
+        first = bool(anchors["positives"].isna().all())
         for anchor, anchor_id, label, vector, positives in zip(
                 anchors["anchor_row"], anchors["anchor_id"], anchors["anchor_label"], anchors["anchor_vector"],
                 anchors["positives"], strict=True):
             query = np.zeros(width)
             given = np.asarray(vector[:width], dtype=np.float64)
             query[: len(given)] = given  # components beyond the shard's width meet zeros
-            same = (labels == label) & (ids != anchor_id)
-            if positives is None:
-                for score, row in tree.search(query, POSITIVES, same, 0):
-                    out.append((anchor, anchor_id, None, None, None, numbers[row], ids[row], str(score)))
-                continue
-            other = labels != label
-            for positive in positives:
-                p = int(positive["positive_score"])
-                least = -((-LEAST_PERCENT * p) // 100)
-                most = (MOST_PERCENT * p) // 100
-                found = tree.search(query, NEGATIVES, other, least, most)
-                if found and p > _LARGEST_LONG:
-                    raise OverflowError(f"the score {p} of anchor {anchor_id} and a positive with negatives does not fit a long")
-                for score, row in found:
-                    out.append((anchor, anchor_id, positive["positive_row"], positive["positive_id"], positive["positive_score"],
-                                numbers[row], ids[row], str(score)))
+            for positive in [None] if first else positives:
+                asked.append((anchor, anchor_id, label, positive))
+                queries.append(query)
+                score = None if first else int(positive["positive_score"])
+                least.append(0 if first else -((-LEAST_PERCENT * score) // 100))
+                most.append(math.inf if first else (MOST_PERCENT * score) // 100)
+        anchor_ids, anchor_labels = np.array([x[1] for x in asked]), np.array([x[2] for x in asked])
+
+        def admits(columns: np.ndarray, rows: np.ndarray) -> np.ndarray:
+            same = labels[rows] == anchor_labels[columns, None]
+            return same & (ids[rows] != anchor_ids[columns, None]) if first else ~same
+
+        results = tree.search_all(np.array(queries), POSITIVES if first else NEGATIVES, admits, least, most)
+        for (anchor, anchor_id, _, positive), found in zip(asked, results, strict=True):
+            if first:
+                positive = {"positive_row": None, "positive_id": None, "positive_score": None}
+            elif found and int(positive["positive_score"]) > _LARGEST_LONG:
+                raise OverflowError(f"the score {positive['positive_score']} of anchor {anchor_id} and a positive with "
+                                    "negatives does not fit a long")
+            for score, row in found:
+                out.append((anchor, anchor_id, positive["positive_row"], positive["positive_id"], positive["positive_score"],
+                            numbers[row], ids[row], str(score)))
     return pd.DataFrame(out, columns=["anchor_row", "anchor_id", "positive_row", "positive_id", "positive_score",
                                       "row", "vec_id", "score"])
 

@@ -82,6 +82,25 @@ def test_tree_search_is_exact(seed):
         assert tree.search(q, 5, allowed) == [(int(-s), r) for s, r in top]
 
 
+def test_queries_together_are_exact(monkeypatch):
+    for name, value in (("LEAF", 16), ("TOGETHER", 7), ("CELLS", 100)):
+        monkeypatch.setattr(negatives, name, value)
+    rng = np.random.default_rng(4)
+    points = np.floor(6 * rng.normal(0, 0.3, (900, 5)))  # many ties
+    points[100:300] = points[100]
+    queries = np.floor(6 * rng.normal(0, 0.3, (40, 5)))
+    queries[5], queries[6] = 0, 2.0**50  # the last one's scores are not exact in doubles
+    labels = rng.integers(0, 3, 900)
+    least = [int(x) for x in rng.integers(-20, 10, 40)]
+    most = [x + int(y) for x, y in zip(least, rng.integers(-1, 40, 40), strict=True)]
+    least[6], most[6] = 2**48, math.inf
+    found = negatives.CoverTree(points).search_all(queries, 3, lambda at, rows: labels[rows] == (at % 3)[:, None], least, most)
+    for j, q in enumerate(queries):
+        scores = [sum(int(x) * int(y) for x, y in zip(q, p, strict=True)) for p in points]
+        want = sorted((-s, r) for r, s in enumerate(scores) if labels[r] == j % 3 and least[j] <= s <= most[j])[:3]
+        assert found[j] == [(-s, r) for s, r in want]
+
+
 def test_empty(spark):
     assert negatives.mine(frame(spark, [])).count() == 0
 
