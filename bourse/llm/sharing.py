@@ -72,11 +72,6 @@ def _rows(pairs: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([blob], pa.binary())], ["part", "blob"])
 
 
-def element_ids(elements: np.ndarray, parts: int) -> np.ndarray:
-    """What `shared_elements` returns for elements dealt into so many parts."""
-    return (elements & U((1 << 48) - 1)) | ((elements >> U(48)) % U(parts) << U(48))
-
-
 def shared_elements(docs: DataFrame, extract: Callable[[list[bytes]], Sets], least_share: float = 0.0) -> DataFrame:
     """Rows (node, size, elements) of the elements that at least two nodes have, rarest first (by powers of two, then
     by hash), for nodes with at least ``least_share`` of their elements shared, and one at least.
@@ -162,3 +157,45 @@ def shared_elements(docs: DataFrame, extract: Callable[[list[bytes]], Sets], lea
     packed = docs.select("text").mapInArrow(scatter, "part int, blob binary")
     counted = packed.groupBy("part").applyInArrow(count_nodes, "part int, blob binary")
     return counted.groupBy("part").applyInArrow(gather, "node long, size long, elements binary")
+
+
+def packed_ascending(values: np.ndarray) -> bytes:
+    """Ascending 32-bit values: their differences, compressed by planes of bytes."""
+    steps = np.diff(values.astype("<u4"), prepend=np.zeros(1, "<u4"))
+    return len(steps).to_bytes(4, "little") + pa.compress(byte_planes(steps), "zstd", asbytes=True)
+
+
+def from_ascending(blob: bytes) -> np.ndarray:
+    n = int.from_bytes(blob[:4], "little")
+    return np.cumsum(from_planes(pa.decompress(blob[4:], 4 * n, "zstd", asbytes=True), np.dtype("<u4")), dtype=np.uint32)
+
+
+def byte_planes(values: np.ndarray) -> bytes:
+    """First bytes of all values, then second bytes, and so on."""
+    return np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.dtype.itemsize).T).tobytes()
+
+
+def from_planes(data: bytes, kind: np.dtype) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel()
+
+
+def shared_flags(asked: DataFrame) -> DataFrame:
+    """Rows (unit, part, flags) for rows (unit, part, blob) of packed ascending distinct elements of a unit: one bit an
+    element, in the order asked, set if another unit has it too.
+
+    The answer costs a bit an element, and neither way carries who in the unit has it: a unit knows its own texts.
+    Elements are compared by 32 bits and their part, so a few more may be flagged than are shared, never fewer.
+    """
+
+    def count_units(table: pa.Table) -> pa.Table:
+        sets = [from_ascending(blob) for blob in table.column("blob").to_pylist()]
+        elements = np.concatenate(sets)
+        order = np.argsort(elements, kind="stable")
+        equal = elements[order[1:]] == elements[order[:-1]]
+        twin = np.zeros(len(elements), bool)
+        twin[order[1:][equal]] = True
+        twin[order[:-1][equal]] = True
+        flags = [np.packbits(f).tobytes() for f in np.split(twin, np.cumsum([len(s) for s in sets])[:-1])]
+        return pa.table({"unit": table.column("unit"), "part": table.column("part"), "flags": pa.array(flags, pa.binary())})
+
+    return asked.groupBy("part").applyInArrow(count_units, "unit long, part int, flags binary")

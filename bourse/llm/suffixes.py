@@ -3,7 +3,12 @@
 Sorting every suffix of a corpus moves each byte fifty times. The array here is sparse but loses no match: every 50-byte
 window elects the 24-byte gram with the least hash in it, equal windows elect the same one, and the windows of a text
 that elect one occurrence form a run. Only suffixes that begin at such grams are arranged, each with the few bytes
-before it that its run needs, and only if the gram occurs in another text too, which `shared_elements` counts first.
+before it that its run needs, and only if the gram occurs in another text too, which `shared_flags` counts first.
+
+Texts are written once, compressed, in units of about 16 MB, and never shuffled: a unit's documents, grams, runs and spans
+are dealt by the unit's number, and the table of units is in hash buckets of it. What travels is, of a unit, each distinct
+gram of its texts (four bytes, packed ascending), one bit a gram back, the runs of shared grams, and the found spans.
+Nothing of it is held a document, so more and finer parts make no more of it. Of equal texts only the first takes part.
 
 Splitters sampled from the grams of a bounded sample of documents cut the suffixes into ranges by their leading 24
 bytes. A bucket sorts its windows by multikey quicksort, eight bytes a key character, and windows that stay equal to the
@@ -31,23 +36,27 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bourse.llm.ordering import LOWEST
-from bourse.llm.sharing import Sets, element_ids, shared_elements
-from bourse.llm.tables import spread, stored
-from bourse.llm.text import Batch, U, chunks, encoded, mix
+from bourse.llm.sharing import Sets, byte_planes, from_planes, packed_ascending, shared_flags
+from bourse.llm.tables import bucketed, keys_of_bucket, spread, stored
+from bourse.llm.text import CHUNK_BYTES, Batch, U, chunks, encoded, mix
 
 MATCH, GRAM = 50, 24
 WINDOW = MATCH - GRAM + 1
 SAMPLE_DOCUMENTS = 2000
 HOT_DOCUMENTS = 8
 FLUSH_RUNS = 1 << 18
-EMPTY_SHA = hashlib.sha256(b"").hexdigest()
+UNIT_BYTES = 1 << 24
+EMPTY_SHA = hashlib.sha256(b"").digest()
 _RUN = np.dtype([("doc", "<u4"), ("start", "<u4"), ("anchor", "u1"), ("length", "u1")])
 _WINDOW = np.dtype([("key", "<u8"), ("doc", "<u4"), ("start", "<u4")])
-_DOC = np.dtype([("rank", "<i8"), ("node", "<i8")])
+_DOC = np.dtype([("rank", "<i8"), ("unit", "<i8"), ("at", "<i8")])
+_HEAD = np.dtype([("rank", "<i8"), ("node", "<i8"), ("n_bytes", "<i8"), ("sha", "V32")])
+_SPAN = np.dtype([("at", "<u4"), ("start", "<u4"), ("length", "<u4")])
 
 
 def runs_of(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -119,7 +128,8 @@ def multikey_order(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _gather(data: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    return data[starts[:, None] + np.arange(size)]
+    # A window view: indexes of every byte would take eight times the bytes.
+    return np.lib.stride_tricks.sliding_window_view(data, size)[starts] if len(starts) else np.zeros((0, size), np.uint8)
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,18 +141,43 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[new], reach[np.append(np.flatnonzero(new)[1:], len(starts)) - 1]
 
 
-def _span_rows(docs: np.ndarray, doc: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, bytes]]:
-    """(rank, node, spans) of each document, spans merged."""
+def packed_spans(at: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
+    """Spans of a unit's documents (by their places in it), merged."""
+    at, starts, ends = _merged_at(at, starts, ends)
+    spans = np.zeros(len(at), _SPAN)
+    spans["at"], spans["start"], spans["length"] = np.diff(at, prepend=0), starts, ends - starts
+    return len(spans).to_bytes(4, "little") + pa.compress(byte_planes(spans), "zstd", asbytes=True)
+
+
+def opened_spans(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places, starts and ends of the merged spans of several blobs, ascending."""
+    at, starts, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for blob in blobs:
+        raw = pa.decompress(blob[4:], int.from_bytes(blob[:4], "little") * _SPAN.itemsize, "zstd", asbytes=True)
+        spans = from_planes(raw, _SPAN)
+        at.append(np.cumsum(spans["at"].astype(np.int64)))
+        starts.append(spans["start"].astype(np.int64))
+        ends.append(starts[-1] + spans["length"])
+    return _merged_at(np.concatenate(at), np.concatenate(starts), np.concatenate(ends))
+
+
+def _merged_at(at: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    if not len(at):
+        return at, starts, ends
+    # A text has fewer than 2**32 bytes, so spans of different texts don't touch.
+    base = at.astype(np.int64) << 32
+    a, b = merged(base + starts, base + ends)
+    return a >> 32, a & 0xFFFFFFFF, b - (a >> 32 << 32)
+
+
+def _span_rows(docs: np.ndarray, doc: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, bytes]]:
+    """(unit, spans) of each unit."""
     if not len(doc):
         return []
-    order = np.argsort(doc, kind="stable")
-    doc, starts, ends = doc[order], starts[order], ends[order]
-    cuts = np.flatnonzero(np.diff(doc, prepend=-1))
-    out = []
-    for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(doc)], strict=True):
-        a, b = merged(starts[lo:hi].astype(np.int64), ends[lo:hi].astype(np.int64))
-        out.append((int(docs["rank"][doc[lo]]), int(docs["node"][doc[lo]]), np.stack([a, b], 1).astype("<u4").tobytes()))
-    return out
+    unit = docs["unit"][doc]
+    order = np.argsort(unit, kind="stable")
+    cuts = np.flatnonzero(np.diff(unit[order])) + 1
+    return [(int(unit[own[0]]), packed_spans(docs["at"][doc[own]], starts[own], ends[own])) for own in np.split(order, cuts)]
 
 
 def _by_rank(keys: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,25 +194,25 @@ def _packed(kind: bytes, docs: np.ndarray, part: np.ndarray, text: bytes = b"")
     used, own = np.unique(part["doc"], return_inverse=True)
     part = part.copy()
     part["doc"] = own
-    blob = b"".join([len(used).to_bytes(4, "little"), len(part).to_bytes(4, "little"), docs[used].tobytes(), part.tobytes(), text])
+    blob = b"".join([len(used).to_bytes(4, "little"), len(part).to_bytes(4, "little"), byte_planes(docs[used]), byte_planes(part), text])
     return kind + len(blob).to_bytes(8, "little") + pa.compress(blob, "zstd", asbytes=True)
 
 
 class _Scatter:
     """Runs of a task on their way to the buckets, and the windows of runs with hot grams."""
 
-    def __init__(self, splitters: np.ndarray, hot: np.ndarray):
-        self.splitters, self.hot = splitters, hot
+    def __init__(self, splitters: np.ndarray, hot: np.ndarray, unit: int = 0):
+        self.splitters, self.hot, self.unit = splitters, hot, unit
         self.clear()
 
     def clear(self) -> None:
-        self.docs: list[tuple[int, int]] = []
+        self.docs: list[tuple[int, int, int]] = []
         self.runs, self.text, self.grams, self.keys, self.windows = [], [], [], [], []
         self.count = 0
 
-    def put(self, rank: list[int], node: np.ndarray, batch: Batch, owner, grams, place, first, last) -> None:
+    def put(self, rank: list[int], at: np.ndarray, batch: Batch, owner, grams, place, first, last) -> None:
         offset = len(self.docs)
-        self.docs += zip(rank, node.view(np.int64).tolist(), strict=True)
+        self.docs += zip(rank, [self.unit] * len(rank), at.view(np.int64).tolist(), strict=True)
         hot = np.isin(grams, self.hot)
         if hot.any():
             size = last[hot] - first[hot] + 1
@@ -206,7 +241,7 @@ class _Scatter:
             order, late = _by_rank(window["key"], docs["rank"][window["doc"]])
             gone = window[order[late]]
             yield from self._known(docs, gone["doc"], gone["start"].astype(np.int64), np.int64(MATCH))
-            window = window[order[~late]]
+            window = window[np.sort(order[~late])]
             parts = len(self.splitters) + 1
             bucket = (window["key"] % U(parts)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
@@ -217,7 +252,7 @@ class _Scatter:
             order, late = _by_rank(keys, docs["rank"][run["doc"]])
             gone = run[order[late]]
             yield from self._known(docs, gone["doc"], gone["start"].astype(np.int64), gone["length"])
-            order = order[~late]
+            order = np.sort(order[~late])
             bucket = np.searchsorted(self.splitters, grams[order], "right")
             by = np.argsort(bucket, kind="stable")
             order = order[by]
@@ -230,19 +265,20 @@ class _Scatter:
         self.clear()
 
     def _known(self, docs: np.ndarray, doc: np.ndarray, start: np.ndarray, length: np.ndarray) -> Iterator[pa.RecordBatch]:
-        rows = _span_rows(docs, doc.astype(np.int64), start, start + length)
-        if rows:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array([r[1] for r in rows]) % (len(self.splitters) + 1), pa.int32()), pa.array([None] * len(rows), pa.binary()),
-                 *map(pa.array, zip(*rows, strict=True))],
-                ["bucket", "blob", "rank", "node", "spans"])
+        for unit, spans in _span_rows(docs, doc.astype(np.int64), start, start + length):
+            yield _row(unit % (len(self.splitters) + 1), None, unit, spans)
 
     def _sent(self, bucket: np.ndarray, pack: Callable[[int, int], bytes]) -> Iterator[pa.RecordBatch]:
         cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
         for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)], strict=True):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(bucket[lo])], pa.int32()), pa.array([pack(lo, hi)], pa.binary()), pa.array([None], pa.int64()),
-                 pa.array([None], pa.int64()), pa.array([None], pa.binary())], ["bucket", "blob", "rank", "node", "spans"])
+            yield _row(int(bucket[lo]), pack(lo, hi), None, None)
+
+
+_SENT = pa.schema([("bucket", pa.int32()), ("blob", pa.binary()), ("unit", pa.int64()), ("spans", pa.binary())])
+
+
+def _row(bucket: int, blob: bytes | None, unit: int | None, spans: bytes | None) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((bucket, blob, unit, spans), _SENT, strict=True)], schema=_SENT)
 
 
 def _open(blobs: list[bytes], kind: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -250,18 +286,33 @@ def _open(blobs: list[bytes], kind: np.dtype) -> tuple[np.ndarray, np.ndarray, n
     for packed in blobs:
         blob = pa.decompress(memoryview(packed)[9:], int.from_bytes(packed[1:9], "little"), "zstd", asbytes=True)
         n, m = int.from_bytes(blob[:4], "little"), int.from_bytes(blob[4:8], "little")
-        docs.append(np.frombuffer(blob, _DOC, n, 8))
-        run = np.frombuffer(blob, kind, m, 8 + n * _DOC.itemsize).copy()
+        begin = 8 + n * _DOC.itemsize
+        end = begin + m * kind.itemsize
+        docs.append(from_planes(blob[8:begin], _DOC))
+        run = from_planes(blob[begin:end], kind).copy()
         run["doc"] += offset
         offset += n
         runs.append(run)
-        text.append(np.frombuffer(blob, np.uint8, -1, 8 + n * _DOC.itemsize + m * kind.itemsize))
+        text.append(np.frombuffer(blob, np.uint8, -1, end))
     return np.concatenate(docs), np.concatenate(runs), np.concatenate(text)
 
 
+def _run_hashes(text: np.ndarray, run: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of whole runs and of their grams, a megabyte of text at a time."""
+    keys, grams = np.zeros(len(run), np.uint64), np.zeros(len(run), np.uint64)
+    cuts = [0, *(np.flatnonzero(np.diff(starts // CHUNK_BYTES)) + 1).tolist(), len(run)]
+    for lo, hi in zip(cuts, cuts[1:], strict=False):
+        if hi > lo:
+            batch = Batch([text[starts[lo] : ends[hi - 1]].tobytes()])
+            begin = starts[lo:hi] - starts[lo] + 1
+            anchor = begin + run["anchor"][lo:hi]
+            keys[lo:hi], grams[lo:hi] = batch.span_hash(begin, begin + run["length"][lo:hi]), batch.span_hash(anchor, anchor + GRAM)
+    return keys, grams
+
+
 def _bucket(table: pa.Table) -> pa.Table:
     """Spans of a bucket's documents that an earlier document holds as well, with the spans already known."""
-    known = table.filter(pc.is_null(table.column("blob"))).select(["rank", "node", "spans"])
+    known = table.filter(pc.is_null(table.column("blob"))).select(["unit", "spans"])
     table = table.filter(pc.is_valid(table.column("blob")))
     if not len(table):
         return known
@@ -273,11 +324,10 @@ def _bucket(table: pa.Table) -> pa.Table:
         start = gone["start"].astype(np.int64)
         return _with_found(known, _span_rows(docs, gone["doc"].astype(np.int64), start, start + MATCH))
     docs, run, text = _open(blobs, _RUN)
-    batch = Batch([text.tobytes()])
-    ends = np.cumsum(run["length"].astype(np.int64)) + 1
+    ends = np.cumsum(run["length"].astype(np.int64))
     starts = ends - run["length"]
     rank = docs["rank"][run["doc"]]
-    keys = batch.span_hash(starts, ends)
+    keys, grams = _run_hashes(text, run, starts, ends)
     order = np.lexsort((rank, keys))
     new = np.ones(len(order), bool)
     new[1:] = keys[order[1:]] != keys[order[:-1]]
@@ -288,9 +338,7 @@ def _bucket(table: pa.Table) -> pa.Table:
     out_run = [order[late]]
     out_from, out_to = [np.zeros(int(late.sum()), np.int64)], [run["length"][order[late]].astype(np.int64)]
     # Different runs with one gram: their windows are sorted.
-    anchors = starts[head] + run["anchor"][head]
-    grams = batch.span_hash(anchors, anchors + GRAM)
-    _, which, size = np.unique(grams, return_inverse=True, return_counts=True)
+    _, which, size = np.unique(grams[head], return_inverse=True, return_counts=True)
     mixed = np.flatnonzero(size[which] > 1)
     mixed = mixed[np.argsort(which[mixed], kind="stable")]
     windows = run["length"][head[mixed]].astype(np.int64) - MATCH + 1
@@ -299,7 +347,7 @@ def _bucket(table: pa.Table) -> pa.Table:
         of = np.repeat(np.arange(len(some)), count)
         offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         rows = np.zeros((len(of), -(-MATCH // 8) * 8), np.uint8)
-        rows[:, :MATCH] = _gather(batch.data, starts[head[some]][of] + offset, MATCH)
+        rows[:, :MATCH] = _gather(text, starts[head[some]][of] + offset, MATCH)
         sorted_rows, equal = multikey_order(rows.view(">u8").astype(np.uint64))
         window_rank = first_rank[some][of][sorted_rows]
         least = np.full(int(equal[-1]) + 1 if len(equal) else 0, np.iinfo(np.int64).max)
@@ -321,9 +369,9 @@ def _bucket(table: pa.Table) -> pa.Table:
     return _with_found(known, _span_rows(docs, run["doc"][chosen].astype(np.int64), begin + np.concatenate(out_from), begin + np.concatenate(out_to)))
 
 
-def _with_found(known: pa.Table, rows: list[tuple[int, int, bytes]]) -> pa.Table:
-    ranks, nodes, spans = zip(*rows, strict=True) if rows else ((), (), ())
-    found = pa.table({"rank": pa.array(ranks, pa.int64()), "node": pa.array(nodes, pa.int64()), "spans": pa.array(spans, pa.binary())})
+def _with_found(known: pa.Table, rows: list[tuple[int, bytes]]) -> pa.Table:
+    units, spans = zip(*rows, strict=True) if rows else ((), ())
+    found = pa.table({"unit": pa.array(units, pa.int64()), "spans": pa.array(spans, pa.binary())})
     return pa.concat_tables([known, found.cast(known.schema)])
 
 
@@ -367,80 +415,196 @@ def _hot_grams(some: DataFrame) -> np.ndarray:
     return np.sort(counted.where(F.col("count") >= HOT_DOCUMENTS).select("gram").toArrow().column("gram").to_numpy().view(np.uint64))
 
 
-def spans_to_remove(docs: DataFrame, first: DataFrame) -> DataFrame:
-    """(rank, node, spans) of the first document of each text. ``docs`` has rank and text, ``first`` node and first_rank."""
-    parts = spread(docs.sparkSession)
-    shared = shared_elements(docs, gram_sets)
-    asked = shared.join(first, "node").select(F.col("first_rank").alias("r"), "node", "elements")
-    some = docs.where("text is not null").orderBy(F.xxhash64("rank")).limit(SAMPLE_DOCUMENTS).select("text")
-    some = stored(some, "suffix-sample")
-    splitters, hot = _splitters(some, 2 * parts), _hot_grams(some)
+def _units(docs: DataFrame, buckets: int) -> DataFrame:
+    """Rows (unit, base, heads, text): some documents of a unit from place ``base`` on, their `_HEAD` and their texts."""
 
-    def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = _Scatter(splitters, hot)
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = keys_of_bucket(TaskContext.get().partitionId(), buckets)
+        unit, base, size = next(units), 0, 0
         for part in chunks(batches):
-            batch = Batch(encoded(part.column("text")))
-            node = nodes_of(batch)
-            mine = node.view(np.int64) == part.column("node").to_numpy()
-            owner, grams, place, start, last = runs_of(batch)
-            blobs = part.column("elements").to_pylist()
-            wanted = np.concatenate([np.frombuffer(b, "<u8") for b in blobs])
-            wanted_of = np.repeat(np.arange(len(blobs)), [len(b) // 8 for b in blobs])
-            salt = mix(np.arange(len(blobs), dtype=np.uint64) + U(1))
-            hit = mine[owner] & np.isin(mix(element_ids(grams, parts) ^ salt[owner]), mix(wanted ^ salt[wanted_of]))
-            out.put(part.column("rank").to_pylist(), node, batch, owner[hit], grams[hit], place[hit], start[hit], last[hit])
+            texts = encoded(part.column("text"))
+            batch = Batch(texts)
+            heads = np.zeros(len(texts), _HEAD)
+            heads["rank"], heads["node"], heads["n_bytes"] = part.column("rank").to_numpy(), nodes_of(batch).view(np.int64), batch.lengths
+            heads["sha"] = np.frombuffer(b"".join(hashlib.sha256(t).digest() for t in texts), "V32")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([unit], pa.int64()), pa.array([base], pa.int64()), pa.array([heads.tobytes()], pa.binary()),
+                 pa.array([pa.compress(b"".join(texts), "zstd", asbytes=True)], pa.binary())], ["unit", "base", "heads", "text"])
+            base, size = base + len(texts), size + int(batch.lengths.sum()) + heads.nbytes
+            if size >= UNIT_BYTES:
+                unit, base, size = next(units), 0, 0
+
+    return docs.mapInArrow(pack, "unit long, base long, heads binary, text binary")
+
+
+def _cut_texts(heads: np.ndarray, text: bytes, some: np.ndarray) -> list[bytes]:
+    """The texts of some documents of a row of units."""
+    raw = pa.decompress(text, int(heads["n_bytes"].sum()), "zstd", asbytes=True)
+    ends = np.cumsum(heads["n_bytes"])[some].tolist()
+    return [raw[b - n : b] for b, n in zip(ends, heads["n_bytes"][some].tolist(), strict=True)]
+
+
+def _long_documents(units: DataFrame) -> DataFrame:
+    """(unit, at, rank, node) of the documents that hold a match at all."""
+
+    def long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for unit, base, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                heads = np.frombuffer(blob, _HEAD)
+                at = np.flatnonzero(heads["n_bytes"] >= MATCH)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), unit, np.int64)), pa.array(at + base), pa.array(heads["rank"][at]), pa.array(heads["node"][at])],
+                    ["unit", "at", "rank", "node"])
+
+    return units.select("unit", "base", "heads").mapInArrow(long, "unit long, at long, rank long, node long")
+
+
+def _repeats(documents: DataFrame) -> DataFrame:
+    """(unit, at, more): -1 for texts that an earlier document has, 0 for all but one of the repeated rows of the first
+    document, and how many such rows there are for that one."""
+    first = documents.groupBy("node").agg(F.min(F.struct("rank", "unit", "at")).alias("first"), F.count("*").alias("rows"))
+    first = stored(first.where("rows > 1"), "suffix-first")
+    again = documents.join(first, "node").where("unit != first.unit or at != first.at")
+    again = stored(again.selectExpr("unit", "at", "rank > first.rank late", "first.unit first_unit", "first.at first_at"), "suffix-repeats")
+    more = again.where("not late").groupBy("first_unit", "first_at").agg(F.count("*").alias("more"))
+    return again.selectExpr("unit", "at", "if(late, -1L, 0L) more").union(more)
+
+
+def _sample(units: DataFrame, share: float) -> DataFrame:
+    """Texts of about that share of the documents that hold a match."""
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for unit, base, blob, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                heads = np.frombuffer(blob, _HEAD)
+                draw = mix(np.arange(base, base + len(heads), dtype=np.uint64) ^ mix(np.array([unit], np.int64).view(np.uint64))) >> U(11)
+                own = np.flatnonzero((heads["n_bytes"] >= MATCH) & (draw.astype(np.float64) < share * 2.0**53))
+                if len(own):
+                    yield pa.RecordBatch.from_arrays([pa.array([t.decode() for t in _cut_texts(heads, text, own)], pa.string())], ["text"])
+
+    return units.select("unit", "base", "heads", "text").mapInArrow(some, "text string")
+
+
+def _documents_of(unit: pa.Table, away: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """Places, ranks and texts, a row of units at a time, of the documents that hold a match, without those away."""
+    unit = unit.sort_by("base")
+    for base, blob, text in zip(*(unit.column(c).to_pylist() for c in ("base", "heads", "text")), strict=True):
+        heads = np.frombuffer(blob, _HEAD)
+        own = np.flatnonzero((heads["n_bytes"] >= MATCH) & ~np.isin(np.arange(base, base + len(heads)), away))
+        if len(own):
+            yield own + base, heads["rank"][own], _cut_texts(heads, text, own)
+
+
+def _away(said: pa.Table) -> np.ndarray:
+    return said.filter(pc.less_equal(said.column("more"), 0)).column("at").to_numpy()
+
+
+def _grams_of(unit: pa.Table, away: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[np.ndarray, ...]]]:
+    """Distinct grams of a unit (part, then 32 bits of the hash), which of them several of its documents have, the
+    number of each run's gram, and the runs by rows of units."""
+    runs, keys, docs = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for at, _, texts in _documents_of(unit, away):
+        owner, grams, place, first, last = runs_of(Batch(texts))
+        runs.append((owner.astype(np.int32), grams, *(x.astype(np.int32) for x in (place, first, last))))
+        keys.append((grams >> U(48)) % U(parts) << U(32) | grams & U(0xFFFFFFFF))
+        docs.append(at[owner])
+    key, doc = np.concatenate(keys), np.concatenate(docs)
+    order = np.argsort(key, kind="stable")
+    key, doc = key[order], doc[order]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    which = np.empty(len(key), np.int64)
+    which[order] = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    return key[first], doc[first] != doc[np.append(first[1:], len(key)) - 1] if len(key) else new, which, runs
+
+
+def spans_to_remove(units: DataFrame, repeats: DataFrame, some: DataFrame) -> DataFrame:
+    """(unit, spans) of the first document of each text. ``some`` are sampled texts."""
+    parts = spread(units.sparkSession)
+    splitters, hot = _splitters(some, 2 * parts), _hot_grams(some)
+
+    def ask(unit: pa.Table, said: pa.Table) -> pa.Table:
+        keys, _, _, _ = _grams_of(unit, _away(said), parts)
+        part = (keys >> U(32)).astype(np.int32)
+        cuts = np.flatnonzero(np.diff(part, prepend=-1))
+        blobs = [packed_ascending(x.astype(np.uint32)) for x in np.split(keys, cuts[1:])] if len(keys) else []
+        number = [unit.column("unit")[0].as_py()] * len(blobs) if blobs else []
+        return pa.table({"part": pa.array(part[cuts], pa.int32()), "unit": pa.array(number, pa.int64()), "blob": pa.array(blobs, pa.binary())})
+
+    asked = units.groupBy("unit").cogroup(repeats.withColumnRenamed("unit", "of").groupBy("of")).applyInArrow(ask, "part int, unit long, blob binary")
+    flags = stored(shared_flags(asked), "suffix-grams")
+
+    def scatter(unit: pa.Table, said: pa.Table) -> pa.Table:
+        away = _away(said)
+        keys, several, which, runs = _grams_of(unit, away, parts)
+        answers = said.filter(pc.is_valid(said.column("part"))).sort_by("part")
+        size = np.bincount((keys >> U(32)).astype(np.int64), minlength=parts)
+        bits = [np.unpackbits(np.frombuffer(f, np.uint8), count=size[p])
+                for p, f in zip(answers.column("part").to_pylist(), answers.column("flags").to_pylist(), strict=True)]
+        shared = several | np.concatenate([np.zeros(0, np.uint8), *bits]).astype(bool)
+        out = _Scatter(splitters, hot, unit.column("unit")[0].as_py() if len(unit) else 0)
+        sent, begin = [], 0
+        for (at, rank, texts), (owner, grams, place, first, last) in zip(_documents_of(unit, away), runs, strict=True):
+            hit = shared[which[begin : begin + len(owner)]]
+            begin += len(owner)
+            out.put(rank.tolist(), at, Batch(texts), *(x[hit].astype(np.int64) if x is not grams else x[hit] for x in (owner, grams, place, first, last)))
             if out.count >= FLUSH_RUNS:
-                yield from out.flush()
-        yield from out.flush()
+                sent += out.flush()
+        return pa.Table.from_batches([*sent, *out.flush()], _SENT)
+
+    said = flags.selectExpr("unit of", "part", "flags", "null at", "null more").unionByName(
+        repeats.selectExpr("unit of", "cast(null as int) part", "cast(null as binary) flags", "at", "more"))
+    sent = units.groupBy("unit").cogroup(said.groupBy("of")).applyInArrow(scatter, "bucket int, blob binary, unit long, spans binary")
+    return sent.groupBy("bucket").applyInArrow(_bucket, "unit long, spans binary")
 
-    sent = docs.join(asked, F.col("rank") == F.col("r")).select("rank", "text", "node", "elements").mapInArrow(
-        scatter, "bucket int, blob binary, rank long, node long, spans binary")
-    return sent.groupBy("bucket").applyInArrow(_bucket, "rank long, node long, spans binary")
+
+def _described(unit: pa.Table, said: pa.Table) -> pa.Table:
+    """The result's rows of a unit's documents."""
+    at, starts, ends = opened_spans(said.column("spans").drop_null().to_pylist())
+    repeats = said.filter(pc.is_valid(said.column("at")))
+    place, more = repeats.column("at").to_numpy(), repeats.column("more").to_numpy()
+    out = []
+    for base, blob, text in zip(*(unit.column(c).to_pylist() for c in ("base", "heads", "text")), strict=True):
+        heads = np.frombuffer(blob, _HEAD)
+        n = len(heads)
+        removed, spans, times, sha = np.zeros(n, np.int64), np.zeros(n, np.int64), np.ones(n, np.int64), heads["sha"].tolist()
+        lo, hi = np.searchsorted(at, [base, base + n])
+        own = np.unique(at[lo:hi]) - base
+        bounds = np.searchsorted(at, np.append(own, n) + base).tolist()
+        for k, kept, a, b in zip(own.tolist(), _cut_texts(heads, text, own) if len(own) else [], bounds[:-1], bounds[1:], strict=True):
+            digest = hashlib.sha256()
+            for x, y in zip([0, *ends[a:b].tolist()], [*starts[a:b].tolist(), len(kept)], strict=True):
+                digest.update(kept[x:y])
+            removed[k], spans[k], sha[k] = (ends[a:b] - starts[a:b]).sum(), b - a, digest.digest()
+        here = (place >= base) & (place < base + n)
+        for k, extra in zip((place[here] - base).tolist(), more[here].tolist(), strict=True):
+            if extra < 0:
+                removed[k], spans[k], sha[k] = heads["n_bytes"][k], 1, EMPTY_SHA
+            else:
+                times[k] = extra + 1 if extra else 0
+        of = np.repeat(np.arange(n), times)
+        out.append(pa.table({"rank": pa.array(heads["rank"][of]), "n_bytes": pa.array(heads["n_bytes"][of]), "n_removed": pa.array(removed[of]),
+                             "n_spans": pa.array(spans[of]), "sha": pa.array([bytes(sha[k]) for k in of.tolist()], pa.binary())}))
+    return pa.concat_tables(out) if out else _RESULT.empty_table()
+
+
+_RESULT = pa.schema([("rank", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("sha", pa.binary())])
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("rank"), F.coalesce("text", F.lit("")).alias("text"))
-
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches):
-            texts = encoded(part.column("text"))
-            batch = Batch(texts)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("rank"), pa.array(nodes_of(batch).view(np.int64)), pa.array(batch.lengths),
-                 pa.array([hashlib.sha256(t).hexdigest() for t in texts])], ["rank", "node", "n_bytes", "sha"])
-
-    base = stored(docs.mapInArrow(describe, "rank long, node long, n_bytes long, sha string"), "suffix-documents")
-    first = base.where(F.col("n_bytes") >= MATCH).groupBy("node").agg(F.min("rank").alias("first_rank"))
-    first = stored(first, "suffix-first")
-    spans = spans_to_remove(docs, first).groupBy("rank", "node").agg(F.collect_list("spans").alias("spans"))
-    spans = stored(spans, "suffix-spans")
-    wanted = spans.select(F.col("rank").alias("r"), "node", "spans")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches):
-            texts = encoded(part.column("text"))
-            nodes = nodes_of(Batch(texts)).view(np.int64)
-            rows = []
-            for text, node, wanted_node, rank, spans in zip(texts, nodes.tolist(), part.column("node").to_pylist(), part.column("rank").to_pylist(), part.column("spans").to_pylist(), strict=True):
-                if node == wanted_node:
-                    pairs = np.concatenate([np.frombuffer(s, "<u4").reshape(-1, 2) for s in spans]).astype(np.int64)
-                    starts, ends = merged(pairs[:, 0], pairs[:, 1])
-                    digest = hashlib.sha256()
-                    for a, b in zip([0, *ends.tolist()], [*starts.tolist(), len(text)], strict=True):
-                        digest.update(text[a:b])
-                    rows.append((rank, node, int((ends - starts).sum()), len(starts), digest.hexdigest()))
-            columns = zip(*rows, strict=True) if rows else [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["r", "n", "removed", "spans", "kept"])
-
-    done = docs.join(wanted, F.col("rank") == F.col("r")).select("rank", "text", "node", "spans").mapInArrow(
-        cut, "r long, n long, removed long, spans long, kept string").distinct()
-    done = stored(done, "suffix-cut")
-    copy = (F.col("n_bytes") >= MATCH) & (F.col("rank") > F.col("first_rank"))
-    joined = base.join(first, "node", "left").join(done, (F.col("rank") == F.col("r")) & (F.col("node") == F.col("n")), "left")
-    return joined.select(
-        F.when(F.col("rank") != LOWEST, F.col("rank")).alias("doc_id"), "n_bytes",
-        F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("removed", F.lit(0))).alias("n_removed"),
-        F.when(copy, F.lit(1)).otherwise(F.coalesce("spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(copy, F.lit(EMPTY_SHA)).otherwise(F.coalesce("kept", "sha")).alias("kept_sha256"))
+    buckets = spread(docs.sparkSession)
+    with bucketed(_units(docs, buckets), "suffix-units", "unit", buckets) as units:
+        documents = _long_documents(units)
+        repeats = stored(_repeats(documents), "suffix-repeats")
+        some = stored(_sample(units, SAMPLE_DOCUMENTS / max(SAMPLE_DOCUMENTS, documents.count())), "suffix-sample")
+        said = spans_to_remove(units, repeats, some).selectExpr("unit of", "spans", "cast(null as long) at", "cast(null as long) more").unionByName(
+            repeats.selectExpr("unit of", "cast(null as binary) spans", "at", "more"))
+        done = units.groupBy("unit").cogroup(said.groupBy("of")).applyInArrow(
+            _described, "rank long, n_bytes long, n_removed long, n_spans long, sha binary")
+        done = stored(done, "suffix-result")
+    return done.select(
+        F.when(F.col("rank") != LOWEST, F.col("rank")).alias("doc_id"), "n_bytes", "n_removed", "n_spans",
+        F.lower(F.hex("sha")).alias("kept_sha256"))

@@ -1,12 +1,15 @@
 """Removed bytes against all 50-byte strings."""
 
+import glob
 import hashlib
+import itertools
+import os
 import random
 
 import numpy as np
 import pytest
 
-from bourse.llm import suffixes
+from bourse.llm import sharing, suffixes, tables
 from bourse.llm.text import Batch
 
 
@@ -108,3 +111,91 @@ def test_a_hot_gram_is_dealt_by_whole_windows(documents, rows, monkeypatch):
     monkeypatch.undo()
     found = rows(suffixes.deduplicated(documents(table)))
     assert found == brute(table) and sum(r[2] for r in found) > 1000
+
+
+def test_texts_are_never_shuffled(documents, rows, edge_rows, monkeypatch):
+    """No exchange of any stored step carries the texts, nor does any row of the sample's order."""
+    carried = []
+
+    def names(plan):
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            plan = plan.executedPlan()
+        if plan.nodeName() in ("Exchange", "TakeOrderedAndProject"):
+            output = plan.child().output()
+            carried.append({output.apply(i).name() for i in range(output.size())})
+        for i in range(plan.children().size()):
+            names(plan.children().apply(i))
+
+    store = suffixes.stored
+
+    def stored(df, *args, **options):
+        names(df._jdf.queryExecution().executedPlan())
+        return store(df, *args, **options)
+
+    monkeypatch.setattr(suffixes, "stored", stored)
+    found = suffixes.deduplicated(documents(edge_rows))
+    names(found._jdf.queryExecution().executedPlan())
+    assert rows(found) == brute(edge_rows)
+    assert carried and not any("text" in columns for columns in carried)
+
+
+@pytest.mark.parametrize("parts", [4, 64])
+def test_disk_does_not_grow_with_the_partitions(spark, documents, rows, monkeypatch, parts):
+    """Shuffle files of all steps together, even if none is freed meanwhile."""
+    monkeypatch.setattr(suffixes, "SAMPLE_DOCUMENTS", 50)
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    prose = lambda n: "".join(rng.choices(letters, k=n))
+    passages = [prose(200) for _ in range(400)]
+    table = [(k, prose(1600) + rng.choice(passages) + prose(100), "s") for k in range(1200)]
+    folders = [f.getPath() for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    sizes = lambda: {f: os.path.getsize(f) for d in folders for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    before, was = sizes(), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        found = rows(suffixes.deduplicated(documents(table)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    written = sum(n for f, n in sizes().items() if f not in before)
+    assert sum(r[2] for r in found) > 150_000
+    assert written < 0.8 * sum(len(t) for _, t, _ in table)
+
+
+def test_units_of_few_documents(spark, documents, rows, monkeypatch):
+    """Copies, repeated rows and equal ids that meet across many units; rows of a unit come in order of their places."""
+    monkeypatch.setattr(suffixes, "UNIT_BYTES", 1500)
+    monkeypatch.setattr("bourse.llm.text.chunks.__defaults__", (400,))
+    rng = random.Random(9)
+    prose = lambda n: "".join(rng.choice(["ab", "the ", "é", "data ", "q", "漢", " "]) for _ in range(n))
+    passages = [prose(60) for _ in range(5)]
+    texts = [prose(rng.randint(0, 60)) + rng.choice(passages) + prose(rng.randint(0, 30)) for _ in range(60)]
+    table = [(rng.randint(0, 40), rng.choice(texts), "s") for _ in range(150)] + [(None, texts[0], "s"), (50, None, "s"), (51, "", "s")]
+    table += table[:25] + [table[3]] * 6
+    assert rows(suffixes.deduplicated(documents(table).repartition(7))) == brute(table)
+
+
+def test_the_table_of_units_goes(spark, documents, edge_rows):
+    suffixes.deduplicated(documents(edge_rows)).count()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("suffix")]
+
+
+def test_keys_fall_into_their_bucket(spark):
+    values = np.array([0, 1, -1, 42, 1 << 40, -(1 << 63), (1 << 63) - 1])
+    ours = spark.createDataFrame([(int(v),) for v in values], "v long").selectExpr("hash(v)").collect()
+    assert tables.long_hashes(values).tolist() == [r[0] for r in ours]
+    for task, buckets in ((0, 1), (5, 4), (70, 51)):
+        keys = list(itertools.islice(tables.keys_of_bucket(task, buckets), 40))
+        assert len(set(keys)) == 40 and all(k >> 32 == task for k in keys)
+        assert (tables.long_hashes(np.array(keys)) % buckets == task % buckets).all()
+
+
+def test_flags_of_shared_elements(spark):
+    rng = random.Random(10)
+    sets = {(unit, part): sorted(rng.sample(range(1 << 32), 30) + rng.sample(range(100), 20)) for unit in range(4) for part in range(3)}
+    sets[(9, 0)] = [0, 1 << 31, (1 << 32) - 1]
+    asked = [(part, unit, bytearray(sharing.packed_ascending(np.array(s, np.uint32)))) for (unit, part), s in sets.items()]
+    for r in sharing.shared_flags(spark.createDataFrame(asked, "part int, unit long, blob binary")).collect():
+        own = sets[r.unit, r.part]
+        others = set().union(*(s for (unit, part), s in sets.items() if part == r.part and unit != r.unit))
+        flags = np.unpackbits(np.frombuffer(bytes(r.flags), np.uint8), count=len(own)).astype(bool).tolist()
+        assert flags == [v in others for v in own]
